@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from checks import feature_queries
+from checks import cleaning_queries, feature_queries
 from checks.spec import Check
 
 CHECKS: dict[str, Check] = {
     **feature_queries.CHECKS,
+    **cleaning_queries.CHECKS,
 }

@@ -151,18 +151,18 @@ ECONOMICS_COLUMNS = """month(start_date) AS start_month, quarter(start_date) AS
   CASE WHEN head_count > 0 THEN area_ha / head_count END AS area_per_head"""
 ECONOMICS_BODY = f"SELECT policy_id, ref_month, {ECONOMICS_COLUMNS} FROM one"
 
-PLACE_FLOATS = digits(6, *[f"place_{m}_{n}d" for n in PLACE_WINDOWS for m in ("claim_rate", "severity")])
+PLACE_FLOATS = digits(10, *[f"place_{m}_{n}d" for n in PLACE_WINDOWS for m in ("claim_rate", "severity")])
 MARKET_FLOATS = digits(
-    6,
+    10,
     *[f"market_{m}_{n}d" for n in MARKET_WINDOWS for m in ("claim_rate", "severity")],
     "market_mean_coverage_365d",
     "market_insurer_hhi_365d",
 )
-INSURER_FLOATS = digits(6, "insurer_claim_rate_365d", "insurer_severity_365d")
-RATE_FLOATS = digits(6, "rate_mean_365d", "rate_std_365d")
-PORTFOLIO_FLOATS = digits(6, "portfolio_share_365d", "portfolio_hhi_365d")
+INSURER_FLOATS = digits(10, "insurer_claim_rate_365d", "insurer_severity_365d")
+RATE_FLOATS = digits(10, "rate_mean_365d", "rate_std_365d")
+PORTFOLIO_FLOATS = digits(10, "portfolio_share_365d", "portfolio_hhi_365d")
 ECONOMICS_FLOATS = digits(
-    6, "relative_duration", "insured_per_ha", "premium_per_ha", "yield_cover_ratio", "subsidy_ratio",
+    9, "relative_duration", "insured_per_ha", "premium_per_ha", "yield_cover_ratio", "subsidy_ratio",
     "policy_rate", "policy_coverage", "area_per_head",
 )
 
@@ -261,7 +261,7 @@ CHECKS = {
             " AS market_insurer_hhi_365d FROM shares GROUP BY ALL",
             *MARKET_CTES[:3],
         ),
-        digits(6, "market_insurer_hhi_365d"),
+        digits(10, "market_insurer_hhi_365d"),
         ["ref_month"],
     ),
     "a11_portfolio_share": _part(
@@ -276,7 +276,7 @@ CHECKS = {
     "a12_portfolio_hhi": Check(
         lambda spark, sf: table("portfolio")(spark, sf).select(*INSURER, "portfolio_hhi_365d").distinct(),
         on_policy("SELECT * FROM portfolio_hhi", *PORTFOLIO_CTES),
-        digits(6, "portfolio_hhi_365d"),
+        digits(10, "portfolio_hhi_365d"),
         ["ref_month"],
     ),
     "j4_unbounded_history": Check(

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from fieldmark.sources.readers import spread
+
 START = "CAST(o_orderdate AS DATE)"
 DURATION = "CAST(30 + (l_partkey * 7 + l_linenumber * 13) % 336 AS INT)"
 
@@ -134,7 +136,7 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _build(spark: SparkSession, sf_dir: str, catalogue: dict, columns: Sequence[str] | None) -> DataFrame:
     wanted = list(columns or catalogue)
     needed = {t for c in wanted for t in catalogue[c][1]}
-    df = read(spark, sf_dir, "lineitem")
+    df = spread(read(spark, sf_dir, "lineitem"))
     for table, (left, right) in JOINS.items():
         if table in needed:
             df = df.join(read(spark, sf_dir, table), F.col(left) == F.col(right))

@@ -24,12 +24,50 @@ def dominant_category(
 def market_concentration(
     policies: DataFrame, keys: Sequence[str], ref: str, day: str, member: str, window: int, target: str
 ) -> DataFrame:
-    """Sum of squared row shares of ``member`` per (ref, keys), where there is history."""
-    present = policies.filter(all_present(keys))
-    counts = monthly_views(present, [*keys, member], ref, day, window, {"n": F.lit(1)})
-    squares = F.sum(F.col("n").cast("double") * F.col("n"))
-    total = F.sum(F.col("n").cast("double"))
-    return counts.groupBy(ref, *keys).agg((squares / (total * total)).alias(target))
+    """Sum of squared row shares of ``member`` at each (ref, keys); null without history.
+
+    A row enters the count of its member in the first month after ``day`` and
+    leaves once ``window`` days have passed.  Counts are whole numbers, so the
+    sum of squares can be carried exactly from one change to the next: two
+    changes per policy, combined on the map side, instead of one row for every
+    month that sees it.
+    """
+    exact = "decimal(38,0)"
+    leave = F.add_months(F.trunc(F.date_add(F.col(day), window), "MM"), 1)
+    enter = F.add_months(F.trunc(F.col(day), "MM"), 1)
+    known = all_present([*keys, day])
+
+    def entry(month, change: int, probe: bool):
+        return F.struct(month.alias("_month"), F.lit(change).alias("_change"), F.lit(probe).alias("_probe"))
+
+    entries = F.array(
+        entry(F.col(ref), 0, True), entry(F.when(known, enter), 1, False), entry(F.when(known, leave), -1, False)
+    )
+    stacked = policies.select(*keys, F.col(member).alias("_member"), F.inline(entries))
+    # A probe belongs to the market, not to one of its members.
+    per_member = (
+        stacked.filter(F.col("_probe") | F.col("_month").isNotNull())
+        .withColumn("_member", F.when(~F.col("_probe"), F.col("_member")))
+        .groupBy(*keys, "_member", "_probe", "_month")
+        .agg(F.sum("_change").alias("_change"))
+    )
+    running = F.sum("_change").over(W.partitionBy(*keys, "_member", "_probe").orderBy("_month")).cast(exact)
+    before = running - F.col("_change")
+    squares = per_member.select(
+        *keys, "_probe", "_month", "_change", (running * running - before * before).cast(exact).alias("_squares")
+    )
+    per_market = squares.groupBy(*keys, "_probe", "_month").agg(
+        F.sum("_change").alias("_change"), F.sum("_squares").alias("_squares")
+    )
+    so_far = W.partitionBy(*keys).orderBy("_month").rangeBetween(W.unboundedPreceding, W.currentRow)
+    totals = per_market.select(
+        F.col("_month").alias(ref),
+        *keys,
+        "_probe",
+        F.sum("_change").over(so_far).cast("double").alias("_n"),
+        F.sum("_squares").over(so_far).cast("double").alias("_sq"),
+    )
+    return totals.filter("_probe").select(ref, *keys, ratio(F.col("_sq"), F.col("_n") * F.col("_n")).alias(target))
 
 
 def portfolio_concentration(

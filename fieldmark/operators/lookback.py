@@ -144,7 +144,9 @@ def lookback_spread(
         F.sum(F.col("_m2") + F.col("_n") * F.col("_off") * F.col("_off")).over(frame).alias("_d2"),
     ).filter("_probe")
     n = F.nullif(F.col("_n"), F.lit(0))
-    squares = F.greatest(F.col("_d2") - F.col("_d1") * F.col("_d1") / n, F.lit(0.0))
+    residue = F.col("_d2") - F.col("_d1") * F.col("_d1") / n
+    # What is left of equal values after rounding is no spread.
+    squares = F.when(residue > F.col("_d2") * 1e-14, residue).otherwise(0.0)
     return seen.select(
         ref,
         *keys,
