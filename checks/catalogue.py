@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from checks import cleaning_queries, feature_queries
+from checks import cleaning_queries, feature_queries, report_queries
 from checks.spec import Check
 
 CHECKS: dict[str, Check] = {
     **feature_queries.CHECKS,
     **cleaning_queries.CHECKS,
+    **report_queries.CHECKS,
 }
