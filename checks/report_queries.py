@@ -550,7 +550,7 @@ FROM (SELECT claim, lo, hi, n,
     "e11_score_drift": Check(
         lambda spark, sf: ranking.score_drift(scored(spark, sf), "score", REF),
         on_policy("SELECT ref_month, avg(score) AS mean_score, count(score) AS n_scored FROM scored GROUP BY 1", SCORED),
-        digits(9, "mean_score"),
+        digits(12, "mean_score"),
         ["ref_month"],
     ),
 }

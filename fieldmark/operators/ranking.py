@@ -28,8 +28,10 @@ def score_edges(df: DataFrame, score: str, buckets: int | None = None) -> list[f
     if buckets is None:
         buckets = min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_BUCKETS)
     shares = [i / buckets for i in range(1, buckets)]
-    inner = df.approxQuantile(score, shares, 0.5 / buckets) if shares else []
-    return [float("-inf"), *sorted(set(inner)), float("inf")]
+    if not shares:
+        return [float("-inf"), float("inf")]
+    inner = df.agg(F.percentile_approx(score, shares, max(10_000, 2 * buckets))).first()[0] or []
+    return [float("-inf"), *sorted({float(v) for v in inner}), float("inf")]
 
 
 def running_counts(

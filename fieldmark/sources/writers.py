@@ -46,7 +46,12 @@ def merged(target: DataFrame, changes: DataFrame, key: Sequence[str]) -> DataFra
     return kept.unionByName(changes.select(*target.columns))
 
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
+# A version is complete once its marker exists.
+TABLE_MARKER = "_SUCCESS"
+INFO_MARKER = "info/_SUCCESS"
+
+
+def _versions(spark: SparkSession, path: str, marker: str) -> list[int]:
     """Numbers of the complete versions below ``path``."""
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
@@ -56,7 +61,7 @@ def _versions(spark: SparkSession, path: str) -> list[int]:
     found = []
     for status in files.listStatus(root):
         name = status.getPath().getName()
-        done = jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
+        done = jvm.org.apache.hadoop.fs.Path(status.getPath(), marker)
         if name.startswith("v") and name[1:].isdigit() and files.exists(done):
             found.append(int(name[1:]))
     return sorted(found)
@@ -66,9 +71,11 @@ def version_path(path: str, version: int) -> str:
     return f"{path.rstrip('/')}/v{version:06d}"
 
 
-def latest_version(spark: SparkSession, path: str, version: int | str = "latest") -> int | None:
+def latest_version(
+    spark: SparkSession, path: str, version: int | str = "latest", marker: str = TABLE_MARKER
+) -> int | None:
     """The newest complete version, or the one asked for after checking that it exists."""
-    found = _versions(spark, path)
+    found = _versions(spark, path, marker)
     if version == "latest":
         return found[-1] if found else None
     if not str(version).isdigit():
