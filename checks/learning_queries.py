@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.report_queries import AS_OF, CUTOFF, scored
+from checks.report_queries import AS_OF, CUTOFF, scored, written_policies
 from checks.spec import Check, digits
 from checks.tables import on_policy, on_raw, policies, raw
 from fieldmark.ml import models, preparation
@@ -32,7 +32,7 @@ TABLES = ("policy_economics", "insurer_risk", "rate_reference")
 
 
 def _frame(spark, sf, spine_of):
-    held = policies(spark, sf)
+    held = written_policies(spark, sf)
     tables = {n: features.feature_table(n).build(held) for n in TABLES}
     return dataset.with_features(spine_of(held), tables)
 

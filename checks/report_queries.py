@@ -13,6 +13,7 @@ from fieldmark.operators import quality, ranking, stats
 from fieldmark.operators.quantiles import quantile_table
 from fieldmark.plans import dataset, features
 from fieldmark.plans.schema import FEATURE_COLUMNS, LABEL_COLUMNS, REF
+from fieldmark.session import scratch_path
 
 AS_OF, CUTOFF = "2001-01-01", "2000-01-01"
 AMOUNTS = ["area_ha", "premium", "rate", "subsidy", "sum_insured", "coverage_level"]
@@ -67,6 +68,26 @@ SELECT policy_id, {REF_SQL}, area_id, state, crop, crop_group, insurer, region
 FROM policy WHERE date_trunc('month', start_date) >= DATE '{CUTOFF}')"""
 
 
+def written_policies(spark, sf):
+    """The policy table as the jobs after the cleaning meet it: written once."""
+    path = scratch_path(spark, "policies")
+    table = policies(spark, sf)
+    table.write.parquet(path)
+    return spark.read.schema(table.schema).parquet(path)
+
+
+def _training(spark, sf):
+    held = written_policies(spark, sf)
+    tables = dataset.written_feature_tables(held, scratch_path(spark, "features"))
+    return dataset.training_set(held, AS_OF, CUTOFF, tables)
+
+
+def _scoring(spark, sf):
+    held = written_policies(spark, sf)
+    tables = dataset.written_feature_tables(held, scratch_path(spark, "features"))
+    return dataset.scoring_set(held, CUTOFF, tables)
+
+
 def _looked_up(spark, sf):
     held = policies(spark, sf)
     tables = {n: features.feature_table(n).build(held) for n in ("market_risk", "insurer_risk", "portfolio")}
@@ -272,7 +293,7 @@ CHECKS = {
         dates=["ref_month"],
     ),
     "d5_training_set": Check(
-        lambda spark, sf: dataset.training_set(policies(spark, sf), AS_OF, CUTOFF),
+        _training,
         on_policy(
             f"SELECT * EXCLUDE (area_id, state, crop, policy_id), {DERIVED_SQL} FROM "
             + LOOKUP_SQL.format(spine="spine") + f" WHERE s.ref_month < DATE '{CUTOFF}'",
@@ -282,7 +303,7 @@ CHECKS = {
         ["ref_month"],
     ),
     "d4_scoring_set": Check(
-        lambda spark, sf: dataset.scoring_set(policies(spark, sf), CUTOFF),
+        _scoring,
         on_policy(f"SELECT *, {DERIVED_SQL} FROM " + LOOKUP_SQL.format(spine="scoring"), SCORING_SQL, *FEATURE_SQL),
         ALL_FLOATS,
         ["ref_month"],

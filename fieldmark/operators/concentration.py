@@ -32,7 +32,7 @@ def market_concentration(
     changes per policy, combined on the map side, instead of one row for every
     month that sees it.
     """
-    exact = "decimal(38,0)"
+    whole = "decimal(19,0)"
     leave = F.add_months(F.trunc(F.date_add(F.col(day), window), "MM"), 1)
     enter = F.add_months(F.trunc(F.col(day), "MM"), 1)
     known = all_present([*keys, day])
@@ -51,11 +51,10 @@ def market_concentration(
         .groupBy(*keys, "_member", "_probe", "_month")
         .agg(F.sum("_change").alias("_change"))
     )
-    running = F.sum("_change").over(W.partitionBy(*keys, "_member", "_probe").orderBy("_month")).cast(exact)
-    before = running - F.col("_change")
-    squares = per_member.select(
-        *keys, "_probe", "_month", "_change", (running * running - before * before).cast(exact).alias("_squares")
-    )
+    running = F.sum("_change").over(W.partitionBy(*keys, "_member", "_probe").orderBy("_month"))
+    # after^2 - before^2 = change * (after + before), and before = after - change.
+    step = F.col("_change").cast(whole) * (running * 2 - F.col("_change")).cast(whole)
+    squares = per_member.select(*keys, "_probe", "_month", "_change", step.alias("_squares"))
     per_market = squares.groupBy(*keys, "_probe", "_month").agg(
         F.sum("_change").alias("_change"), F.sum("_squares").alias("_squares")
     )

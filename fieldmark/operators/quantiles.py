@@ -15,7 +15,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Row, functions as F
 
 GROUP_LIMIT = 1000
+DIRECT = 1_000_000
 ACCURACY = 10_000
+# A sketch is off by at most 1 / ACCURACY of the rows on either side.
+REACH = (-2 / ACCURACY, 2 / ACCURACY)
 
 
 @dataclass
@@ -48,30 +51,42 @@ def _first_row(df: DataFrame, aggregates: Sequence[Column]) -> Row:
 
 
 def _narrow(df: DataFrame, targets: Sequence[_Target], by: str | None) -> None:
-    """One round for all open targets: sketch an interval, then count it exactly."""
-    sketches = []
-    for i, t in enumerate(targets):
-        place = (t.rank - t.below + 0.5) / t.inside
-        around = [min(max(place + shift, 0.0), 1.0) for shift in (-2 / ACCURACY, 2 / ACCURACY)]
-        inside = F.when(t.within(by), F.col(t.column))
-        sketches.append(F.percentile_approx(inside, around, ACCURACY).alias(f"e{i}"))
+    """One round for all open targets: sketch their intervals, then count exactly.
+
+    Targets that share an interval share its sketch; neighbouring ranks mostly
+    share the new edges and so the counts.
+    """
+    shared: dict[tuple, list[_Target]] = {}
+    for t in targets:
+        shared.setdefault((t.column, t.group, t.low, t.high), []).append(t)
+    sketches, wanted = [], []
+    for held in shared.values():
+        places = sorted({min(max((t.rank - t.below + 0.5) / t.inside + s, 0.0), 1.0) for t in held for s in REACH})
+        inside = F.when(held[0].within(by), F.col(held[0].column))
+        sketches.append(F.percentile_approx(inside, places, ACCURACY).alias(f"e{len(sketches)}"))
+        wanted.append(places)
     edges = _first_row(df, sketches)
-    counts = []
-    for i, t in enumerate(targets):
-        low, high = edges[f"e{i}"]
-        col, held = F.col(t.column), t.within(by)
-        counts += [
-            F.count_if(held & (col < low)).alias(f"lt{i}"),
-            F.count_if(held & (col == low)).alias(f"lo{i}"),
-            F.count_if(held & (col > low) & (col < high)).alias(f"in{i}"),
-            F.count_if(held & (col == high)).alias(f"hi{i}"),
-        ]
+    picked: list[tuple[_Target, int, float, float]] = []
+    counts, spots = [], {}
+    for i, held in enumerate(shared.values()):
+        values = dict(zip(wanted[i], edges[f"e{i}"]))
+        for t in held:
+            low, high = (values[min(max((t.rank - t.below + 0.5) / t.inside + s, 0.0), 1.0)] for s in REACH)
+            if (i, low, high) not in spots:
+                spots[i, low, high] = n = len(spots)
+                col, within = F.col(t.column), t.within(by)
+                counts += [
+                    F.count_if(within & (col < low)).alias(f"lt{n}"),
+                    F.count_if(within & (col == low)).alias(f"lo{n}"),
+                    F.count_if(within & (col > low) & (col < high)).alias(f"in{n}"),
+                    F.count_if(within & (col == high)).alias(f"hi{n}"),
+                ]
+            picked.append((t, spots[i, low, high], low, high))
     seen = _first_row(df, counts)
-    for i, t in enumerate(targets):
-        low, high = edges[f"e{i}"]
+    for t, n, low, high in picked:
         place = t.rank - t.below
-        less, at_low, between = seen[f"lt{i}"], seen[f"lo{i}"], seen[f"in{i}"]
-        at_high = seen[f"hi{i}"] if high > low else 0
+        less, at_low, between = seen[f"lt{n}"], seen[f"lo{n}"], seen[f"in{n}"]
+        at_high = seen[f"hi{n}"] if high > low else 0
         if place < less:
             t.high, t.inside = low, less
         elif place < less + at_low:
@@ -87,13 +102,17 @@ def _narrow(df: DataFrame, targets: Sequence[_Target], by: str | None) -> None:
 
 def _settle(df: DataFrame, targets: Sequence[_Target], by: str | None) -> None:
     """Read the value of targets whose interval holds few enough rows."""
-    lists = [
-        F.array_sort(F.collect_list(F.when(t.within(by), F.col(t.column)))).getItem(t.rank - t.below).alias(f"v{i}")
-        for i, t in enumerate(targets)
-    ]
+    shared: dict[tuple, list[_Target]] = {}
+    for t in targets:
+        shared.setdefault((t.column, t.group, t.low, t.high), []).append(t)
+    lists = []
+    for i, held in enumerate(shared.values()):
+        gathered = F.array_sort(F.collect_list(F.when(held[0].within(by), F.col(held[0].column))))
+        lists.append(F.array(*[gathered.getItem(t.rank - t.below) for t in held]).alias(f"v{i}"))
     found = _first_row(df, lists)
-    for i, t in enumerate(targets):
-        t.value = found[f"v{i}"]
+    for i, held in enumerate(shared.values()):
+        for t, value in zip(held, found[f"v{i}"]):
+            t.value = value
 
 
 def _rank_values(df: DataFrame, targets: list[_Target], by: str | None, bound: int) -> None:
@@ -112,13 +131,15 @@ def exact_quantiles(
     columns: Sequence[str],
     probabilities: Sequence[float],
     by: str | None = None,
-    bound: int = 100_000,
+    bound: int = DIRECT,
 ) -> dict[tuple[object, str], list[float | None]]:
     """Quantiles with linear interpolation, per (group, column).
 
     ``by`` is a column with few values (classes, models).  Nulls are ignored; a
-    column without values gives nulls.  ``bound`` is how many candidate values
-    one target may gather; it changes the number of rounds, not the result.
+    column without values gives nulls.  ``bound`` is how many values one group may
+    hold over all columns to be read in a single scan, and a tenth of it how many
+    candidates a narrowed target may gather; it changes the number of scans, not
+    the result.
     """
     doubles = df.select(*([by] if by else []), *[F.col(c).cast("double").alias(c) for c in columns])
     grouped = doubles.groupBy(*([by] if by else []))
@@ -126,7 +147,7 @@ def exact_quantiles(
     if len(counted) > GROUP_LIMIT:
         raise ValueError(f"{by} has more than {GROUP_LIMIT} values")
     sizes = {(row[by] if by else None, c): row[c] for row in counted for c in columns}
-    if sizes and max(sizes.values()) <= bound:
+    if sizes and max(sizes.values()) * len(columns) <= bound:
         exact = grouped.agg(*[F.percentile(c, list(probabilities)).alias(c) for c in columns]).collect()
         found = {(row[by] if by else None, c): row[c] for row in exact for c in columns}
         return {key: found[key] or [None] * len(probabilities) for key in sizes}
@@ -142,7 +163,7 @@ def exact_quantiles(
             spots[group, column].append((low, high, exact_spot - low))
             for rank in (low, high):
                 targets.setdefault((group, column, rank), _Target(column, group, rank, n, inside=n))
-    _rank_values(doubles, list(targets.values()), by, bound)
+    _rank_values(doubles, list(targets.values()), by, max(bound // 10, 1))
     out: dict[tuple[object, str], list[float | None]] = {}
     for (group, column), places in spots.items():
         values = []
@@ -154,7 +175,7 @@ def exact_quantiles(
 
 
 def quantile_table(
-    df: DataFrame, columns: Sequence[str], names: dict[str, float], by: str | None = None, bound: int = 100_000
+    df: DataFrame, columns: Sequence[str], names: dict[str, float], by: str | None = None, bound: int = DIRECT
 ) -> DataFrame:
     """The same as a small DataFrame: one row per (group, column), one column per name."""
     found = exact_quantiles(df, columns, list(names.values()), by, bound)

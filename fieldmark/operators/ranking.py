@@ -14,7 +14,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from fieldmark.functions.numbers import ratio
-from fieldmark.operators.quantiles import exact_quantiles
+from fieldmark.operators.quantiles import DIRECT, exact_quantiles
 
 MAX_BUCKETS = 1000
 
@@ -117,7 +117,7 @@ def curve_metrics(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def threshold_metrics(
-    df: DataFrame, label: str, score: str, by: str, cut: float = 0.5, top: float = 0.1, bound: int = 100_000
+    df: DataFrame, label: str, score: str, by: str, cut: float = 0.5, top: float = 0.1, bound: int = DIRECT
 ) -> DataFrame:
     """Accuracy and F1 at ``cut``, and the lift of the best-scored ``top`` share."""
     scored = df.filter(F.col(score).isNotNull())
@@ -148,7 +148,7 @@ def threshold_metrics(
     )
 
 
-def all_metrics(df: DataFrame, label: str, score: str, by: str, bound: int = 100_000) -> DataFrame:
+def all_metrics(df: DataFrame, label: str, score: str, by: str, bound: int = DIRECT) -> DataFrame:
     """The six reported metrics, one row per value of ``by`` (model, split, month)."""
     curves = curve_metrics(running_counts(df, label, score, [by]), [by])
     cuts = threshold_metrics(df, label, score, by, bound=bound).drop("top_threshold", "n_rows", "n_pos")

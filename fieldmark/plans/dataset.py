@@ -11,7 +11,7 @@ from fieldmark.operators.cleaning import select_present
 from fieldmark.operators.dedup import first_per_key
 from fieldmark.operators.quality import assert_no_leakage
 from fieldmark.operators.quantiles import exact_quantiles
-from fieldmark.plans.features import REGISTRY, with_ref_month
+from fieldmark.plans.features import REGISTRY, feature_table, with_ref_month
 from fieldmark.plans.schema import FEATURE_COLUMNS, LABEL_COLUMNS, REF
 from fieldmark.plans.silver import claim_flag
 
@@ -98,6 +98,20 @@ def feature_tables(policies: DataFrame) -> dict[str, DataFrame]:
     return {name: table.build(policies) for name, table in REGISTRY.items()}
 
 
+def written_feature_tables(policies: DataFrame, path: str, names: Sequence[str] = tuple(REGISTRY)) -> dict[str, DataFrame]:
+    """Build feature tables from a written policy table, write each by month, read them back.
+
+    Later plans scan the tables instead of nesting six builds.
+    """
+    spark = policies.sparkSession
+    out = {}
+    for name in names:
+        table = feature_table(name).build(policies)
+        table.write.mode("overwrite").parquet(f"{path}/{name}")
+        out[name] = spark.read.schema(table.schema).parquet(f"{path}/{name}")
+    return out
+
+
 def with_features(spine: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
     keys = {name: REGISTRY[name].key for name in tables}
     return derived(lookup(spine, tables, keys))
