@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from checks import feature_queries as fq
 from checks.spec import Check, digits
 from checks.tables import on_policy, on_raw, policies, raw, read
 from fieldmark.functions import dates, numbers, text
@@ -79,6 +80,16 @@ def _partitioned(spark, sf):
     return back.groupBy("model_name").agg(F.count("*").alias("n_rows"), F.sum("claim").alias("claims"))
 
 
+def _step_counts(spark, sf):
+    """Row counts of two written steps, from their file footers."""
+    path = scratch_path(spark, "steps")
+    steps = raw(spark, sf, ["policy_no", "end_text"])
+    first = writers.overwrite(steps, f"{path}/raw")
+    dated = spark.read.parquet(f"{path}/raw").withColumn("end_date", dates.parse_date(F.col("end_text")))
+    second = writers.overwrite(cleaning.plausible_end(dated, "end_date"), f"{path}/plausible")
+    return spark.createDataFrame([("raw", first), ("plausible", second)], "step string, n_rows bigint")
+
+
 def _exported(spark, sf):
     path = scratch_path(spark, "export")
     writers.export_csv(_state_totals(spark, sf), path)
@@ -113,6 +124,15 @@ def _month_replaced(spark, sf):
 STATES = {n: f"S{n:02d}" for n in range(25)}
 
 
+def _shared(spark, sf):
+    """Two sources with different columns, cut to what they share."""
+    left = policies(spark, sf, ["policy_id", "state", "rate"]).filter("rate < 0.04")
+    right = policies(spark, sf, ["policy_id", "insurer", "state", "rate"]).filter("rate >= 0.04").drop("rate")
+    assert not readers.same_columns(left, right)
+    shared = readers.shared_columns(left, right)
+    return left.select(*shared).unionByName(right.select(*shared))
+
+
 def _geography(spark, sf):
     joined = read(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
     named = joined.withColumn("label", F.concat(F.lit(" São "), F.col("c_name"), F.lit("-d'Água ")))
@@ -318,8 +338,9 @@ CHECKS = {
         on_raw_columns(["policy_no", "sum_text"], lambda d: d.select("policy_no", numbers.from_decimal_comma(F.col("sum_text")).alias("sum_insured"))),
         on_raw("SELECT policy_no, TRY_CAST(replace(replace(sum_text, '.', ''), ',', '.') AS DOUBLE) AS sum_insured FROM raw"),
     ),
-    "s3_schema_difference": Check(
-        lambda spark, sf: readers.schema_difference(read(spark, sf, "orders"), read(spark, sf, "lineitem"))
+    "s3_shared_columns": Check(
+        _shared,
+        on_policy("SELECT policy_id, state FROM policy WHERE rate < 0.04 UNION ALL SELECT policy_id, state FROM policy WHERE rate >= 0.04"),
     ),
     "s4_overwrite": Check(_overwritten, STATE_TOTALS_SQL, digits(4, "area_ha")),
     "s5_empty_like": Check(
@@ -346,6 +367,19 @@ CHECKS = {
         on_policy_columns(["policy_id"], lambda d: quality.key_violations(d, ["policy_id"])),
         on_policy("SELECT policy_id, count(*) AS n_rows FROM policy GROUP BY 1 HAVING count(*) > 1"),
     ),
+    "s8_registered_table": Check(
+        lambda spark, sf: features.feature_table("insurer_risk").build(policies(spark, sf, fq.INPUTS["insurer_risk"])),
+        fq.INSURER_SQL,
+        fq.INSURER_FLOATS,
+        ["ref_month"],
+    ),
+    "a25_step_counts": Check(
+        _step_counts,
+        on_raw(
+            "SELECT 'raw' AS step, count(*) AS n_rows FROM raw UNION ALL SELECT 'plausible', count(*) FROM raw"
+            " WHERE year(TRY_CAST(end_text AS DATE)) <= 2035"
+        ),
+    ),
     "s9_partitioned_write": Check(
         _partitioned,
         on_policy(
@@ -644,9 +678,11 @@ WHERE rn = 1"""
         dates=["start_date"],
     ),
     "u4_leaked_columns": Check(
-        lambda spark, sf: spark.createDataFrame(
-            [(c,) for c in quality.leaked_columns(policies(spark, sf).columns)], "column string"
-        )
+        on_policy_columns(
+            ["policy_id", "state", "peril", "claim", "indemnity", "rate"],
+            lambda d: d.drop(*quality.leaked_columns(d.columns)),
+        ),
+        on_policy("SELECT policy_id, state, rate FROM policy"),
     ),
     "o4_preview": Check(on_policy_columns(["policy_id", "state", "rate"], lambda d: d.limit(5))),
     "silver_policies": Check(

@@ -291,6 +291,9 @@ FROM mesh m LEFT JOIN policy h ON {on_keys('area_id')} AND h.end_date < m.ref_mo
         digits(2, "insured_ended"),
         ["ref_month"],
     ),
+    "f9_point_in_time_predicate": _part(
+        "place_history", AREA, ["place_policies_90d", "place_claims_1095d"], PLACE_SQL, {}
+    ),
     "j5_two_bound_history": _part(
         "place_history", AREA, ["place_opened_90d", "place_dominant_peril_365d"], PLACE_SQL, {}
     ),

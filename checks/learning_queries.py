@@ -90,6 +90,16 @@ def _saved(spark, sf):
     return models.score_batch(late, prep, loaded, name, version)
 
 
+def _batch_scores(spark, sf):
+    """Out-of-time policies scored and written by model; counts per month and class."""
+    train, _, fitted = prepared(spark, sf)
+    model = models.fit_model("decision_tree", fitted.transform(train), LABEL, **QUICK["decision_tree"])
+    late = _frame(spark, sf, lambda d: dataset.scoring_spine(d, CUTOFF))
+    path = scratch_path(spark, "scores")
+    writers.overwrite(models.score_batch(late, fitted, model, "decision_tree", 1), path, ["model_name"])
+    return spark.read.parquet(path).groupBy(REF, "model_name", "model_version", "label").agg(F.count("*").alias("n_rows"))
+
+
 def _predictions_written(spark, sf):
     path = scratch_path(spark, "predictions")
     writers.overwrite(models.predictions(scored(spark, sf).withColumn("score", F.col("score") / 3), "probe", 1), path, ["model_name"])
@@ -213,6 +223,24 @@ CHECKS = {
     "m11_grid_search": Check(_tuned),
     "m12_feature_importances": Check(_importances),
     "m13_saved_model_scores": Check(_saved, dates=["ref_month"]),
+    "m15_batch_scoring": Check(
+        _batch_scores,
+        on_policy(
+            "SELECT CAST(date_trunc('month', start_date) AS DATE) AS ref_month, 'decision_tree' AS model_name,"
+            f" 1 AS model_version, label, count(*) AS n_rows FROM policy CROSS JOIN (SELECT unnest([0, 1]) AS label)"
+            f" WHERE start_date >= DATE '{CUTOFF}' GROUP BY 1, 4"
+        ),
+        dates=["ref_month"],
+    ),
+    "p33_score_columns": Check(
+        lambda spark, sf: models.predictions(scored(spark, sf), "probe", 7).filter("label = 1").drop("label"),
+        on_policy(
+            """SELECT CAST(date_trunc('month', start_date) AS DATE) AS ref_month, 'probe' AS model_name, 7 AS model_version,
+  policy_id, floor((sum_insured / 110000e0 + claim * area_ha / 500e0) * 10000) / 10000e0 AS prob_label FROM policy"""
+        ),
+        digits(6, "prob_label"),
+        ["ref_month"],
+    ),
     "m14_latest_run": Check(
         _latest,
         on_policy(

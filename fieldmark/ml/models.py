@@ -88,7 +88,9 @@ def fit_model(name: str, df: DataFrame, label: str, **settings):
     """Fit one classifier on a prepared frame (``features`` vector and label)."""
     if name == "adaboost":
         return fit_boosted_stumps(df, label, **{**SETTINGS[name], **settings})
-    return estimator(name, label, **settings).fit(with_class_weight(df, label, name))
+    # The copy leaves the training summary behind: it holds the session, which
+    # cannot be sent to the tasks that apply the model.
+    return estimator(name, label, **settings).fit(with_class_weight(df, label, name)).copy()
 
 
 def with_score(model, df: DataFrame) -> DataFrame:

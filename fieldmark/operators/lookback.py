@@ -106,8 +106,8 @@ def lookback_spread(
     """Count, mean and sample standard deviation of ``value`` over one lookback.
 
     Cells carry (n, mean, sum of squared deviations).  They are combined around
-    the entity's overall mean, so no large squares cancel; the result does not
-    depend on that centre.
+    the mean of the entity's earliest cell, so no large squares cancel and not
+    even the last digit depends on what comes after the reference month.
     """
     stamped = policies.select(
         *keys,
@@ -128,11 +128,11 @@ def lookback_spread(
         F.avg("_x").alias("_mean"),
         (F.var_pop("_x") * F.count("_x")).alias("_m2"),
     )
-    entity = W.partitionBy(*keys)
+    by_day = W.partitionBy(*keys).orderBy(day_number(F.col("_day")))
     weighted = F.col("_n") * F.col("_mean")
-    centre = F.sum(weighted).over(entity) / F.nullif(F.sum("_n").over(entity), F.lit(0))
-    centred = cells.withColumn("_off", F.col("_mean") - centre)
-    frame = entity.orderBy(day_number(F.col("_day"))).rangeBetween(-window, -1)
+    earliest = F.first("_mean", ignorenulls=True).over(by_day.rangeBetween(W.unboundedPreceding, W.currentRow))
+    centred = cells.withColumn("_off", F.col("_mean") - earliest)
+    frame = by_day.rangeBetween(-window, -1)
     seen = centred.select(
         F.col("_day").alias(ref),
         *keys,

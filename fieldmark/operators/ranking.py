@@ -28,10 +28,9 @@ def score_edges(df: DataFrame, score: str, buckets: int | None = None) -> list[f
     if buckets is None:
         buckets = min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_BUCKETS)
     shares = [i / buckets for i in range(1, buckets)]
-    if not shares:
-        return [float("-inf"), float("inf")]
-    inner = df.agg(F.percentile_approx(score, shares, max(10_000, 2 * buckets))).first()[0] or []
-    return [float("-inf"), *sorted({float(v) for v in inner}), float("inf")]
+    inner = df.agg(F.percentile_approx(score, shares, max(10_000, 2 * buckets))).first()[0] if shares else None
+    # The bucketizer needs one inner edge; where it lies does not matter.
+    return [float("-inf"), *sorted({float(v) for v in inner or [0.0]}), float("inf")]
 
 
 def running_counts(

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from fieldmark.functions.text import slug
+
 FORMATS = ("csv", "parquet", "json", "orc")
 
 
@@ -67,6 +69,12 @@ def same_columns(left: DataFrame, right: DataFrame) -> bool:
     return left.columns == right.columns
 
 
+def shared_columns(left: DataFrame, right: DataFrame) -> list[str]:
+    """Columns both tables have, in the order of the left one."""
+    theirs = set(right.columns)
+    return [c for c in left.columns if c in theirs]
+
+
 def geography(
     df: DataFrame, columns: Mapping[str, str], names: Sequence[str], state: str, states: Mapping[int, str]
 ) -> DataFrame:
@@ -75,8 +83,6 @@ def geography(
     ``columns`` maps source to target names; ``names`` are the target columns to
     slug; ``states`` maps numeric state codes to their letters (27 entries).
     """
-    from fieldmark.functions.text import slug
-
     picked = df.select(*[F.col(old).alias(new) for old, new in columns.items()])
     letters = F.create_map(*[F.lit(v) for pair in states.items() for v in (str(pair[0]), pair[1])])
     text_state = F.col(state).cast("string")
