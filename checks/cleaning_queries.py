@@ -240,6 +240,7 @@ def _silver(spark, sf):
             districts=district_dim(spark, sf),
             regions=regions(spark, sf),
         ),
+        silver.Options(decimal_comma=["sum_insured"]),
     )
 
 

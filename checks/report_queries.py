@@ -78,13 +78,13 @@ def written_policies(spark, sf):
 
 def _training(spark, sf):
     held = written_policies(spark, sf)
-    tables = dataset.written_feature_tables(held, scratch_path(spark, "features"))
+    tables = dataset.written_feature_tables(held, scratch_path(spark, "features"), by_month=False)
     return dataset.training_set(held, AS_OF, CUTOFF, tables)
 
 
 def _scoring(spark, sf):
     held = written_policies(spark, sf)
-    tables = dataset.written_feature_tables(held, scratch_path(spark, "features"))
+    tables = dataset.written_feature_tables(held, scratch_path(spark, "features"), by_month=False)
     return dataset.scoring_set(held, CUTOFF, tables)
 
 

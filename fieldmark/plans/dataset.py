@@ -98,18 +98,27 @@ def feature_tables(policies: DataFrame) -> dict[str, DataFrame]:
     return {name: table.build(policies) for name, table in REGISTRY.items()}
 
 
-def written_feature_tables(policies: DataFrame, path: str, names: Sequence[str] = tuple(REGISTRY)) -> dict[str, DataFrame]:
-    """Build feature tables from a written policy table, write each by month, read them back.
+def write_feature_table(table: DataFrame, path: str, by_month: bool = True) -> DataFrame:
+    """Write a feature table, partitioned by reference month, and read it back.
+
+    The rebalance hint lets Spark split large months over several files and
+    keep small ones in one.
+    """
+    if by_month:
+        table.hint("rebalance", REF).write.mode("overwrite").partitionBy(REF).parquet(path)
+    else:
+        table.write.mode("overwrite").parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)
+
+
+def written_feature_tables(
+    policies: DataFrame, path: str, names: Sequence[str] = tuple(REGISTRY), by_month: bool = True
+) -> dict[str, DataFrame]:
+    """Build feature tables from a written policy table and read them back.
 
     Later plans scan the tables instead of nesting six builds.
     """
-    spark = policies.sparkSession
-    out = {}
-    for name in names:
-        table = feature_table(name).build(policies)
-        table.write.mode("overwrite").parquet(f"{path}/{name}")
-        out[name] = spark.read.schema(table.schema).parquet(f"{path}/{name}")
-    return out
+    return {n: write_feature_table(feature_table(n).build(policies), f"{path}/{n}", by_month) for n in names}
 
 
 def with_features(spine: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -43,7 +43,6 @@ DROPPED = [
     "lat_decimal", "lon_decimal", "issued_on", "issue_year",
 ]
 
-DECIMAL_COMMA = ("sum_insured",)
 DOUBLES = (
     "area_ha", "expected_yield", "insured_yield", "coverage_level", "premium", "rate", "subsidy", "indemnity",
     "lat", "lon",
@@ -81,7 +80,7 @@ class Options:
     fold_marks: bool = False
     fill_nulls: bool = True
     loss_ratio_without_premium: float | None = 0.0
-    decimal_comma: Sequence[str] = DECIMAL_COMMA
+    decimal_comma: Sequence[str] = ()  # canonical columns whose text has a decimal comma
     renamed: Mapping[str, str] = field(default_factory=lambda: RENAMED)
     other_group: str = "other"
     other_region: str = "Other"
