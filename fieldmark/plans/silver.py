@@ -44,7 +44,7 @@ DROPPED = [
 ]
 
 DOUBLES = (
-    "area_ha", "expected_yield", "insured_yield", "coverage_level", "premium", "rate", "subsidy", "indemnity",
+    "area_ha", "expected_yield", "insured_yield", "coverage_level", "sum_insured", "premium", "rate", "subsidy", "indemnity",
     "lat", "lon",
 )
 INTS = ("head_count", "area_id")
