@@ -230,7 +230,9 @@ def _curve(column):
 
 
 def _all(spark, sf):
-    return ranking.all_metrics(scored(spark, sf), "label", "score", "model")
+    path = scratch_path(spark, "scores")
+    scored(spark, sf).select("model", "label", "score").write.parquet(path)
+    return ranking.all_metrics(spark.read.parquet(path), "label", "score", "model")
 
 
 def _pivot(spark, sf):

@@ -25,6 +25,7 @@ from fieldmark.ml.importance import importances
 from fieldmark.ml.preparation import Preparation
 from fieldmark.operators.ranking import all_metrics
 from fieldmark.plans.schema import REF
+from fieldmark.session import scratch_path
 from fieldmark.sources import writers
 
 WEIGHT = "class_weight"
@@ -111,12 +112,19 @@ def feature_importances(model, preparation: Preparation, spark: SparkSession) ->
 
 
 def evaluate(model, train: DataFrame, test: DataFrame, label: str, name: str) -> DataFrame:
-    """The six metrics on both parts, one row per split."""
+    """The six metrics on both parts, one row per split.
+
+    The metrics pass over the scores several times, so label and score are
+    written once and the model is applied once.
+    """
     parts = [
         with_score(model, df).select(F.lit(split).alias("split"), F.col(label), "score")
         for split, df in (("train", train), ("test", test))
     ]
-    return all_metrics(parts[0].unionByName(parts[1]), label, "score", "split").withColumn("model", F.lit(name))
+    path = scratch_path(train.sparkSession, "scores")
+    parts[0].unionByName(parts[1]).write.parquet(path)
+    scores = train.sparkSession.read.parquet(path)
+    return all_metrics(scores, label, "score", "split").withColumn("model", F.lit(name))
 
 
 @dataclass(frozen=True)

@@ -148,7 +148,10 @@ def threshold_metrics(
 
 
 def all_metrics(df: DataFrame, label: str, score: str, by: str, bound: int = DIRECT) -> DataFrame:
-    """The six reported metrics, one row per value of ``by`` (model, split, month)."""
+    """The six reported metrics, one row per value of ``by`` (model, split, month).
+
+    Give it a written score table: edges, cuts and curves are separate passes.
+    """
     curves = curve_metrics(running_counts(df, label, score, [by]), [by])
     cuts = threshold_metrics(df, label, score, by, bound=bound).drop("top_threshold", "n_rows", "n_pos")
     return cuts.join(curves, by)
