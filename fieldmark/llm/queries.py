@@ -6,19 +6,55 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldmark.llm.fingerprints import fingerprints
+from fieldmark.llm import fingerprints, languages, mixing, secrets, token_files, warc
+from fieldmark.session import scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprints(table(spark, sf_dir, "documents"))
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    return warc.read_archives(spark, path)
+
+
+def op6_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(table(spark, sf_dir, "documents"))
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "tokens")
+    token_files.write_tokens(table(spark, sf_dir, "documents"), path, tokenizer_path())
+    return token_files.token_digests(spark, path)
+
+
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_spans(table(spark, sf_dir, "documents"))
+
+
+def op10_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages.language_predictions(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
+    "op4_warc": op4_warc,
+    "op6_mixture": op6_mixture,
+    "op7_token_files": op7_token_files,
+    "op9_secrets": op9_secrets,
+    "op10_languages": op10_languages,
 }
 
 ORACLES: dict[str, str] = {}
