@@ -102,7 +102,9 @@ def mixture(
         F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
         F.xxhash64(F.lit("order"), F.col(id_column).cast("string"), text).alias("place"),
     )
-    sized = sized.withColumn("bucket", F.shiftrightunsigned("place", 32) % buckets)
+    # Buckets are ranges of the hash: the order, and so the mix, is the same for any number of them.
+    sized = sized.withColumn("high", F.shiftrightunsigned("place", 32))
+    sized = sized.withColumn("bucket", F.shiftrightunsigned(F.col("high") * F.lit(buckets).cast("long"), 32))
     sized = cut(sized, "mix-sizes")
     parts = sized.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
     in_order = Window.partitionBy("source").orderBy("bucket")
@@ -120,7 +122,7 @@ def mixture(
     parts = parts.select(
         F.col("source").alias("s"), F.col("bucket").alias("b"), "before", "source_size", "rank", "target"
     )
-    within = Window.partitionBy("source", "bucket").orderBy("place", F.col("doc_id").asc_nulls_last())
+    within = Window.partitionBy("source", "bucket").orderBy("high", "place", F.col("doc_id").asc_nulls_last())
     within = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     running = sized.withColumn("through", F.sum("size").over(within))
     placed = running.join(parts, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
