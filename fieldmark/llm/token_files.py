@@ -20,10 +20,8 @@ in order of their text's hash; null ids come first.  An empty table gives empty
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,18 +34,28 @@ END = 0
 BLOCK_TOKENS = 1 << 20
 #: Texts handed to the tokenizer at once, in characters; words kept with their ids per worker.
 FEED_CHARS = 1 << 20
-KEPT_WORDS = 1 << 19
-LONGEST_KEPT = 64
+KEPT_WORDS = 1 << 20
 
-_PLAIN_GAP = re.compile(r"\s | \s|^ | \Z")
+class _Numbers(dict):
+    """Numbers words as they are first asked for; ``new`` lists those since it was last emptied."""
+
+    def __init__(self, base: int):
+        super().__init__()
+        self.base, self.new = base, []
+
+    def __missing__(self, word: str) -> int:
+        self.new.append(word)
+        number = self[word] = self.base + len(self)
+        return number
 
 
 class Encoder:
     """The tokenizer with the ids of words already met.
 
-    A byte-level BPE with this splitting rule never joins bytes across a space that stands between
-    two other characters than white space, so a text is the sequence of its words, each with the
-    space before it.  Texts with other white space around a space are encoded as a whole.
+    A byte-level BPE with this splitting rule never joins bytes across a space or a line end that
+    stands between two characters other than white space.  So a text is a sequence of words, each
+    with the space or line end before it, and each word met is encoded once.  Texts in which white
+    space meets white space are encoded as a whole.
     """
 
     def __init__(self, path: str):
@@ -55,36 +63,80 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.first: dict[str, bytes] = {}
-        self.inner: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
+        vocabulary = self.tokenizer.get_vocab()
+        # How a byte-level vocabulary spells the space and the line end.
+        self.begins = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.begins[[n for t, n in vocabulary.items() if t.startswith("\u0120") or t == "\u010a"]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        """Number 0 is the end of a text."""
+        self.words = _Numbers(1)
+        self.store, self.starts = [np.array([END], np.uint32)], [np.zeros(1, np.int64)]
+        self.sizes = [np.ones(1, np.int64)]
+        self.plain = [np.ones(1, bool)]
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    def _learn(self, known: dict[str, bytes], words: list[str], before: str) -> None:
-        new = [w for w in dict.fromkeys(words) if w not in known]
-        known.update(zip(new, self._encode([before + w for w in new])))
+        return [np.array(e.ids, np.uint32) for e in found]
+
+    def _learn(self) -> None:
+        """Encode the words that were not met before, in one text that begins every word with its white space."""
+        new, self.words.new = self.words.new, []
+        if not new:
+            return
+        bodies = [w[1:] if w[:1] == "\n" else w for w in new]
+        plain = np.array([b != "" and b.strip() == b for b in bodies])
+        kept = [w if w[:1] == "\n" else " " + w for w, good in zip(new, plain) if good]
+        ids = self._encode(["".join(kept)])[0] if kept else np.zeros(0, np.uint32)
+        firsts = np.flatnonzero(self.begins[ids])
+        if len(firsts) != len(kept):
+            parts = self._encode(kept)
+            ids = np.concatenate(parts)
+            firsts = np.cumsum([0, *map(len, parts)])[:-1]
+        starts, sizes = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64)
+        starts[plain] = firsts + sum(map(len, self.store))
+        sizes[plain] = np.diff(np.append(firsts, len(ids)))
+        for held, more in ((self.store, ids), (self.starts, starts), (self.sizes, sizes), (self.plain, plain)):
+            held[:] = [np.concatenate([*held, more])]
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, the end id appended."""
-        pieces = [None if _PLAIN_GAP.search(text) else text.split(" ") for text in texts]
-        whole = iter(self._encode([text for text, words in zip(texts, pieces) if words is None]))
-        self._learn(self.first, [words[0] for words in pieces if words], "")
-        self._learn(self.inner, list(chain.from_iterable(words[1:] for words in pieces if words)), " ")
-        out, end = [], np.array([END], "<u4").tobytes()
-        inner = self.inner.__getitem__
-        for words in pieces:
-            joined = next(whole) if words is None else self.first[words[0]] + b"".join(map(inner, words[1:]))
-            out.append(np.frombuffer(joined + end, "<u4"))
-        self.first.clear()
-        if len(self.inner) > KEPT_WORDS:
-            self.inner.clear()
-        for word in [w for w in self.inner if len(w) > LONGEST_KEPT]:
-            del self.inner[word]
+        numbers, bounds, first_words = [], [0], []
+        for text in texts:
+            words = text.replace("\n", " \n").split(" ")
+            first_words.append(words[0])
+            numbers += map(self.words.__getitem__, words[1:])
+            numbers.append(0)
+            bounds.append(len(numbers))
+        self._learn()
+        numbers, bounds = np.array(numbers, np.int64), np.array(bounds)
+        starts, sizes, store = self.starts[0][numbers], self.sizes[0][numbers], self.store[0]
+        ends = np.cumsum(sizes)
+        ids = store[np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1])]
+        at = np.concatenate([[0], ends])[bounds]
+        rough = np.add.reduceat(~self.plain[0][numbers], bounds[:-1]) > 0
+        rough |= [w != w.strip() or (w == "" and t != "") for w, t in zip(first_words, texts)]
+        begun = self._encode([t if r else w for t, w, r in zip(texts, first_words, rough.tolist())])
+        out = [
+            np.append(first, np.uint32(END)) if r else np.concatenate([first, ids[a:b]])
+            for first, r, a, b in zip(begun, rough.tolist(), at[:-1].tolist(), at[1:].tolist())
+        ]
+        if len(self.words) > KEPT_WORDS:
+            self._forget()
         return out
 
 
+_encoders: dict[str, Encoder] = {}
+
+
+def _encoder(path: str) -> Encoder:
+    """A worker's encoder, kept from task to task with the words it knows."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
+
+
 def pack(ids: np.ndarray) -> tuple[np.ndarray, bytes, bytes]:
     """The ids by falling frequency, the control bytes and the data bytes."""
     counts = np.bincount(ids)
@@ -155,7 +207,7 @@ def _fed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], list[st
 
 def _blocks(path: str):
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, ids, parts, held, block = None, [], [], 0, 0
+        ids, parts, held, block = [], [], 0, 0
 
         def close() -> pa.RecordBatch:
             ranked, control, data = pack(np.concatenate(parts))
@@ -166,8 +218,7 @@ def _blocks(path: str):
             )
 
         for doc_ids, texts, shard in _fed(batches):
-            encoder = encoder or Encoder(path)
-            for doc_id, tokens in zip(doc_ids, encoder(texts)):
+            for doc_id, tokens in zip(doc_ids, _encoder(path)(texts)):
                 ids.append(doc_id)
                 parts.append(tokens)
                 held += len(tokens)
