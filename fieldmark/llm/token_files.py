@@ -32,20 +32,22 @@ from fieldmark.llm.common import cut, partitions
 END = 0
 #: Tokens of a block, about; a longer document is a block of its own.
 BLOCK_TOKENS = 1 << 20
-#: Texts handed to the tokenizer at once, in characters; words kept with their ids per worker.
+#: Texts handed to the tokenizer at once, in characters.
 FEED_CHARS = 1 << 20
-KEPT_WORDS = 1 << 20
+#: Words that a worker holds with their ids, and how many of the most used it keeps when there are more.
+HELD_WORDS = 400_000
+KEPT_WORDS = 150_000
 
 class _Numbers(dict):
-    """Numbers words as they are first asked for; ``new`` lists those since it was last emptied."""
+    """Numbers words from 1 as they are first asked for; ``new`` lists those since it was last emptied."""
 
-    def __init__(self, base: int):
+    def __init__(self):
         super().__init__()
-        self.base, self.new = base, []
+        self.new: list[str] = []
 
     def __missing__(self, word: str) -> int:
         self.new.append(word)
-        number = self[word] = self.base + len(self)
+        number = self[word] = 1 + len(self)
         return number
 
 
@@ -71,10 +73,24 @@ class Encoder:
 
     def _forget(self) -> None:
         """Number 0 is the end of a text."""
-        self.words = _Numbers(1)
-        self.store, self.starts = [np.array([END], np.uint32)], [np.zeros(1, np.int64)]
-        self.sizes = [np.ones(1, np.int64)]
-        self.plain = [np.ones(1, bool)]
+        self.words = _Numbers()
+        self.store, self.starts = np.array([END], np.uint32), np.zeros(1, np.int64)
+        self.sizes, self.plain, self.uses = np.ones(1, np.int64), np.ones(1, bool), np.zeros(1, np.int64)
+
+    def _thin(self) -> None:
+        """Keep the most used words."""
+        used = np.argsort(-self.uses[1:], kind="stable")[:KEPT_WORDS] + 1
+        used.sort()
+        keep = np.concatenate([[0], used])
+        new_number = np.zeros(len(self.uses), np.int64)
+        new_number[keep] = np.arange(len(keep))
+        words = _Numbers()
+        words.update((w, k) for w, k in zip(self.words, new_number[1:].tolist()) if k)
+        starts, sizes = self.starts[keep], self.sizes[keep]
+        ends = np.cumsum(sizes)
+        self.store = self.store[np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1])]
+        self.words, self.starts, self.sizes = words, ends - sizes, sizes
+        self.plain, self.uses = self.plain[keep], self.uses[keep] // 2
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -95,10 +111,11 @@ class Encoder:
             ids = np.concatenate(parts)
             firsts = np.cumsum([0, *map(len, parts)])[:-1]
         starts, sizes = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64)
-        starts[plain] = firsts + sum(map(len, self.store))
+        starts[plain] = firsts + len(self.store)
         sizes[plain] = np.diff(np.append(firsts, len(ids)))
-        for held, more in ((self.store, ids), (self.starts, starts), (self.sizes, sizes), (self.plain, plain)):
-            held[:] = [np.concatenate([*held, more])]
+        self.store, self.starts = np.concatenate([self.store, ids]), np.concatenate([self.starts, starts])
+        self.sizes, self.plain = np.concatenate([self.sizes, sizes]), np.concatenate([self.plain, plain])
+        self.uses = np.concatenate([self.uses, np.zeros(len(new), np.int64)])
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, the end id appended."""
@@ -111,19 +128,20 @@ class Encoder:
             bounds.append(len(numbers))
         self._learn()
         numbers, bounds = np.array(numbers, np.int64), np.array(bounds)
-        starts, sizes, store = self.starts[0][numbers], self.sizes[0][numbers], self.store[0]
+        self.uses += np.bincount(numbers, minlength=len(self.uses))
+        starts, sizes = self.starts[numbers], self.sizes[numbers]
         ends = np.cumsum(sizes)
-        ids = store[np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1])]
+        ids = self.store[np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1])]
         at = np.concatenate([[0], ends])[bounds]
-        rough = np.add.reduceat(~self.plain[0][numbers], bounds[:-1]) > 0
+        rough = np.add.reduceat(~self.plain[numbers], bounds[:-1]) > 0
         rough |= [w != w.strip() or (w == "" and t != "") for w, t in zip(first_words, texts)]
         begun = self._encode([t if r else w for t, w, r in zip(texts, first_words, rough.tolist())])
         out = [
             np.append(first, np.uint32(END)) if r else np.concatenate([first, ids[a:b]])
             for first, r, a, b in zip(begun, rough.tolist(), at[:-1].tolist(), at[1:].tolist())
         ]
-        if len(self.words) > KEPT_WORDS:
-            self._forget()
+        if len(self.words) > HELD_WORDS:
+            self._thin()
         return out
 
 
