@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldmark.llm import fingerprints, languages, mixing, secrets, token_files, warc
+from fieldmark.llm import fingerprints, languages, mixing, near_dups, secrets, token_files, warc
 from fieldmark.session import scratch_path
 
 
@@ -30,6 +30,10 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, path)
 
 
+def op5_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
+
+
 def op6_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"))
 
@@ -51,6 +55,7 @@ def op10_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op4_warc": op4_warc,
+    "op5_near_dups": op5_near_dups,
     "op6_mixture": op6_mixture,
     "op7_token_files": op7_token_files,
     "op9_secrets": op9_secrets,
