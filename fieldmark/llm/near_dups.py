@@ -313,11 +313,13 @@ def one_per_class(docs: DataFrame, id_column: str = "doc_id", text_column: str =
                 yield marked.filter(pa.array(chosen))
 
     rows = docs.mapInArrow(noted, docs.withColumn(mark, F.lit(None).cast("long")).schema)
-    kept = rows.join(stays, F.col(mark) == F.col("stay_node"), "left")
-    own = F.row_number().over(Window.partitionBy(mark, F.col(id_column).eqNullSafe(F.col("stay_id"))).orderBy(mark))
-    nth = mark + "_nth"
-    while nth in docs.columns:
-        nth += "_"
-    kept = kept.withColumn(nth, F.when(F.col(mark).isNotNull(), own))
+    # Wordless rows have no node; a key from their id keeps them apart.
+    key, nth = mark + "_key", mark + "_nth"
+    while {key, nth} & set(docs.columns):
+        key, nth = key + "_", nth + "_"
+    rows = rows.withColumn(key, F.coalesce(F.col(mark), F.xxhash64(id_column, text_column)))
+    kept = rows.join(stays, F.col(key) == F.col("stay_node"), "left")
+    own = F.row_number().over(Window.partitionBy(key, F.col(id_column).eqNullSafe(F.col("stay_id"))).orderBy(key))
+    kept = kept.withColumn(nth, own)
     stay = F.col(id_column).cast("long").eqNullSafe(F.col("stay_id")) & (F.col(nth) == 1) & F.col("stay_node").isNotNull()
     return kept.where(F.col(mark).isNull() | stay).select(*docs.columns)

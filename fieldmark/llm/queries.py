@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldmark.llm import fingerprints, languages, mixing, near_dups, secrets, token_files, warc
+from fieldmark.llm import decontaminate, fingerprints, languages, mixing, near_dups, secrets, token_files, warc
 from fieldmark.session import scratch_path
 
 
@@ -44,6 +44,11 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digests(spark, path)
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "share", "changed")
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_spans(table(spark, sf_dir, "documents"))
 
@@ -58,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_near_dups": op5_near_dups,
     "op6_mixture": op6_mixture,
     "op7_token_files": op7_token_files,
+    "op8_decontaminate": op8_decontaminate,
     "op9_secrets": op9_secrets,
     "op10_languages": op10_languages,
 }
