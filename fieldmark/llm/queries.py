@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldmark.llm import decontaminate, fingerprints, languages, mixing, near_dups, secrets, token_files, warc
+from fieldmark.llm import decontaminate, fingerprints, languages, mixing, near_dups, quality, repeats, secrets, token_files, warc
 from fieldmark.session import scratch_path
 
 
@@ -24,6 +24,14 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeat_digests(table(spark, sf_dir, "documents"))
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write_archives(table(spark, sf_dir, "pages"), path)
@@ -59,6 +67,8 @@ def op10_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
+    "op2_repeats": op2_repeats,
+    "op3_quality": op3_quality,
     "op4_warc": op4_warc,
     "op5_near_dups": op5_near_dups,
     "op6_mixture": op6_mixture,
