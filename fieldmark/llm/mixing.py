@@ -79,20 +79,18 @@ def _position(words_before: Column, target: Column, slope: Column) -> Column:
     return 2 * share / (even + F.sqrt(even * even + 4 * slope * share))
 
 
-def mixture(
-    docs: DataFrame,
-    id_column: str = "doc_id",
-    text_column: str = "text",
-    source_column: str = "source",
-    total: float = TOTAL,
-    most: float = MOST,
+def _place(id_column: str, text_column: str) -> Column:
+    """A row's place in the shuffled order: a hash of its id and text."""
+    return F.xxhash64(F.lit("order"), F.col(id_column).cast("string"), F.coalesce(F.col(text_column), F.lit("")))
+
+
+def _decided(
+    docs: DataFrame, id_column: str, text_column: str, source_column: str, total: float, most: float
 ) -> DataFrame:
-    """One row per document: its size, its source's size and target, the words taken, its positions.
+    """Size, source's size, target, words before it in its source's order, words taken, passes of each row.
 
-    ``position`` is the time of the first pass, ``again`` that of the last; both are null for a
-    document that is not taken.  Running sums never gather a source: a source's shuffled order is
-    cut into buckets by hash, the buckets' sums are added up first (a row per source and bucket),
-    and each bucket is summed on its own.
+    Running sums never gather a source: its shuffled order is cut into buckets by hash, the buckets'
+    sums are added up first (a row per source and bucket), and each bucket is summed on its own.
     """
     buckets = max(64, 4 * partitions(docs.sparkSession))
     text = F.coalesce(F.col(text_column), F.lit(""))
@@ -100,7 +98,7 @@ def mixture(
         F.col(id_column).alias("doc_id"),
         F.col(source_column).alias("source"),
         F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
-        F.xxhash64(F.lit("order"), F.col(id_column).cast("string"), text).alias("place"),
+        _place(id_column, text_column).alias("place"),
     )
     # Buckets are ranges of the hash: the order, and so the mix, is the same for any number of them.
     sized = sized.withColumn("high", F.shiftrightunsigned("place", 32))
@@ -130,10 +128,11 @@ def mixture(
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     placed = placed.select(
         "doc_id",
+        "place",
         "size",
         "source_size",
         "target",
-        "rank",
+        _by_rank(SLOPES, F.col("rank")).alias("slope"),
         passes.cast("long").alias("passes"),
         (F.col("before") + F.col("through") - F.col("size")).alias("words_before"),
     )
@@ -141,9 +140,27 @@ def mixture(
     more = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("words_before")))
     placed = placed.withColumn("taken", F.col("passes") * F.col("size") + more)
     times = F.when(F.col("size") > 0, F.ceil(F.col("taken") / F.col("size"))).otherwise(0)
-    placed = placed.withColumn("times", times.cast("int"))
-    slope = _by_rank(SLOPES, F.col("rank"))
-    last = F.col("words_before") + (F.col("times") - 1) * F.col("source_size")
+    return placed.withColumn("times", times.cast("int"))
+
+
+def _position_of(nth: Column) -> Column:
+    return _position(F.col("words_before") + nth * F.col("source_size"), F.col("target"), F.col("slope"))
+
+
+def mixture(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    source_column: str = "source",
+    total: float = TOTAL,
+    most: float = MOST,
+) -> DataFrame:
+    """One row per document: its size, its source's size and target, the words taken, its positions.
+
+    ``position`` is the time of the first pass, ``again`` that of the last; both are null for a
+    document that is not taken.
+    """
+    placed = _decided(docs, id_column, text_column, source_column, total, most)
     taken = F.col("times") > 0
     return placed.select(
         "doc_id",
@@ -152,6 +169,51 @@ def mixture(
         "target",
         "taken",
         "times",
-        F.when(taken, _position(F.col("words_before"), F.col("target"), slope)).alias("position"),
-        F.when(taken, _position(last, F.col("target"), slope)).alias("again"),
+        F.when(taken, _position_of(F.lit(0))).alias("position"),
+        F.when(taken, _position_of(F.col("times") - 1)).alias("again"),
+    )
+
+
+def mixed(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    source_column: str = "source",
+    size_column: str | None = None,
+    total: float = TOTAL,
+    most: float = MOST,
+) -> DataFrame:
+    """The training order: a row of ``docs`` per pass over a document, range-sorted by position.
+
+    The document at a source's border is cut to the words that remain, joined by single spaces;
+    ``size_column``, if given, then holds its new number of characters.
+    """
+    placed = _decided(docs, id_column, text_column, source_column, total, most)
+    nth = F.explode(F.expr("CASE WHEN times > 0 THEN sequence(0, times - 1) END")).alias("nth")
+    passes = placed.select("*", nth)
+    words = F.least(F.col("size"), F.col("taken") - F.col("nth") * F.col("size"))
+    passes = passes.select(
+        F.col("place").alias("pass_of"),
+        F.struct(
+            _position_of(F.col("nth")).alias("position"), F.when(words < F.col("size"), words).alias("words")
+        ).alias("pass"),
     )
+    # Repeated rows have one place: their passes are listed together, and one of the rows carries them all.
+    passes = passes.groupBy("pass_of").agg(F.sort_array(F.collect_list("pass")).alias("passes"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), _place(id_column, text_column).alias("place_"))
+    rows = rows.join(passes, F.col("place_") == F.col("pass_of"))
+    rows = rows.withColumn("copy_", F.row_number().over(Window.partitionBy("place_").orderBy("pass_of")))
+    rows = rows.where("copy_ = 1").select("row", "place_", F.explode("passes").alias("pass"))
+    rows = rows.orderBy("pass.position", "place_")
+    text, words = F.col("row")[text_column], F.col("pass.words").cast("int")
+    listed = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    short = F.when(words.isNull(), text).otherwise(F.array_join(F.slice(listed, 1, words), " "))
+    columns = []
+    for name in docs.columns:
+        value = F.col("row")[name]
+        if name == text_column:
+            value = short
+        elif name == size_column:
+            value = F.when(words.isNull(), value).otherwise(F.length(short).cast("long"))
+        columns.append(value.alias(name))
+    return rows.select(*columns)

@@ -317,9 +317,9 @@ def one_per_class(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     key, nth = mark + "_key", mark + "_nth"
     while {key, nth} & set(docs.columns):
         key, nth = key + "_", nth + "_"
-    rows = rows.withColumn(key, F.coalesce(F.col(mark), F.xxhash64(id_column, text_column)))
-    kept = rows.join(stays, F.col(key) == F.col("stay_node"), "left")
-    own = F.row_number().over(Window.partitionBy(key, F.col(id_column).eqNullSafe(F.col("stay_id"))).orderBy(key))
-    kept = kept.withColumn(nth, own)
-    stay = F.col(id_column).cast("long").eqNullSafe(F.col("stay_id")) & (F.col(nth) == 1) & F.col("stay_node").isNotNull()
-    return kept.where(F.col(mark).isNull() | stay).select(*docs.columns)
+    rows = rows.withColumn(key, F.coalesce(F.col(mark), F.xxhash64(id_column, text_column))).alias("d")
+    kept = rows.join(stays.alias("s"), F.col(f"d.{key}") == F.col("s.stay_node"), "left")
+    own_id = F.col(f"d.`{id_column}`").cast("long").eqNullSafe(F.col("s.stay_id"))
+    kept = kept.withColumn(nth, F.row_number().over(Window.partitionBy(key, own_id).orderBy(key)))
+    stay = own_id & (F.col(nth) == 1) & F.col("s.stay_node").isNotNull()
+    return kept.where(F.col(mark).isNull() | stay).select(*(F.col(f"d.`{c}`") for c in docs.columns))

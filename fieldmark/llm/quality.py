@@ -35,7 +35,7 @@ SHAPES, WORDS, STEPS = 512, 448, 64
 TERMS = SHAPES + WORDS + STEPS
 DIMENSIONS = 48
 NEIGHBOURS = 15
-SHARPNESS = 4.0
+SHARPNESS = 12.0
 PRIOR = 0.25
 THRESHOLD = 0.3
 SHAPE_WIDTH = 5
