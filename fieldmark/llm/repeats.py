@@ -41,8 +41,11 @@ GRAM = 16
 #: Common prefixes are followed this far: the longest string of a run with one anchor place.
 DEEPEST = 2 * LEAST - GRAM
 CROWD = 4096
-PART_BYTES = 8 << 20
-GROUPS_PER_TASK = 2
+#: Text of a part, and parts and buckets per task, about.
+PART_BYTES = 4 << 20
+GROUPS_PER_TASK = 4
+#: Strings whose suffixes are sorted at once, in bytes; strings of one anchor stay together.
+SORT_BYTES = 1 << 20
 
 _NO_ID = np.iinfo(np.int64).max
 
@@ -131,9 +134,7 @@ class SuffixArray:
 
 def covered(data: np.ndarray, bounds: np.ndarray, owners: np.ndarray, least: int = LEAST) -> np.ndarray:
     """For each byte of the strings, how many bytes from there a string of smaller owner also has (0 or >= least)."""
-    reach = np.zeros(len(data), np.int64)
-    if not len(data):
-        return reach
+    reach = np.zeros(len(data), np.uint32)
     array = SuffixArray(data, bounds, least)
     owner = owners[array.string]
     for depth, first, last in array.maximal_repeats():
@@ -145,6 +146,12 @@ def covered(data: np.ndarray, bounds: np.ndarray, owners: np.ndarray, least: int
     return reach
 
 
+def _anchors(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The anchor of each string's first window, and so of all its windows."""
+    grams = Spans(data).windows(GRAM)
+    return grams[bounds[:-1, None] + np.arange(LEAST - GRAM + 1)].min(axis=1)
+
+
 # ---- runs of windows with one anchor -------------------------------------------------------------
 
 
@@ -396,18 +403,36 @@ def _opened(buckets: int):
 
 def _repeated(rows: pa.Table) -> pa.Table:
     """Step 3, by bucket: how far each window of the strings is repeated from a smaller document."""
-    owners, sizes, data = [], [], []
+    owners, bounds, data, anchors = [], [], [], []
     for packed in rows.column("packed").to_pylist():
         n, width = struct.unpack_from("<II", packed)
         owners.append(_wide(packed[8 : 8 + width], n))
-        sizes.append(np.frombuffer(packed, "<u4", n, 8 + width).astype(np.int64))
+        sizes = np.frombuffer(packed, "<u4", n, 8 + width).astype(np.int64)
+        bounds.append(np.concatenate([[0], np.cumsum(sizes)]))
         data.append(np.frombuffer(packed, np.uint8, offset=8 + width + 4 * n))
-    bounds = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
-    reach = covered(np.concatenate(data), bounds, np.concatenate(owners))
-    out, at = [], 0
-    for part, kind, own in zip(rows.column("part").to_pylist(), rows.column("kind").to_pylist(), data):
-        mine = reach[at : at + len(own)]
-        at += len(own)
+        anchors.append(_anchors(data[-1], bounds[-1]))
+    before = np.cumsum([0, *map(len, data)])
+    start = np.concatenate([b[:-1] + k for b, k in zip(bounds, before)])
+    end = np.concatenate([b[1:] + k for b, k in zip(bounds, before)])
+    owner, anchor, joined = np.concatenate(owners), np.concatenate(anchors), np.concatenate(data)
+    reach = np.zeros(len(joined), np.uint32)
+    order = np.argsort(anchor, kind="stable")
+    ends = np.cumsum((end - start)[order])
+    turns = np.flatnonzero(np.concatenate([anchor[order][1:] != anchor[order][:-1], [True]])) + 1
+    at = 0
+    while at < len(order):
+        wanted = np.searchsorted(ends, (ends[at - 1] if at else 0) + SORT_BYTES)
+        to = int(turns[np.searchsorted(turns, min(max(wanted, at + 1), len(order)))])
+        chosen = order[at:to]
+        own = np.concatenate([[0], np.cumsum((end - start)[chosen])])
+        found = covered(_gather(joined, start[chosen], end[chosen]), own, owner[chosen])
+        places = np.flatnonzero(found)
+        string = np.searchsorted(own, places, "right") - 1
+        reach[start[chosen][string] + places - own[string]] = found[places]
+        at = to
+    out = []
+    for part, kind, a, b in zip(rows.column("part").to_pylist(), rows.column("kind").to_pylist(), before, before[1:]):
+        mine = reach[a:b]
         if mine.any():
             places = np.flatnonzero(mine)
             packed = struct.pack("<I", len(places))
@@ -434,7 +459,7 @@ def _cut_out(buckets: int):
             return _RESULT.empty_table()
         part = _Part(rows, answers, buckets)
         runs, entries, n = part.runs, part.entries, len(part.data)
-        change = np.zeros(n + 1, np.int64)
+        change = np.zeros(n + 1, np.int32)
 
         def cover(start: np.ndarray, end: np.ndarray) -> None:
             np.add.at(change, start, 1)
