@@ -45,7 +45,9 @@ CROWD = 4096
 PART_BYTES = 4 << 20
 GROUPS_PER_TASK = 4
 #: Strings whose suffixes are sorted at once, in bytes; strings of one anchor stay together.
-SORT_BYTES = 1 << 20
+SORT_BYTES = 1 << 18
+#: Text whose runs are found at once.
+SLICE_BYTES = 1 << 18
 
 _NO_ID = np.iinfo(np.int64).max
 
@@ -159,7 +161,7 @@ class Runs:
     """The runs of the rows of a text column: ``row``, first and last window, anchor and content hash."""
 
     def __init__(self, column: pa.Array):
-        parts = [self._slice(column.slice(a, b - a), a) for a, b in slices(column)]
+        parts = [self._slice(column.slice(a, b - a), a) for a, b in slices(column, SLICE_BYTES)]
         names = ("row", "first", "last", "anchor", "content")
         kinds = (np.int64, np.int64, np.int64, np.uint64, np.uint64)
         for k, (name, kind) in enumerate(zip(names, kinds)):
