@@ -38,8 +38,10 @@ from fieldmark.llm.common import Spans, mix, partitions, slices, utf8
 
 LEAST = 50
 GRAM = 16
-#: Common prefixes are followed this far: the longest string of a run with one anchor place.
+#: Common prefixes are followed this far: the longest string of a run with one place of its anchor.
 DEEPEST = 2 * LEAST - GRAM
+#: Windows of a run at most.
+LONGEST_RUN = 64
 CROWD = 4096
 #: Text of a part, and parts and buckets per task, about.
 PART_BYTES = 4 << 20
@@ -189,6 +191,11 @@ class Runs:
         ends = valid.copy()
         ends[:-1] &= ~valid[1:] | begins[1:]
         first, last = np.flatnonzero(begins), np.flatnonzero(ends)
+        # Text of a short period has one anchor all along; its pieces repeat each other.
+        pieces = -(-(last - first + 1) // LONGEST_RUN)
+        nth = np.arange(int(pieces.sum())) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        first = np.repeat(first, pieces) + nth * LONGEST_RUN
+        last = np.minimum(np.repeat(last, pieces), first + LONGEST_RUN - 1)
         row = rows[first]
         content = spans.hashed(first, last + LEAST)
         return row + row_before, first - offsets[row], last - offsets[row], least[first], content
