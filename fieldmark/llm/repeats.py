@@ -198,7 +198,8 @@ class Runs:
         last = np.minimum(np.repeat(last, pieces), first + LONGEST_RUN - 1)
         row = rows[first]
         content = spans.hashed(first, last + LEAST)
-        return row + row_before, first - offsets[row], last - offsets[row], least[first], content
+        # Least values crowd near zero; mixed again, they fill the buckets evenly.
+        return row + row_before, first - offsets[row], last - offsets[row], mix(least[first]), content
 
 
 class Entries:
