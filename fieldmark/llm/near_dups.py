@@ -281,8 +281,11 @@ def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     rooted = rows.join(roots.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left")
     rooted = rooted.select("doc_id", "node", F.coalesce("root", "node").alias("root"))
     lowest = rooted.where("root IS NOT NULL").groupBy(F.col("root").alias("r")).agg(F.min("doc_id").alias("lowest"))
+    # Written, so that both sides of the join are dealt for it alone and a large class can be split.
+    lowest = cut(lowest, "lowest")
     judged = rooted.join(lowest, F.col("root") == F.col("r"), "left")
-    return judged.select("doc_id", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("lowest")).alias("class_id"), "node")
+    class_id = F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("lowest"))
+    return judged.select("doc_id", class_id.alias("class_id"), "node")
 
 
 def one_per_class(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
