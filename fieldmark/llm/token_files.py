@@ -35,8 +35,8 @@ BLOCK_TOKENS = 1 << 20
 #: Texts handed to the tokenizer at once, in characters.
 FEED_CHARS = 1 << 20
 #: Words that a worker holds with their ids, and how many of the most used it keeps when there are more.
-HELD_WORDS = 400_000
-KEPT_WORDS = 150_000
+HELD_WORDS = 800_000
+KEPT_WORDS = 400_000
 
 class _Numbers(dict):
     """Numbers words from 1 as they are first asked for; ``new`` lists those since it was last emptied."""
