@@ -46,18 +46,26 @@ def sha1_base32(content: Column) -> Column:
 def _roles(pages: DataFrame, least: int) -> DataFrame:
     """The pages with ``record_type`` and ``refers_to``.
 
-    The largest id per payload comes from an aggregation of digests, and is joined back to ids and
-    digests alone; payloads move once, dealt by page, whatever the size of a group of copies.
+    Digests and ids alone are aggregated; a row per payload that stands more than once is joined
+    back.  Where that table is small Spark keeps the payloads where they are, else it deals them by
+    digest and splits a large group of copies.
     """
-    light = pages.select("page_id", "key", "digest", "size").distinct()
-    best = light.groupBy(F.col("digest").alias("d")).agg(F.max("key").alias("best"))
-    best = light.join(best, F.col("digest") == F.col("d")).select(
-        F.col("key").alias("k"), "d", "best"
+    sizes = pages.where(F.col("size") >= least).groupBy("digest", "key").agg(F.count("*").alias("n"))
+    copies = sizes.groupBy(F.col("digest").alias("d")).agg(
+        F.max(F.struct("key", "n")).alias("best"), F.sum("n").alias("n")
     )
-    copy = F.row_number().over(Window.partitionBy("key", "digest").orderBy("url"))
-    rows = pages.withColumn("copy", copy)
-    rows = rows.join(best, (F.col("key") == F.col("k")) & (F.col("digest") == F.col("d")))
-    revisits = (F.col("size") >= least) & ((F.col("key") != F.col("best")) | (F.col("copy") > 1))
+    copies = copies.where("n > 1").select("d", F.col("best.key").alias("best"), F.col("best.n").alias("n_best"))
+    copies = cut(copies, "warc-copies")
+    rows = pages.join(copies, (F.col("digest") == F.col("d")) & (F.col("size") >= least), "left")
+    revisits = F.col("key") != F.col("best")
+    if not copies.where("n_best > 1").isEmpty():
+        # The best id's page itself is repeated: one of its rows is the response.
+        several = F.coalesce((F.col("n_best") > 1) & (F.col("key") == F.col("best")), F.lit(False))
+        copy = F.row_number().over(Window.partitionBy("key", "digest").orderBy("url"))
+        rare = rows.where(several).withColumn("copy", copy)
+        rows = rows.where(~several).withColumn("copy", F.lit(1)).unionByName(rare)
+        revisits |= F.col("copy") > 1
+    revisits = F.coalesce(revisits, F.lit(False))
     return rows.select(
         "page_id",
         "url",
@@ -225,4 +233,5 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     joined = pieces.groupBy("file", "record").agg(listed.alias("parts"))
     value = F.array_join(F.transform("parts", lambda p: p["value"]), MAGIC)
     joined = joined.select("file", F.lit(0).alias("split"), F.lit(0).alias("nth"), value.alias("value"))
-    return whole.unionByName(_parsed(joined).select(*_RECORD))
+    # Written at once: places in a split hold as long as files are split alike.
+    return whole.unionByName(cut(_parsed(joined).select(*_RECORD), "warc-joined"))
