@@ -20,6 +20,7 @@ in order of their text's hash; null ids come first.  An empty table gives empty
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -35,8 +36,24 @@ BLOCK_TOKENS = 1 << 20
 #: Texts handed to the tokenizer at once, in characters.
 FEED_CHARS = 1 << 20
 #: Words that a worker holds with their ids, and how many of the most used it keeps when there are more.
-HELD_WORDS = 800_000
-KEPT_WORDS = 400_000
+HELD_WORDS = 500_000
+KEPT_WORDS = 250_000
+
+#: What is known of a word: it can be encoded by itself, it begins with a mark, a mark can follow it.
+_PLAIN, _MARK, _JOINS = 1, 2, 4
+
+
+def _joins(word: str) -> bool:
+    """True if a point or comma after the word begins a token of its own."""
+    return word != "" and unicodedata.category(word[-1])[0] in "LN"
+
+
+def _kind(word: str) -> int:
+    marked = word[:1] == "\1"
+    body = word[1:] if marked or word[:1] == "\n" else word
+    plain = body != "" and body.strip() == body and "\1" not in body
+    return _PLAIN * plain | _MARK * marked | _JOINS * _joins(word)
+
 
 class _Numbers(dict):
     """Numbers words from 1 as they are first asked for; ``new`` lists those since it was last emptied."""
@@ -55,9 +72,10 @@ class Encoder:
     """The tokenizer with the ids of words already met.
 
     A byte-level BPE with this splitting rule never joins bytes across a space or a line end that
-    stands between two characters other than white space.  So a text is a sequence of words, each
-    with the space or line end before it, and each word met is encoded once.  Texts in which white
-    space meets white space are encoded as a whole.
+    stands between two characters other than white space, nor between a letter or digit and a point
+    or comma.  So a text is a sequence of words, each with the space, line end or mark that it
+    begins with, and each word met is encoded once.  Texts in which white space meets white space,
+    or marks meet marks, are encoded as a whole.
     """
 
     def __init__(self, path: str):
@@ -75,7 +93,8 @@ class Encoder:
         """Number 0 is the end of a text."""
         self.words = _Numbers()
         self.store, self.starts = np.array([END], np.uint32), np.zeros(1, np.int64)
-        self.sizes, self.plain, self.uses = np.ones(1, np.int64), np.ones(1, bool), np.zeros(1, np.int64)
+        self.sizes, self.uses = np.ones(1, np.int64), np.zeros(1, np.int64)
+        self.kinds = np.full(1, _PLAIN | _JOINS, np.uint8)
 
     def _thin(self) -> None:
         """Keep the most used words."""
@@ -90,7 +109,7 @@ class Encoder:
         ends = np.cumsum(sizes)
         self.store = self.store[np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1])]
         self.words, self.starts, self.sizes = words, ends - sizes, sizes
-        self.plain, self.uses = self.plain[keep], self.uses[keep] // 2
+        self.kinds, self.uses = self.kinds[keep], self.uses[keep] // 2
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -101,9 +120,11 @@ class Encoder:
         new, self.words.new = self.words.new, []
         if not new:
             return
-        bodies = [w[1:] if w[:1] == "\n" else w for w in new]
-        plain = np.array([b != "" and b.strip() == b for b in bodies])
-        kept = [w if w[:1] == "\n" else " " + w for w, good in zip(new, plain) if good]
+        kinds = np.array([_kind(w) for w in new], np.uint8)
+        plain, marked = kinds & _PLAIN > 0, kinds & _MARK > 0
+        # A mark stands after a letter, whose one token is left out again.
+        kept = [" a" + w[1:] if m else w if w[:1] == "\n" else " " + w for w, m in zip(new, marked.tolist())]
+        kept = [w for w, good in zip(kept, plain.tolist()) if good]
         ids = self._encode(["".join(kept)])[0] if kept else np.zeros(0, np.uint32)
         firsts = np.flatnonzero(self.begins[ids])
         if len(firsts) != len(kept):
@@ -113,15 +134,17 @@ class Encoder:
         starts, sizes = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64)
         starts[plain] = firsts + len(self.store)
         sizes[plain] = np.diff(np.append(firsts, len(ids)))
+        starts[plain & marked] += 1
+        sizes[plain & marked] -= 1
         self.store, self.starts = np.concatenate([self.store, ids]), np.concatenate([self.starts, starts])
-        self.sizes, self.plain = np.concatenate([self.sizes, sizes]), np.concatenate([self.plain, plain])
+        self.sizes, self.kinds = np.concatenate([self.sizes, sizes]), np.concatenate([self.kinds, kinds])
         self.uses = np.concatenate([self.uses, np.zeros(len(new), np.int64)])
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, the end id appended."""
         numbers, bounds, first_words = [], [0], []
         for text in texts:
-            words = text.replace("\n", " \n").split(" ")
+            words = text.replace("\n", " \n").replace(".", " \1.").replace(",", " \1,").split(" ")
             first_words.append(words[0])
             numbers += map(self.words.__getitem__, words[1:])
             numbers.append(0)
@@ -133,8 +156,15 @@ class Encoder:
         ends = np.cumsum(sizes)
         ids = self.store[np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1])]
         at = np.concatenate([[0], ends])[bounds]
-        rough = np.add.reduceat(~self.plain[numbers], bounds[:-1]) > 0
-        rough |= [w != w.strip() or (w == "" and t != "") for w, t in zip(first_words, texts)]
+        kinds = self.kinds[numbers]
+        bad = kinds & _PLAIN == 0
+        bad[1:] |= (kinds[1:] & _MARK > 0) & (kinds[:-1] & _JOINS == 0)
+        rough = np.add.reduceat(bad, bounds[:-1]) > 0
+        first_marked = (kinds[bounds[:-1]] & _MARK > 0).tolist()
+        rough |= [
+            w != w.strip() or (w == "" and t != "") or "\1" in t or (m and not _joins(w))
+            for w, t, m in zip(first_words, texts, first_marked)
+        ]
         begun = self._encode([t if r else w for t, w, r in zip(texts, first_words, rough.tolist())])
         out = [
             np.append(first, np.uint32(END)) if r else np.concatenate([first, ids[a:b]])
@@ -168,8 +198,9 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, bytes, bytes]:
     fours[: len(extra)] = extra
     fours = fours.reshape(-1, 4)
     control = fours[:, 0] | fours[:, 1] << 2 | fours[:, 2] << 4 | fours[:, 3] << 6
-    spread = ranks.astype("<u4").view(np.uint8).reshape(-1, 4)
-    data = spread[np.arange(4) <= extra[:, None]]
+    width = 2 if len(ranked) <= 1 << 16 else 4
+    spread = ranks.astype(f"<u{width}").view(np.uint8).reshape(-1, width)
+    data = spread[np.arange(width) <= extra[:, None]]
     return ranked.astype("<u4"), control.astype(np.uint8).tobytes(), data.tobytes()
 
 
