@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from fieldmark.session import scratch_path
 
 #: Documents are handled in slices of about this many bytes, so that a task's arrays stay small.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
@@ -31,6 +31,15 @@ def held_back(id_column: str, modulus: int, remainder: int) -> Column:
     return F.coalesce(F.crc32(F.col(id_column).cast("string")) % modulus == remainder, F.lit(False))
 
 
+#: What a Python worker keeps from task to task for one operator.
+worker_state: dict = {}
+
+
+def release() -> None:
+    """Drop what another operator's tasks have left in this worker."""
+    worker_state.clear()
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column and its n + 1 offsets; a null counts as empty.  No copy is made."""
     if isinstance(column, pa.ChunkedArray):

@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from fieldmark.llm.common import Spans, cut, mix, shingles, slices, utf8, word_bounds
+from fieldmark.llm.common import Spans, cut, release, shingles, slices, utf8, word_bounds
 
 WIDTH = 5
 SHARE = 0.8
@@ -208,6 +208,7 @@ def leaks(
     shared = spark.sparkContext.broadcast(np.packbits(bits).tobytes())
 
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         passes = np.unpackbits(np.frombuffer(shared.value, np.uint8)).view(bool)
         for batch in batches:
             yield from _found(batch.column(1), batch.column(0), passes)

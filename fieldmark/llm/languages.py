@@ -29,7 +29,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from fieldmark.llm.common import SLICE_BYTES, held_back, mix, slices
+from fieldmark.llm.common import SLICE_BYTES, held_back, mix, release, slices
 
 ORDER = 4
 HASH_BITS = 20
@@ -115,6 +115,7 @@ _COUNT_ARROW = pa.schema([("lang", pa.string()), ("slot", pa.int32()), ("code",
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    release()
     for batch in batches:
         langs, texts = batch.column(0).dictionary_encode(), batch.column(1)
         for number, lang in enumerate(langs.dictionary.to_pylist()):
@@ -305,6 +306,7 @@ def _calibrate(rows: DataFrame, model: Model) -> None:
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             entropies, counts = shared.value.entropies(batch.column(0))
             best = entropies.argmin(axis=1)
@@ -343,6 +345,7 @@ def predict(docs: DataFrame, model: Model, id_column: str = "doc_id", text_colum
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             best, score, lowest, rejected = shared.value.judged(batch.column(1))
             names = np.array([*shared.value.languages, UNKNOWN], object)
@@ -360,6 +363,7 @@ def accepted(docs: DataFrame, model: Model, text_column: str = "text") -> DataFr
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             rejected = shared.value.judged(batch.column(batch.schema.get_field_index(text_column)))[3]
             yield batch.filter(pa.array(~rejected))

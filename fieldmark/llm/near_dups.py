@@ -33,15 +33,18 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
-from fieldmark.llm.common import Spans, cut, mix, partitions, shingles, slices, utf8, word_bounds
+from fieldmark.llm.common import Spans, cut, mix, partitions, release, shingles, slices, utf8, word_bounds
 from fieldmark.llm.graphs import components
 
 WIDTH = 5
 SIMILARITY = 0.8
 POSITIONS = 128
 BAND = 4
-#: Documents of a block, about; two blocks meet in a task.
+#: Documents and shingles of a block, about; two blocks meet in a task.
 BLOCK = 256
+BLOCK_SHINGLES = 1 << 17
+#: Points of all processes that are drawn at once.
+DRAWN = 1 << 18
 #: Columns of the overlap matrices at a time.
 COLUMNS = 4096
 #: Bits of the table that keeps texts without candidates from being read into a shuffle.
@@ -106,7 +109,7 @@ def signatures(found: np.ndarray, rows: np.ndarray, n_rows: int, positions: int
         going = time < first.max(axis=1)[row]
         seed, low, width, weight, row, time = (x[going] for x in (seed, low, width, weight, row, time))
         done += take
-        take = min(64, max(1, done // 2)) if done > 1 else 1
+        take = min(64, max(1, done // 2), max(1, DRAWN // max(1, len(seed))))
     return first
 
 
@@ -120,10 +123,14 @@ def bands(signature: np.ndarray, size: int = BAND) -> np.ndarray:
     return key
 
 
-_SIGNED = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("bands", pa.list_(pa.int64()))])
+_SIGNED = pa.schema(
+    [("doc_id", pa.int64()), ("node", pa.int64()), ("size", pa.int64()), ("bands", pa.list_(pa.int64()))]
+)
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Id, node, number of shingles and band keys of each row."""
+    release()
     for batch in batches:
         for a, b in slices(batch.column(1)):
             part = batch.slice(a, b - a)
@@ -132,7 +139,8 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             bounds = pa.array(np.arange(len(part) + 1, dtype=np.int32) * keys.shape[1])
             lists = pa.ListArray.from_arrays(bounds, pa.array(keys.reshape(-1)))
             node = pa.array(nodes.view(np.int64), mask=nodes == 0)
-            yield pa.RecordBatch.from_arrays([part.column(0), node, lists], schema=_SIGNED)
+            size = pa.array(np.bincount(rows, minlength=len(part)))
+            yield pa.RecordBatch.from_arrays([part.column(0), node, size, lists], schema=_SIGNED)
 
 
 _BAGS = pa.schema([("node", pa.int64()), ("bag", pa.binary())])
@@ -162,6 +170,7 @@ def _bit_table(wanted: DataFrame) -> bytes:
 def _bags_of(shared):
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The sorted shingles of the rows that the table lets through."""
+        release()
         wanted = np.unpackbits(np.frombuffer(shared.value, np.uint8)).view(bool)
         for batch in batches:
             for a, b in slices(batch.column(1)):
@@ -257,15 +266,18 @@ def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     """One row per document: ``doc_id``, ``class_id`` (the class's least id) and ``node`` (equal for equal words)."""
     spark = docs.sparkSession
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    signed = cut(texts.mapInArrow(_signed, "doc_id long, node long, bands array<long>"), "signed")
-    loose = cut(_candidates(signed), "loose")
+    signed = cut(texts.mapInArrow(_signed, "doc_id long, node long, size long, bands array<long>"), "signed")
+    loose = _candidates(signed)
 
     # One text per node: that of its least id.  A table of bits, of fixed size, keeps all others back.
-    least = signed.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"))
-    shared = spark.sparkContext.broadcast(_bit_table(loose.select("node").join(least, "node")))
+    least = signed.where("node IS NOT NULL").groupBy("node")
+    least = least.agg(F.min("doc_id").alias("least"), F.first("size").alias("size"))
+    loose = cut(loose.join(least, "node"), "candidates")
+    shared = spark.sparkContext.broadcast(_bit_table(loose.select("node", "least")))
     kept = texts.mapInArrow(_bags_of(shared), "node long, bag binary")
 
-    sizes = loose.groupBy(F.col("root").alias("r")).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("size") / BLOCK_SHINGLES)).cast("int")
+    sizes = loose.groupBy(F.col("root").alias("r")).agg(blocks.alias("blocks"))
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     dealt = loose.join(sizes, F.col("root") == F.col("r")).select("node", "root", "blocks", block.alias("own"))
     meets = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
@@ -306,6 +318,7 @@ def one_per_class(docs: DataFrame, id_column: str = "doc_id", text_column: str =
 
     def noted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The rows that the table lets through, and the wordless ones, with their node."""
+        release()
         wanted = np.unpackbits(np.frombuffer(shared.value, np.uint8)).view(bool)
         for batch in batches:
             for a, b in slices(batch.column(at_text)):

@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from fieldmark.llm.common import cut, partitions
+from fieldmark.llm.common import cut, partitions, worker_state
 
 END = 0
 #: Tokens of a block, about; a longer document is a block of its own.
@@ -175,14 +175,11 @@ class Encoder:
         return out
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def _encoder(path: str) -> Encoder:
     """A worker's encoder, kept from task to task with the words it knows."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    if ("encoder", path) not in worker_state:
+        worker_state["encoder", path] = Encoder(path)
+    return worker_state["encoder", path]
 
 
 def pack(ids: np.ndarray) -> tuple[np.ndarray, bytes, bytes]:
