@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import contextlib
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +43,22 @@ def release() -> None:
     worker_state.clear()
 
 
+def tidy(made: Callable[..., Iterator[pa.RecordBatch]]) -> Callable[..., Iterator[pa.RecordBatch]]:
+    """For functions over a task's batches: a worker waits for its next task with little memory.
+
+    Workers outlive their tasks and stages; freed arrays would otherwise stay with them.
+    """
+
+    @functools.wraps(made)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from made(batches)
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return run
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column and its n + 1 offsets; a null counts as empty.  No copy is made."""
     if isinstance(column, pa.ChunkedArray):

@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from fieldmark.llm.common import Spans, cut, release, shingles, slices, utf8, word_bounds
+from fieldmark.llm.common import Spans, cut, release, shingles, slices, tidy, utf8, word_bounds
 
 WIDTH = 5
 SHARE = 0.8
@@ -170,6 +170,7 @@ def _found(column: pa.Array, ids: pa.Array, passes: np.ndarray | None) -> Iterat
 def benchmark_windows(items: DataFrame, id_column: str = "item_id", text_column: str = "text") -> DataFrame:
     """(item_id, form, hash, place, slots, n): every window of the benchmark, and the item's number of windows."""
 
+    @tidy
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield from _found(batch.column(1), batch.column(0), None)
@@ -197,6 +198,7 @@ def leaks(
     spark = docs.sparkSession
     windows = cut(benchmark_windows(items, item_column, item_text_column), "benchmark")
 
+    @tidy
     def slots_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.unique(batch.column(0).to_numpy().view(np.uint64) >> np.uint64(64 - FILTER_BITS))
@@ -207,6 +209,7 @@ def leaks(
     bits[found.column(0).to_numpy()] = True
     shared = spark.sparkContext.broadcast(np.packbits(bits).tobytes())
 
+    @tidy
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
         passes = np.unpackbits(np.frombuffer(shared.value, np.uint8)).view(bool)

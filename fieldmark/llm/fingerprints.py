@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.functions import pandas_udf
 
-from fieldmark.llm.common import Spans, mix, partitions
+from fieldmark.llm.common import Spans, mix, partitions, tidy
 
 EXACT = 8
 LIKENESS = 128
@@ -125,6 +125,7 @@ def _row(doc_id: int | None, text: str, own: Fingerprint, following: str, follow
     return (doc_id, len(text), digest, own.encoded(), changed_print.encoded(), *likeness)
 
 
+@tidy
 def _against_next(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Ranges one after another: each one's rows in order, then the first row of the range it precedes."""
     at, waiting = None, None

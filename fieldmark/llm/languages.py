@@ -29,7 +29,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from fieldmark.llm.common import SLICE_BYTES, held_back, mix, release, slices
+from fieldmark.llm.common import SLICE_BYTES, held_back, mix, release, slices, tidy
 
 ORDER = 4
 HASH_BITS = 20
@@ -114,6 +114,7 @@ def _suffix(codes: np.ndarray, order: int) -> np.ndarray:
 _COUNT_ARROW = pa.schema([("lang", pa.string()), ("slot", pa.int32()), ("code", pa.int64()), ("n", pa.int64())])
 
 
+@tidy
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     release()
     for batch in batches:
@@ -305,6 +306,7 @@ def _calibrate(rows: DataFrame, model: Model) -> None:
     """Mean and spread of the lowest cross-entropy by language and length, from all training texts."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
+    @tidy
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
         for batch in batches:
@@ -344,6 +346,7 @@ def predict(docs: DataFrame, model: Model, id_column: str = "doc_id", text_colum
     """One row per document: language, score, cross-entropy and whether it is rejected."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    @tidy
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
         for batch in batches:
@@ -362,6 +365,7 @@ def accepted(docs: DataFrame, model: Model, text_column: str = "text") -> DataFr
     """The rows of ``docs`` whose text is not rejected, all columns as they were."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    @tidy
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
         for batch in batches:

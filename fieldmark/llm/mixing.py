@@ -14,7 +14,7 @@ time, by inverting the integral, is the document's position, and documents are r
 
 Cases: null and empty texts have no words and are never taken; null sources are one source, the
 last; sources are ranked by code point; equal ids and repeated rows are rows of their own, ties in
-the shuffled order being broken by id and text hash.  An empty table gives an empty mix.
+the shuffled order being broken by id and text hash (rows equal in both are interchangeable).  An empty table gives an empty mix.
 """
 
 from __future__ import annotations
@@ -79,31 +79,27 @@ def _position(words_before: Column, target: Column, slope: Column) -> Column:
     return 2 * share / (even + F.sqrt(even * even + 4 * slope * share))
 
 
-def _place(id_column: str, text_column: str) -> Column:
-    """A row's place in the shuffled order: a hash of its id and text."""
-    return F.xxhash64(F.lit("order"), F.col(id_column).cast("string"), F.coalesce(F.col(text_column), F.lit("")))
-
-
-def _decided(
-    docs: DataFrame, id_column: str, text_column: str, source_column: str, total: float, most: float
-) -> DataFrame:
-    """Size, source's size, target, words before it in its source's order, words taken, passes of each row.
-
-    Running sums never gather a source: its shuffled order is cut into buckets by hash, the buckets'
-    sums are added up first (a row per source and bucket), and each bucket is summed on its own.
-    """
+def _sized(docs: DataFrame, id_column: str, text_column: str, source_column: str, carried: list[Column]) -> DataFrame:
+    """Source, number of words, place in the shuffled order and its bucket, beside the carried columns."""
     buckets = max(64, 4 * partitions(docs.sparkSession))
     text = F.coalesce(F.col(text_column), F.lit(""))
     sized = docs.select(
-        F.col(id_column).alias("doc_id"),
+        *carried,
         F.col(source_column).alias("source"),
         F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
-        _place(id_column, text_column).alias("place"),
+        F.xxhash64(F.lit("order"), F.col(id_column).cast("string"), text).alias("place"),
     )
     # Buckets are ranges of the hash: the order, and so the mix, is the same for any number of them.
     sized = sized.withColumn("high", F.shiftrightunsigned("place", 32))
-    sized = sized.withColumn("bucket", F.shiftrightunsigned(F.col("high") * F.lit(buckets).cast("long"), 32))
-    sized = cut(sized, "mix-sizes")
+    return sized.withColumn("bucket", F.shiftrightunsigned(F.col("high") * F.lit(buckets).cast("long"), 32))
+
+
+def _decided(sized: DataFrame, total: float, most: float) -> DataFrame:
+    """``sized`` with its source's size and target, the words before each row, words taken and passes.
+
+    Running sums never gather a source: its shuffled order is cut into buckets by hash, the buckets'
+    sums are added up first (a row per source and bucket), and each bucket is summed on its own.
+    """
     parts = sized.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
     in_order = Window.partitionBy("source").orderBy("bucket")
     parts = parts.select(
@@ -117,24 +113,21 @@ def _decided(
     parts = parts.select("source", "bucket", "before").join(
         sources.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))
     )
-    parts = parts.select(
-        F.col("source").alias("s"), F.col("bucket").alias("b"), "before", "source_size", "rank", "target"
+    parts = cut(
+        parts.select(F.col("source").alias("s"), F.col("bucket").alias("b"), "before", "source_size", "rank", "target"),
+        "mix-targets",
     )
-    within = Window.partitionBy("source", "bucket").orderBy("high", "place", F.col("doc_id").asc_nulls_last())
+    within = Window.partitionBy("source", "bucket").orderBy("high", "place")
     within = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     running = sized.withColumn("through", F.sum("size").over(within))
     placed = running.join(parts, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
-
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
-    placed = placed.select(
-        "doc_id",
-        "place",
-        "size",
-        "source_size",
-        "target",
-        _by_rank(SLOPES, F.col("rank")).alias("slope"),
-        passes.cast("long").alias("passes"),
-        (F.col("before") + F.col("through") - F.col("size")).alias("words_before"),
+    placed = placed.withColumns(
+        {
+            "slope": _by_rank(SLOPES, F.col("rank")),
+            "passes": passes.cast("long"),
+            "words_before": F.col("before") + F.col("through") - F.col("size"),
+        }
     )
     rest = F.floor(F.col("target") - F.col("passes") * F.col("source_size")).cast("long")
     more = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("words_before")))
@@ -160,7 +153,8 @@ def mixture(
     ``position`` is the time of the first pass, ``again`` that of the last; both are null for a
     document that is not taken.
     """
-    placed = _decided(docs, id_column, text_column, source_column, total, most)
+    sized = _sized(docs, id_column, text_column, source_column, [F.col(id_column).alias("doc_id")])
+    placed = _decided(cut(sized, "mix-sizes"), total, most)
     taken = F.col("times") > 0
     return placed.select(
         "doc_id",
@@ -188,24 +182,19 @@ def mixed(
     The document at a source's border is cut to the words that remain, joined by single spaces;
     ``size_column``, if given, then holds its new number of characters.
     """
-    placed = _decided(docs, id_column, text_column, source_column, total, most)
+    sized = _sized(docs, id_column, text_column, source_column, [F.struct(*docs.columns).alias("row")])
+    placed = _decided(sized, total, most)
     nth = F.explode(F.expr("CASE WHEN times > 0 THEN sequence(0, times - 1) END")).alias("nth")
-    passes = placed.select("*", nth)
+    rows = placed.select("row", "place", "size", "taken", "words_before", "source_size", "target", "slope", nth)
     words = F.least(F.col("size"), F.col("taken") - F.col("nth") * F.col("size"))
-    passes = passes.select(
-        F.col("place").alias("pass_of"),
-        F.struct(
-            _position_of(F.col("nth")).alias("position"), F.when(words < F.col("size"), words).alias("words")
-        ).alias("pass"),
+    rows = rows.select(
+        "row",
+        "place",
+        _position_of(F.col("nth")).alias("position"),
+        F.when(words < F.col("size"), words).cast("int").alias("words"),
     )
-    # Repeated rows have one place: their passes are listed together, and one of the rows carries them all.
-    passes = passes.groupBy("pass_of").agg(F.sort_array(F.collect_list("pass")).alias("passes"))
-    rows = docs.select(F.struct(*docs.columns).alias("row"), _place(id_column, text_column).alias("place_"))
-    rows = rows.join(passes, F.col("place_") == F.col("pass_of"))
-    rows = rows.withColumn("copy_", F.row_number().over(Window.partitionBy("place_").orderBy("pass_of")))
-    rows = rows.where("copy_ = 1").select("row", "place_", F.explode("passes").alias("pass"))
-    rows = rows.orderBy("pass.position", "place_")
-    text, words = F.col("row")[text_column], F.col("pass.words").cast("int")
+    rows = rows.orderBy("position", "place")
+    text, words = F.col("row")[text_column], F.col("words")
     listed = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
     short = F.when(words.isNull(), text).otherwise(F.array_join(F.slice(listed, 1, words), " "))
     columns = []

@@ -33,7 +33,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
-from fieldmark.llm.common import Spans, cut, mix, partitions, release, shingles, slices, utf8, word_bounds
+from fieldmark.llm.common import Spans, cut, mix, partitions, release, shingles, slices, tidy, utf8, word_bounds
 from fieldmark.llm.graphs import components
 
 WIDTH = 5
@@ -128,6 +128,7 @@ _SIGNED = pa.schema(
 )
 
 
+@tidy
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Id, node, number of shingles and band keys of each row."""
     release()
@@ -157,6 +158,7 @@ def _ids(column: pa.Array) -> np.ndarray:
 def _bit_table(wanted: DataFrame) -> bytes:
     """A table of 2**FILTER_BITS bits that is set for each (node, id) of ``wanted``, whatever their number."""
 
+    @tidy
     def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.unique(_wanted_slot(batch.column(0).to_numpy(), _ids(batch.column(1))))
@@ -168,6 +170,7 @@ def _bit_table(wanted: DataFrame) -> bytes:
 
 
 def _bags_of(shared):
+    @tidy
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The sorted shingles of the rows that the table lets through."""
         release()
@@ -232,6 +235,7 @@ def forest(nodes: np.ndarray, bags_: list[np.ndarray], similarity: float = SIMIL
 _LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
+@tidy
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by group; each group is a pair of blocks."""
     group, nodes, held = None, [], []
@@ -316,6 +320,7 @@ def one_per_class(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         mark += "_"
     at_id, at_text = docs.columns.index(id_column), docs.columns.index(text_column)
 
+    @tidy
     def noted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The rows that the table lets through, and the wordless ones, with their node."""
         release()

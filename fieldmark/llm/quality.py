@@ -28,7 +28,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from fieldmark.llm.common import Spans, held_back, mix, slices, utf8, word_bounds
+from fieldmark.llm.common import Spans, held_back, mix, slices, tidy, utf8, word_bounds
 
 MAX_LABELLED = 8192
 SHAPES, WORDS, STEPS = 512, 448, 64
@@ -181,6 +181,7 @@ def train(
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
     rows = texts.join(chosen, F.col("doc_id") == F.col("id")).select("doc_id", "label", "text")
 
+    @tidy
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b in _row_slices(batch.column(2)):
@@ -202,6 +203,7 @@ def predict(docs: DataFrame, model: Classifier, id_column: str = "doc_id", text_
     """One row per document: ``doc_id`` and ``score``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    @tidy
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             scores = np.clip(shared.value.scores(batch.column(1)), 0, 1)

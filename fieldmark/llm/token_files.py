@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from fieldmark.llm.common import cut, partitions, worker_state
+from fieldmark.llm.common import cut, partitions, tidy, worker_state
 
 END = 0
 #: Tokens of a block, about; a longer document is a block of its own.
@@ -252,6 +252,7 @@ def _fed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], list[st
 
 
 def _blocks(path: str):
+    @tidy
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, parts, held, block = [], [], 0, 0
 
@@ -296,6 +297,7 @@ _DOC_ARROW = pa.schema(
 )
 
 
+@tidy
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
@@ -307,6 +309,7 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _DOC_ARROW.types)], schema=_DOC_ARROW)
 
 
+@tidy
 def _read_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
     for batch in batches:
