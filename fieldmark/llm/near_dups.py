@@ -267,7 +267,10 @@ def _candidates(signed: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row per document: ``doc_id``, ``class_id`` (the class's least id) and ``node`` (equal for equal words)."""
+    """One row per document: ``doc_id``, ``class_id`` (the class's least id), ``node`` (equal for equal words), ``root``.
+
+    ``root`` tells classes apart even where ids are null or repeated; it is null for a wordless text.
+    """
     spark = docs.sparkSession
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
     signed = cut(texts.mapInArrow(_signed, "doc_id long, node long, size long, bands array<long>"), "signed")
@@ -301,7 +304,7 @@ def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     lowest = cut(lowest, "lowest")
     judged = rooted.join(lowest, F.col("root") == F.col("r"), "left")
     class_id = F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("lowest"))
-    return judged.select("doc_id", class_id.alias("class_id"), "node")
+    return judged.select("doc_id", class_id.alias("class_id"), "node", "root")
 
 
 def one_per_class(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -311,9 +314,9 @@ def one_per_class(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     one of each set of repeated rows.  Wordless texts all stay.
     """
     judged = classes(docs, id_column, text_column)
-    stays = judged.where("node IS NOT NULL AND doc_id <=> class_id").groupBy("class_id")
-    stays = stays.agg(F.min("node").alias("stay_node"))
-    stays = cut(stays.select("stay_node", F.col("class_id").alias("stay_id")), "stays")
+    stays = judged.where("root IS NOT NULL AND doc_id <=> class_id").groupBy("root")
+    stays = stays.agg(F.min("node").alias("stay_node"), F.first("class_id").alias("stay_id"))
+    stays = cut(stays.select("stay_node", "stay_id"), "stays")
     shared = docs.sparkSession.sparkContext.broadcast(_bit_table(stays))
     mark = "node"
     while mark in docs.columns:
