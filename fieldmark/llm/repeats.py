@@ -43,9 +43,12 @@ DEEPEST = 2 * LEAST - GRAM
 #: Windows of a run at most.
 LONGEST_RUN = 64
 CROWD = 4096
-#: Text of a part, and parts and buckets per task, about.
+#: Text of a part, about, and how much text's runs meet in a bucket.  Every part may send a blob to every
+#: bucket, so both numbers follow the text's size and not the number of tasks.
 PART_BYTES = 4 << 20
-GROUPS_PER_TASK = 4
+BUCKET_BYTES = 16 << 20
+LEAST_BUCKETS = 64
+PARTS_PER_TASK = 4
 #: Strings whose suffixes are sorted at once, in bytes; strings of one anchor stay together.
 SORT_BYTES = 1 << 18
 #: Text whose runs are found at once.
@@ -544,19 +547,20 @@ def without_repeats(
     spark = docs.sparkSession
     text = F.col(text_column)
     total = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).cast("long").alias("n")).first().n
-    tasks = max(partitions(spark), -(-total // (PART_BYTES * GROUPS_PER_TASK)))
-    groups = tasks * GROUPS_PER_TASK
+    parts = max(1, -(-total // PART_BYTES))
+    buckets = min(parts, max(LEAST_BUCKETS, -(-total // BUCKET_BYTES)))
+    tasks = max(partitions(spark), -(-parts // PARTS_PER_TASK))
     rows = docs.select(F.col(id_column).cast("long").alias("id"), text.alias("text"))
-    rows = rows.select(F.pmod(F.xxhash64("id", "text"), F.lit(groups)).cast("int").alias("part"), "id", "text")
+    rows = rows.select(F.pmod(F.xxhash64("id", "text"), F.lit(parts)).cast("int").alias("part"), "id", "text")
     rows = rows.repartition(tasks, "part")
 
-    sent = rows.groupBy("part").applyInArrow(_sent(groups), BLOBS)
+    sent = rows.groupBy("part").applyInArrow(_sent(buckets), BLOBS)
     met = sent.repartition(tasks, "bucket").groupBy("bucket").applyInArrow(lambda blobs: _met(blobs, crowd), BLOBS)
     met = met.repartition(tasks, "part")
-    opened = rows.groupBy("part").cogroup(met.groupBy("part")).applyInArrow(_opened(groups), BLOBS)
+    opened = rows.groupBy("part").cogroup(met.groupBy("part")).applyInArrow(_opened(buckets), BLOBS)
     repeated = opened.repartition(tasks, "bucket").groupBy("bucket").applyInArrow(_repeated, BLOBS)
     answers = met.unionByName(repeated).repartition(tasks, "part")
-    return rows.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(_cut_out(groups), RESULT)
+    return rows.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(_cut_out(buckets), RESULT)
 
 
 def repeat_digests(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
