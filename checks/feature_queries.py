@@ -200,13 +200,13 @@ def _mesh(spark, sf):
 
 
 def _unbounded(spark, sf):
-    """All history before the reference month: a frame wider than the calendar."""
+    """All history before the reference month."""
     dated = features.with_ref_month(policies(spark, sf, ["start_date", "end_date", "area_id", "sum_insured"]))
-    clock = Clock("end_date", [36500], {"n": F.lit(1), "insured": F.col("sum_insured")})
+    clock = Clock("end_date", [None], {"n": F.lit(1), "insured": F.col("sum_insured")})
     sums = lookback_sums(dated, ["area_id"], REF, {"ended": clock})
     return sums.select(
-        REF, "area_id", F.col("ended_n_36500d").cast("bigint").alias("n_ended"),
-        F.col("ended_insured_36500d").alias("insured_ended"),
+        REF, "area_id", F.col("ended_n_all").cast("bigint").alias("n_ended"),
+        F.col("ended_insured_all").alias("insured_ended"),
     )
 
 

@@ -39,7 +39,7 @@ def _frame(spark, sf, spine_of):
 
 def prepared(spark, sf):
     """Train and test parts with features, read back from a written table, and the fit."""
-    full = _frame(spark, sf, lambda d: dataset.in_time(dataset.training_spine(d, AS_OF), CUTOFF))
+    full = _frame(spark, sf, lambda d: dataset.training_spine(d, AS_OF, CUTOFF))
     marked = dataset.stratified_split(full, LABEL, ["policy_id", REF])
     path = scratch_path(spark, "training")
     writers.overwrite(marked.select("policy_id", REF, LABEL, "is_test", *NUMERIC, *CATEGORICAL, *CYCLIC), path)

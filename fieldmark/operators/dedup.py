@@ -31,5 +31,7 @@ def deduplicate(
     """
     if not keep_null_keys:
         return first_per_key(df, [key], order_by)
-    keyed = first_per_key(df.filter(F.col(key).isNotNull()), [key], order_by)
-    return keyed.unionByName(df.filter(F.col(key).isNull()))
+    # One pass: rows without a key are told apart by a row number, so that each is a key of its own.
+    own = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
+    rows = df.select(*[F.col(c) for c in df.columns], own.alias("_own"))
+    return first_per_key(rows, [key, "_own"], order_by).drop("_own")

@@ -24,6 +24,19 @@ def normalised(dim: DataFrame, key: str = "code", fold_marks: bool = True) -> Da
     return dim.withColumn(key, F.trim(text.strip_accents(F.col(key), fold_marks)))
 
 
+def unique(dim: DataFrame, key: Sequence[str]) -> DataFrame:
+    """One row per key: equal rows are merged, rows that differ raise an error.
+
+    Folding accents can make two entries of a dictionary one; a duplicate would
+    multiply the rows of the data.
+    """
+    merged = dim.distinct()
+    repeated = merged.groupBy(*key).count().filter("count > 1").limit(5).collect()
+    if repeated:
+        raise ValueError(f"dimension key {list(key)} has several values, for example: {repeated}")
+    return merged
+
+
 def map_code(
     df: DataFrame,
     column: str,
@@ -35,11 +48,11 @@ def map_code(
     """Look ``column`` up in a (code, value) dimension.
 
     Unmapped codes keep their own text, or take ``default`` when
-    ``keep_unmapped`` is false.  The dimension must be unique on ``code``.
+    ``keep_unmapped`` is false.  A code with two values is an error.
     """
     target = target or column
     fallback: Column = F.col(column) if keep_unmapped else F.lit(default)
-    looked_up = dim.select(F.col("code").alias("_code"), F.col("value").alias("_value"))
+    looked_up = unique(dim.select(F.col("code").alias("_code"), F.col("value").alias("_value")), ["_code"])
     joined = df.join(looked_up, F.col(column) == F.col("_code"), "left")
     return joined.withColumn(target, F.coalesce("_value", fallback)).drop("_code", "_value")
 
@@ -55,6 +68,7 @@ def correct_names(df: DataFrame, name: str, corrections: DataFrame, state: str |
         F.col("new_name").alias("_new"),
         *([F.col("state").alias("_state")] if state else []),
     )
+    dim = unique(dim, ["_old", *(["_state"] if state else [])])
     cond = F.col(name) == F.col("_old")
     if state:
         cond = cond & (F.col(state) == F.col("_state"))
@@ -80,6 +94,7 @@ def place_codes(
     place_dim = places.select(
         F.col("name").alias("_p_name"), F.col("state").alias("_p_state"), F.col("code").cast("int").alias("_p_code")
     )
+    place_dim = unique(place_dim, ["_p_name", "_p_state"])
     out = df.join(place_dim, (F.col(name) == F.col("_p_name")) & (F.col(state) == F.col("_p_state")), "left")
     known = F.coalesce("_p_code", F.nullif(F.col(code), F.lit(0)))
     if districts is None:
@@ -91,6 +106,7 @@ def place_codes(
         F.col("code").cast("int").alias("_d_code"),
         F.col("place_name").alias("_d_place"),
     )
+    district_dim = unique(district_dim, ["_d_name", "_d_state"])
     out = out.withColumn("_known", known)
     out = out.join(
         district_dim,

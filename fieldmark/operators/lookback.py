@@ -25,10 +25,10 @@ PROBE = "probe"
 
 @dataclass(frozen=True)
 class Clock:
-    """A date that places a row in time, the values it carries and the lookbacks."""
+    """A date that places a row in time, the values it carries and the lookbacks in days (None: all history)."""
 
     day: str
-    windows: Sequence[int]
+    windows: Sequence[int | None]
     sums: Mapping[str, Column]
 
 
@@ -38,8 +38,9 @@ def cell_start(day: Column, windows: Sequence[int]) -> Column:
     Frame edges are month starts and month starts minus N days; replacing a day
     by the last edge before it moves it across no frame.
     """
-    edges = [F.trunc(day, "MM")] + [F.date_sub(F.trunc(F.date_add(day, n), "MM"), n) for n in windows]
-    return F.greatest(*edges)
+    month = F.trunc(day, "MM")
+    edges = [F.date_sub(F.trunc(F.date_add(day, n), "MM"), n) for n in windows if n is not None]
+    return F.greatest(month, *edges) if edges else month
 
 
 def day_number(day: Column) -> Column:
@@ -78,15 +79,21 @@ def lookback_sums(
 ) -> DataFrame:
     """Sums over every lookback for each distinct (ref, keys).
 
-    Columns: ``ref``, the keys and ``{clock}_{value}_{N}d``; sums are 0.0 where
-    there is no history.
+    Columns: ``ref``, the keys and ``{clock}_{value}_{N}d`` (``_all`` for all history);
+    sums are 0.0 where there is no history.
     """
     stacked = _stacked(policies, keys, ref, clocks)
     names = [f"{kind}_{name}" for kind, clock in clocks.items() for name in clock.sums]
     cells = stacked.groupBy(*keys, "_kind", "_day").agg(*[F.sum(n).alias(n) for n in names])
     by_day = W.partitionBy(*keys).orderBy(day_number(F.col("_day")))
+
+    def framed_sum(value: str, n: int | None) -> Column:
+        frame = by_day.rangeBetween(W.unboundedPreceding if n is None else -n, -1)
+        name = f"{value}_all" if n is None else f"{value}_{n}d"
+        return F.coalesce(F.sum(value).over(frame), F.lit(0.0)).alias(name)
+
     framed = [
-        F.coalesce(F.sum(f"{kind}_{name}").over(by_day.rangeBetween(-n, -1)), F.lit(0.0)).alias(f"{kind}_{name}_{n}d")
+        framed_sum(f"{kind}_{name}", n)
         for kind, clock in clocks.items()
         for name in clock.sums
         for n in clock.windows

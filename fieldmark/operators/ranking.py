@@ -16,17 +16,16 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from fieldmark.functions.numbers import ratio
 from fieldmark.operators.quantiles import DIRECT, exact_quantiles
 
-MAX_BUCKETS = 1000
-
 
 def score_edges(df: DataFrame, score: str, buckets: int | None = None) -> list[float]:
-    """Bucket edges from approximate score quantiles.
+    """Bucket edges from approximate quantiles of the distinct scores.
 
     They are plain numbers by the time the plan is built, so a recomputed task
-    puts every score in the same bucket.
+    puts every score in the same bucket.  There are as many buckets as shuffle
+    partitions, which follow the data.
     """
     if buckets is None:
-        buckets = min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_BUCKETS)
+        buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shares = [i / buckets for i in range(1, buckets)]
     inner = df.agg(F.percentile_approx(score, shares, max(10_000, 2 * buckets))).first()[0] if shares else None
     # The bucketizer needs one inner edge; where it lies does not matter.
@@ -45,11 +44,12 @@ def running_counts(
     points = scored.groupBy(*by, score).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     )
-    edges = score_edges(scored, score, buckets)
+    # A score that many rows share is one row here, so it does not draw the edges to itself.
+    edges = score_edges(points, score, buckets)
     placed = Bucketizer(splits=edges, inputCol=score, outputCol="_bucket", handleInvalid="keep").transform(points)
     higher = W.partitionBy(*by).orderBy(F.col("_bucket").desc()).rowsBetween(W.unboundedPreceding, -1)
     whole = W.partitionBy(*by)
-    # One row per bucket, a thousand at most.
+    # One row per bucket.
     bases = (
         placed.groupBy(*by, "_bucket")
         .agg(F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg"))

@@ -7,19 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from fieldmark.functions.numbers import ratio
-from fieldmark.operators.quantiles import DIRECT, GROUP_LIMIT, quantile_table
+from fieldmark.operators.quantiles import DIRECT, quantile_table
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
 
-def small_table(df: DataFrame) -> DataFrame:
-    """A report of at most ``GROUP_LIMIT`` rows as a local table; more rows are an error."""
-    rows = df.limit(GROUP_LIMIT + 1).collect()
-    if len(rows) > GROUP_LIMIT:
-        raise ValueError(f"more than {GROUP_LIMIT} groups in {df.columns}")
-    return df.sparkSession.createDataFrame(rows, df.schema)
-
-
 def volume(df: DataFrame, by: Sequence[str], label: str = "claim") -> DataFrame:
     """Policies, claims and claim rate per group."""
     grouped = df.groupBy(*by).agg(F.count("*").alias("policies"), F.sum(label).cast("bigint").alias("claims"))
@@ -110,9 +102,9 @@ def density_histogram(df: DataFrame, value: str, by: str, bins: int = 50) -> Dat
     The last bin includes its upper edge, and densities integrate to one.
     """
     present = df.filter(F.col(value).isNotNull()).select(by, F.col(value).cast("double").alias(value))
-    # One row per class, checked: a local table that Spark broadcasts, so the rows are not shuffled.
-    ranges = small_table(
-        present.groupBy(by).agg(F.min(value).alias("_low"), F.max(value).alias("_high"), F.count("*").alias("_total"))
+    # One row per class: Spark broadcasts the ranges where their size allows, else it sorts and merges.
+    ranges = present.groupBy(by).agg(
+        F.min(value).alias("_low"), F.max(value).alias("_high"), F.count("*").alias("_total")
     )
     width = (F.col("_high") - F.col("_low")) / bins
     spot = F.floor((F.col(value) - F.col("_low")) / F.nullif(width, F.lit(0.0)))

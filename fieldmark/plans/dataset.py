@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from fieldmark.functions import dates
 from fieldmark.operators.cleaning import select_present
@@ -34,13 +34,20 @@ def mature(policies: DataFrame, as_of: str) -> DataFrame:
     return policies.filter(F.col("end_date") < F.lit(as_of).cast("date"))
 
 
-def training_spine(policies: DataFrame, as_of: str) -> DataFrame:
-    dated = with_ref_month(mature(policies, as_of))
-    return dated.select("policy_id", REF, *LOOKUP_KEYS, claim_flag(F.col("peril")).alias(LABEL))
+def first_month_start(day: Column) -> Column:
+    """The first month start on or after a day."""
+    return F.when(day == F.trunc(day, "MM"), day).otherwise(F.add_months(F.trunc(day, "MM"), 1))
 
 
-def month_start(cutoff: str):
-    return F.trunc(F.lit(cutoff).cast("date"), "MM")
+def training_spine(policies: DataFrame, as_of: str, cutoff: str | None = None) -> DataFrame:
+    """Policies with a final outcome, of reference months before ``cutoff`` if there is one.
+
+    Both bounds sit on bare dates, so the scan can skip newer files.
+    """
+    if cutoff is not None:
+        policies = policies.filter(F.col("start_date") < first_month_start(F.lit(cutoff).cast("date")))
+    dated = with_ref_month(mature(policies, as_of))
+    return dated.select("policy_id", REF, *LOOKUP_KEYS, claim_flag(F.col("peril")).alias(LABEL))
 
 
 def scoring_spine(policies: DataFrame, cutoff: str, check_not_empty: bool = False) -> DataFrame:
@@ -49,9 +56,7 @@ def scoring_spine(policies: DataFrame, cutoff: str, check_not_empty: bool = Fals
     The bound sits on the bare start date, so the scan can skip older files.
     ``cutoff`` in mid-month means the next month start.
     """
-    day = F.lit(cutoff).cast("date")
-    first = F.when(day == F.trunc(day, "MM"), day).otherwise(F.add_months(F.trunc(day, "MM"), 1))
-    late = policies.filter(F.col("start_date") >= first)
+    late = policies.filter(F.col("start_date") >= first_month_start(F.lit(cutoff).cast("date")))
     spine = with_ref_month(late).select("policy_id", REF, *LOOKUP_KEYS)
     if check_not_empty and spine.isEmpty():
         raise ValueError(f"no policies with a reference month from {cutoff} on")
@@ -141,9 +146,7 @@ def training_set(
     ``tables`` takes feature tables already written; without it they are built
     from the same policies.  The time cut is applied before the joins.
     """
-    spine = training_spine(policies, as_of)
-    if cutoff is not None:
-        spine = in_time(spine, cutoff)
+    spine = training_spine(policies, as_of, cutoff)
     full = with_features(spine, tables or feature_tables(policies))
     return full.drop(*EXCLUDED)
 

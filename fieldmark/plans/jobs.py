@@ -83,7 +83,7 @@ def train(
 ) -> Trained:
     """Training set, four models, grid search of the best, saved model and run log."""
     policies = spark.read.parquet(paths.of("policies"))
-    spine = dataset.in_time(dataset.training_spine(policies, as_of), cutoff)
+    spine = dataset.training_spine(policies, as_of, cutoff)
     full = dataset.with_features(spine, feature_tables(spark, paths))
     marked = dataset.stratified_split(full, dataset.LABEL, ["policy_id", REF], TEST_SHARE)
     writers.overwrite(marked, paths.of("training"))

@@ -38,16 +38,6 @@ def read_if_present(spark: SparkSession, path: str, fmt: str = "parquet", **kwar
         raise
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a source with fewer splits than cores one partition per core.
-
-    A file with a single row group is one task however many cores there are.
-    Sources that already fill the cores are returned as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def empty_like(df: DataFrame) -> DataFrame:
     """A table with the same columns and no rows; the source is not read."""
     return df.sparkSession.createDataFrame([], df.schema)

@@ -131,3 +131,20 @@ def test_date_filter_reaches_the_scan(spark, tmp_path):
     spark.createDataFrame([(dt.date(2020, 1, 1), 1)], "end_date date, n int").write.parquet(path)
     plan = cleaning.plausible_end(spark.read.parquet(path), "end_date")._jdf.queryExecution().executedPlan().toString()
     assert "LessThan(end_date,2036-01-01)" in plan
+
+
+def test_fold_created_duplicates_are_an_error(spark):
+    rows = spark.createDataFrame([("GRANIZO",)], "peril string")
+    same = dimensions.normalised(dimensions.code_table(spark, {"GRANÍZO": "hail", "GRANIZO": "hail"}))
+    assert [r.peril for r in dimensions.map_code(rows, "peril", same).collect()] == ["hail"]
+    differ = dimensions.normalised(dimensions.code_table(spark, {"GRANÍZO": "hail", "GRANIZO": "rain"}))
+    with pytest.raises(ValueError, match="several values"):
+        dimensions.map_code(rows, "peril", differ)
+
+
+def test_dedup_reads_its_source_once(spark, tmp_path):
+    rows = [("a", 2), ("a", 1), (None, 3), (None, 3), ("b", 1)]
+    spark.createDataFrame(rows, "id string, n int").write.parquet(str(tmp_path / "t"))
+    kept = dedup.deduplicate(spark.read.parquet(str(tmp_path / "t")), "id", [F.col("n").asc()])
+    assert sorted(map(tuple, kept.collect()), key=repr) == sorted([("a", 1), ("b", 1), (None, 3), (None, 3)], key=repr)
+    assert kept._jdf.queryExecution().sparkPlan().toString().count("FileScan parquet") == 1

@@ -74,3 +74,15 @@ def test_feature_keys_hold(spark, sf_dir):
     held = policies(spark, sf_dir)
     for name, table in features.REGISTRY.items():
         assert key_violations(table.build(held), table.key).isEmpty(), name
+
+
+def test_the_time_cut_reaches_the_scan(spark, tmp_path):
+    rows = [("p", dt.date(2020, m, 15), dt.date(2021, m, 15)) for m in range(1, 13)]
+    source = spark.createDataFrame(rows, "policy_id string, start_date date, end_date date")
+    for column in ("area_id", "state", "crop", "crop_group", "insurer", "region", "peril"):
+        source = source.withColumn(column, F.lit("x"))
+    source.write.parquet(str(tmp_path / "t"))
+    spine = dataset.training_spine(spark.read.parquet(str(tmp_path / "t")), "2030-01-01", "2020-07-01")
+    assert spine.count() == 6
+    plan = spine._jdf.queryExecution().sparkPlan().toString()
+    assert "LessThan(start_date,2020-07-01)" in plan

@@ -87,10 +87,3 @@ def test_geography(spark):
     source = spark.createDataFrame([(1, 35, "São Thomé"), (2, 99, "B")], "id int, uf int, nm string")
     out = readers.geography(source, {"id": "code", "uf": "state", "nm": "name"}, ["name"], "state", {35: "SP"})
     assert {tuple(r) for r in out.collect()} == {(1, "SP", "sao_tome"), (2, "99", "b")}
-
-
-def test_spread_leaves_wide_sources_alone(spark):
-    wide = spark.range(0, 100, 1, 64)
-    assert readers.spread(wide) is wide
-    assert readers.spread(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert spark.range(3).filter(F.lit(True)).count() == 3
