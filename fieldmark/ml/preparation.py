@@ -9,7 +9,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from fieldmark.operators.dedup import first_per_key
-from fieldmark.operators.quantiles import DIRECT, exact_quantiles
+from fieldmark.operators.quantiles import exact_quantiles
 from fieldmark.plans.schema import MARKET_WINDOWS, OPENING_WINDOWS, PLACE_WINDOWS
 
 HISTORY = [
@@ -33,9 +33,9 @@ ALL_FEATURES = [*HISTORY, *CONTRACT, *CATEGORIES, *CYCLIC]
 UNSEEN = -1
 
 
-def fit_medians(df: DataFrame, columns: Sequence[str], bound: int = DIRECT) -> dict[str, float]:
+def fit_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
     """Exact medians; a column without any value is filled with 0."""
-    found = exact_quantiles(df, columns, [0.5], bound=bound)
+    found = exact_quantiles(df, columns, [0.5])
     return {c: found[None, c][0] if found[None, c][0] is not None else 0.0 for c in columns}
 
 
@@ -144,13 +144,12 @@ def fit(
     categorical: Sequence[str] = tuple(CATEGORIES),
     cyclic: Sequence[str] = tuple(CYCLIC),
     linear: bool = False,
-    bound: int = DIRECT,
 ) -> Preparation:
     """Fit on the training rows; ``linear`` adds standard scaling of all columns."""
     modes = fit_modes(df, categorical) if categorical else {}
     prepared = Preparation(
         list(numeric), list(categorical), list(cyclic),
-        fit_medians(df, numeric, bound) if numeric else {}, modes, fit_categories(df, categorical, modes),
+        fit_medians(df, numeric) if numeric else {}, modes, fit_categories(df, categorical, modes),
     )
     if not linear:
         return prepared

@@ -1,129 +1,102 @@
-"""Exact quantiles without sorting the data or gathering it in one task.
-
-Every round is one scan with map-side aggregation.  While a target rank has too
-many candidates, a sketch narrows the open interval that must hold it and exact
-counts confirm the interval; the driver sees a few numbers per target, never
-rows.  Columns with few values per group take one ``percentile`` scan instead.
+"""Exact quantiles without sorting the data or gathering a group in one task.
+
+Values are first counted per group, column and distinct value (combined on the
+map side).  They fall into buckets of about equal size by value, running counts
+are taken inside each bucket, and every bucket starts from the total of the
+buckets below it: the rank that is asked for is in exactly one place.  One scan
+finds the edges of the buckets, one does the rest, at any size and for any
+number of groups.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Row, functions as F
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-GROUP_LIMIT = 1000
-DIRECT = 1_000_000
 ACCURACY = 10_000
-# A sketch is off by at most 1 / ACCURACY of the rows on either side.
-REACH = (-2 / ACCURACY, 2 / ACCURACY)
-
-
-@dataclass
-class _Target:
-    """The value at ``rank`` (0-based) of one column within one group."""
-
-    column: str
-    group: object
-    rank: int
-    total: int
-    low: float | None = None  # open interval (low, high); None is unbounded
-    high: float | None = None
-    below: int = 0  # values <= low
-    inside: int = 0  # values in the interval
-    value: float | None = None
 
-    def within(self, by: str | None) -> Column:
-        held = F.col(self.column).isNotNull()
-        if by is not None:
-            held = held & F.col(by).eqNullSafe(F.lit(self.group))
-        if self.low is not None:
-            held = held & (F.col(self.column) > self.low)
-        if self.high is not None:
-            held = held & (F.col(self.column) < self.high)
-        return held
 
+def value_edges(df: DataFrame, columns: Sequence[str], buckets: int | None = None) -> list[list[float]]:
+    """Bucket edges of each column from approximate quantiles, open at both ends.
 
-def _first_row(df: DataFrame, aggregates: Sequence[Column]) -> Row:
-    return df.agg(*aggregates).first()
+    They are plain numbers by the time the plan is built, so a recomputed task
+    puts every value in the same bucket.  There are as many buckets as shuffle
+    partitions, which follow the data.
+    """
+    if buckets is None:
+        buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shares = [i / buckets for i in range(1, buckets)] or [0.5]
+    finite = [F.when(~F.isnan(c) & ~F.abs(c).isin(float("inf")), F.col(c)) for c in columns]
+    inner = df.agg(*[F.percentile_approx(c, shares, max(ACCURACY, 2 * buckets)) for c in finite]).first()
+    # The bucketizer needs one inner edge; where it lies does not matter.
+    return [[float("-inf"), *sorted(set(found or [0.0])), float("inf")] for found in inner]
 
 
-def _narrow(df: DataFrame, targets: Sequence[_Target], by: str | None) -> None:
-    """One round for all open targets: sketch their intervals, then count exactly.
+def quantile_table(
+    df: DataFrame,
+    columns: Sequence[str],
+    names: Mapping[str, float],
+    by: str | None = None,
+    buckets: int | None = None,
+) -> DataFrame:
+    """Quantiles with linear interpolation: one row per (group, column), one column per name.
 
-    Targets that share an interval share its sketch; neighbouring ranks mostly
-    share the new edges and so the counts.
+    Nulls are ignored; a group without values of a column has nulls there.
+    ``buckets`` changes how the work is cut, not the result.
     """
-    shared: dict[tuple, list[_Target]] = {}
-    for t in targets:
-        shared.setdefault((t.column, t.group, t.low, t.high), []).append(t)
-    sketches, wanted = [], []
-    for held in shared.values():
-        places = sorted({min(max((t.rank - t.below + 0.5) / t.inside + s, 0.0), 1.0) for t in held for s in REACH})
-        inside = F.when(held[0].within(by), F.col(held[0].column))
-        sketches.append(F.percentile_approx(inside, places, ACCURACY).alias(f"e{len(sketches)}"))
-        wanted.append(places)
-    edges = _first_row(df, sketches)
-    picked: list[tuple[_Target, int, float, float]] = []
-    counts, spots = [], {}
-    for i, held in enumerate(shared.values()):
-        values = dict(zip(wanted[i], edges[f"e{i}"]))
-        for t in held:
-            low, high = (values[min(max((t.rank - t.below + 0.5) / t.inside + s, 0.0), 1.0)] for s in REACH)
-            if (i, low, high) not in spots:
-                spots[i, low, high] = n = len(spots)
-                col, within = F.col(t.column), t.within(by)
-                counts += [
-                    F.count_if(within & (col < low)).alias(f"lt{n}"),
-                    F.count_if(within & (col == low)).alias(f"lo{n}"),
-                    F.count_if(within & (col > low) & (col < high)).alias(f"in{n}"),
-                    F.count_if(within & (col == high)).alias(f"hi{n}"),
-                ]
-            picked.append((t, spots[i, low, high], low, high))
-    seen = _first_row(df, counts)
-    for t, n, low, high in picked:
-        place = t.rank - t.below
-        less, at_low, between = seen[f"lt{n}"], seen[f"lo{n}"], seen[f"in{n}"]
-        at_high = seen[f"hi{n}"] if high > low else 0
-        if place < less:
-            t.high, t.inside = low, less
-        elif place < less + at_low:
-            t.value = low
-        elif place < less + at_low + between:
-            t.low, t.high, t.below, t.inside = low, high, t.below + less + at_low, between
-        elif place < less + at_low + between + at_high:
-            t.value = high
-        else:
-            passed = less + at_low + between + at_high
-            t.low, t.below, t.inside = high, t.below + passed, t.inside - passed
-
-
-def _settle(df: DataFrame, targets: Sequence[_Target], by: str | None) -> None:
-    """Read the value of targets whose interval holds few enough rows."""
-    shared: dict[tuple, list[_Target]] = {}
-    for t in targets:
-        shared.setdefault((t.column, t.group, t.low, t.high), []).append(t)
-    lists = []
-    for i, held in enumerate(shared.values()):
-        gathered = F.array_sort(F.collect_list(F.when(held[0].within(by), F.col(held[0].column))))
-        lists.append(F.array(*[gathered.getItem(t.rank - t.below) for t in held]).alias(f"v{i}"))
-    found = _first_row(df, lists)
-    for i, held in enumerate(shared.values()):
-        for t, value in zip(held, found[f"v{i}"]):
-            t.value = value
-
-
-def _rank_values(df: DataFrame, targets: list[_Target], by: str | None, bound: int) -> None:
-    while True:
-        wide = [t for t in targets if t.value is None and t.inside > bound]
-        if not wide:
-            break
-        _narrow(df, wide, by)
-    left = [t for t in targets if t.value is None]
-    if left:
-        _settle(df, left, by)
+    group = [by] if by else []
+    doubles = df.select(*group, *[F.col(c).cast("double").alias(c) for c in columns])
+    placed = Bucketizer(
+        splitsArray=value_edges(doubles, columns, buckets),
+        inputCols=list(columns),
+        outputCols=[f"_bucket_{c}" for c in columns],
+        handleInvalid="keep",
+    ).transform(doubles)
+    cells = [
+        F.struct(F.lit(c).alias("column"), F.col(f"_bucket_{c}").alias("_bucket"), F.col(c).alias("_value"))
+        for c in columns
+    ]
+    long = placed.select(*group, F.inline(F.array(*cells)))
+    points = long.groupBy(*group, "column", "_bucket", "_value").agg(F.count("_value").alias("_n"))
+
+    whole = W.partitionBy(*group, "column")
+    below = whole.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    bases = points.groupBy(*group, "column", "_bucket").agg(F.sum("_n").alias("_held"))
+    bases = bases.select(
+        *[F.col(c).alias(f"_b_{c}") for c in (*group, "column", "_bucket")],
+        F.coalesce(F.sum("_held").over(below), F.lit(0)).alias("_before"),
+        F.sum("_held").over(whole).alias("_total"),
+    )
+    inside = W.partitionBy(*group, "column", "_bucket").orderBy("_value")
+    running = points.withColumn("_through", F.sum("_n").over(inside))
+    same = F.lit(True)
+    for c in (*group, "column", "_bucket"):
+        same = same & F.col(c).eqNullSafe(F.col(f"_b_{c}"))
+    running = running.join(bases, same)
+    last = F.col("_before") + F.col("_through")
+    first = last - F.col("_n")
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((first <= rank) & (rank < last), F.col("_value")))
+
+    spots = {name: (F.col("_total") - 1) * F.lit(float(p)) for name, p in names.items()}
+    picked = []
+    for name, spot in spots.items():
+        low = F.floor(spot)
+        picked += [
+            at(low).alias(f"_low_{name}"),
+            at(F.least(low + 1, F.col("_total") - 1)).alias(f"_high_{name}"),
+            F.max(spot - low).alias(f"_share_{name}"),
+        ]
+    found = running.groupBy(*group, "column").agg(*picked)
+
+    def between(name: str) -> Column:
+        low, high, share = (F.col(f"_{k}_{name}") for k in ("low", "high", "share"))
+        return F.when(share > 0, low * (1 - share) + high * share).otherwise(low).alias(name)
+
+    return found.select(*group, "column", *[between(name) for name in names])
 
 
 def exact_quantiles(
@@ -131,54 +104,10 @@ def exact_quantiles(
     columns: Sequence[str],
     probabilities: Sequence[float],
     by: str | None = None,
-    bound: int = DIRECT,
+    buckets: int | None = None,
 ) -> dict[tuple[object, str], list[float | None]]:
-    """Quantiles with linear interpolation, per (group, column).
-
-    ``by`` is a column with few values (classes, models).  Nulls are ignored; a
-    column without values gives nulls.  ``bound`` is how many values one group may
-    hold over all columns to be read in a single scan, and a tenth of it how many
-    candidates a narrowed target may gather; it changes the number of scans, not
-    the result.
-    """
-    doubles = df.select(*([by] if by else []), *[F.col(c).cast("double").alias(c) for c in columns])
-    grouped = doubles.groupBy(*([by] if by else []))
-    counted = grouped.agg(*[F.count(c).alias(c) for c in columns]).limit(GROUP_LIMIT + 1).collect()
-    if len(counted) > GROUP_LIMIT:
-        raise ValueError(f"{by} has more than {GROUP_LIMIT} values")
-    sizes = {(row[by] if by else None, c): row[c] for row in counted for c in columns}
-    if sizes and max(sizes.values()) * len(columns) <= bound:
-        exact = grouped.agg(*[F.percentile(c, list(probabilities)).alias(c) for c in columns]).collect()
-        found = {(row[by] if by else None, c): row[c] for row in exact for c in columns}
-        return {key: found[key] or [None] * len(probabilities) for key in sizes}
-
-    targets: dict[tuple[object, str, int], _Target] = {}
-    spots: dict[tuple[object, str], list[tuple[int, int, float]]] = {}
-    for (group, column), n in sizes.items():
-        spots[group, column] = []
-        for p in probabilities if n else ():
-            exact_spot = p * (n - 1)
-            low = math.floor(exact_spot)
-            high = min(low + 1, n - 1)
-            spots[group, column].append((low, high, exact_spot - low))
-            for rank in (low, high):
-                targets.setdefault((group, column, rank), _Target(column, group, rank, n, inside=n))
-    _rank_values(doubles, list(targets.values()), by, max(bound // 10, 1))
-    out: dict[tuple[object, str], list[float | None]] = {}
-    for (group, column), places in spots.items():
-        values = []
-        for low, high, share in places:
-            a, b = targets[group, column, low].value, targets[group, column, high].value
-            values.append(a + (b - a) * share if share else a)
-        out[group, column] = values or [None] * len(probabilities)
-    return out
-
-
-def quantile_table(
-    df: DataFrame, columns: Sequence[str], names: dict[str, float], by: str | None = None, bound: int = DIRECT
-) -> DataFrame:
-    """The same as a small DataFrame: one row per (group, column), one column per name."""
-    found = exact_quantiles(df, columns, list(names.values()), by, bound)
-    rows = [(*([group] if by else []), column, *values) for (group, column), values in found.items()]
-    head = f"{by} {df.schema[by].dataType.simpleString()}, " if by else ""
-    return df.sparkSession.createDataFrame(rows, head + "column string, " + ", ".join(f"{n} double" for n in names))
+    """The same as a dictionary by (group, column), for a ``by`` of few values (a label) or none."""
+    names = {f"q{k}": p for k, p in enumerate(probabilities)}
+    rows = quantile_table(df, columns, names, by, buckets).collect()
+    found = {} if by else {(None, c): [None] * len(probabilities) for c in columns}
+    return found | {(row[by] if by else None, row["column"]): [row[n] for n in names] for row in rows}

@@ -14,7 +14,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from fieldmark.functions.numbers import ratio
-from fieldmark.operators.quantiles import DIRECT, exact_quantiles
+from fieldmark.operators.quantiles import quantile_table
 
 
 def score_edges(df: DataFrame, score: str, buckets: int | None = None) -> list[float]:
@@ -116,16 +116,14 @@ def curve_metrics(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def threshold_metrics(
-    df: DataFrame, label: str, score: str, by: str, cut: float = 0.5, top: float = 0.1, bound: int = DIRECT
+    df: DataFrame, label: str, score: str, by: str, cut: float = 0.5, top: float = 0.1
 ) -> DataFrame:
     """Accuracy and F1 at ``cut``, and the lift of the best-scored ``top`` share."""
     scored = df.filter(F.col(score).isNotNull())
-    limits = exact_quantiles(scored, [score], [1 - top], by, bound)
-    limit = F.lit(None).cast("double")
-    for (group, _), values in limits.items():
-        limit = F.when(F.col(by).eqNullSafe(F.lit(group)), F.lit(values[0])).otherwise(limit)
+    limits = quantile_table(scored, [score], {"_limit": 1 - top}, by)
+    limits = limits.select(F.col(by).alias("_group"), "_limit")
     actual, chosen, best = F.col(label) == 1, F.col(score) >= cut, F.col(score) >= F.col("_limit")
-    counted = scored.withColumn("_limit", limit).groupBy(by).agg(
+    counted = scored.join(limits, F.col(by).eqNullSafe(F.col("_group"))).groupBy(by).agg(
         F.count("*").alias("n_rows"),
         F.count_if(actual).alias("n_pos"),
         F.count_if(actual == chosen).alias("_right"),
@@ -147,13 +145,13 @@ def threshold_metrics(
     )
 
 
-def all_metrics(df: DataFrame, label: str, score: str, by: str, bound: int = DIRECT) -> DataFrame:
+def all_metrics(df: DataFrame, label: str, score: str, by: str) -> DataFrame:
     """The six reported metrics, one row per value of ``by`` (model, split, month).
 
     Give it a written score table: edges, cuts and curves are separate passes.
     """
     curves = curve_metrics(running_counts(df, label, score, [by]), [by])
-    cuts = threshold_metrics(df, label, score, by, bound=bound).drop("top_threshold", "n_rows", "n_pos")
+    cuts = threshold_metrics(df, label, score, by).drop("top_threshold", "n_rows", "n_pos")
     return cuts.join(curves, by)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from fieldmark.functions.numbers import ratio
-from fieldmark.operators.quantiles import DIRECT, quantile_table
+from fieldmark.operators.quantiles import quantile_table
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
@@ -57,25 +57,25 @@ def peril_ranking(df: DataFrame, peril: str = "peril", none: str = "none", rare:
     return with_share(counts, "claims").filter((F.col(peril) != none) & (F.col("share") > rare))
 
 
-def numeric_summary(df: DataFrame, columns: Sequence[str], bound: int = DIRECT) -> DataFrame:
+def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Mean, extremes, exact quartiles and sample deviation, one row per column."""
     parts = [("mean", F.avg), ("min", F.min), ("max", F.max), ("std", F.stddev_samp)]
     wide = df.agg(*[f(F.col(c).cast("double")).alias(f"{c}__{n}") for c in columns for n, f in parts])
     stacked = F.array(
         *[F.struct(F.lit(c).alias("column"), *[F.col(f"{c}__{n}").alias(n) for n, _ in parts]) for c in columns]
     )
-    return wide.select(F.inline(stacked)).join(quantile_table(df, columns, QUARTILES, bound=bound), "column")
+    return wide.select(F.inline(stacked)).join(quantile_table(df, columns, QUARTILES), "column", "left")
 
 
-def mean_and_median(df: DataFrame, columns: Sequence[str], by: str, bound: int = DIRECT) -> DataFrame:
+def mean_and_median(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
     """Mean and exact median of every column per class, one row per (class, column)."""
     means = df.groupBy(by).agg(*[F.avg(c).alias(c) for c in columns]).unpivot([by], list(columns), "column", "mean")
-    return means.join(quantile_table(df, columns, {"median": 0.5}, by, bound), [by, "column"])
+    return means.join(quantile_table(df, columns, {"median": 0.5}, by), [by, "column"])
 
 
-def box_summary(df: DataFrame, columns: Sequence[str], by: str, bound: int = DIRECT) -> DataFrame:
+def box_summary(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
     """Quartiles, whiskers within 1.5 interquartile ranges and outliers per class."""
-    quartiles = quantile_table(df, columns, QUARTILES, by, bound)
+    quartiles = quantile_table(df, columns, QUARTILES, by)
     spread = F.col("q3") - F.col("q1")
     fences = quartiles.withColumns(
         {"low_fence": F.col("q1") - spread * 1.5, "high_fence": F.col("q3") + spread * 1.5}

@@ -7,18 +7,18 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from fieldmark.operators import ranking
-from fieldmark.operators.quantiles import exact_quantiles
+from fieldmark.operators.quantiles import exact_quantiles, quantile_table
 
 
-@pytest.mark.parametrize("bound", [20, 200, 1_000_000])
-def test_quantiles_match_numpy(spark, bound):
+@pytest.mark.parametrize("buckets", [1, 7, 200])
+def test_quantiles_match_numpy(spark, buckets):
     rng = random.Random(1)
     # A third of the rows share one value.
     values = [0.0 if rng.random() < 0.34 else rng.lognormvariate(0, 3) for _ in range(3000)]
     groups = [rng.choice("ab") for _ in values]
     df = spark.createDataFrame(list(zip(groups, values)), "g string, v double")
     probs = [0.0, 0.1, 0.33, 0.5, 0.905, 1.0]
-    found = exact_quantiles(df, ["v"], probs, "g", bound=bound)
+    found = exact_quantiles(df, ["v"], probs, "g", buckets=buckets)
     for g in "ab":
         want = np.percentile([v for k, v in zip(groups, values) if k == g], [p * 100 for p in probs])
         assert found[g, "v"] == pytest.approx(list(want), rel=1e-12)
@@ -82,3 +82,11 @@ def test_roc_starts_at_origin(spark):
     points = sorted((p.fpr, p.tpr) for p in ranking.roc_points(counts, "score").collect())
     assert points == [(0.0, 0.0), (0.0, 1.0), (1.0, 1.0)]
     assert any(math.isinf(p.threshold) for p in ranking.roc_points(counts, "score").collect())
+
+
+def test_any_number_of_groups(spark):
+    df = spark.range(9000).select((F.col("id") % 3000).alias("g"), F.col("id").cast("double").alias("v"))
+    table = quantile_table(df, ["v"], {"median": 0.5}, "g")
+    assert table.count() == 3000 and table.filter(F.col("median") != F.col("g") + 3000).count() == 0
+    scored = df.select("g", (F.col("v") % 2).cast("int").alias("label"), (F.col("v") / 9000).alias("score"))
+    assert ranking.threshold_metrics(scored, "label", "score", "g").count() == 3000
