@@ -9,8 +9,10 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from fieldmark.operators.dedup import first_per_key
+from fieldmark.operators.quality import assert_no_leakage
 from fieldmark.operators.quantiles import exact_quantiles
-from fieldmark.plans.schema import MARKET_WINDOWS, OPENING_WINDOWS, PLACE_WINDOWS
+from fieldmark.plans.schema import MARKET_WINDOWS, NEVER_FEATURES, OPENING_WINDOWS, PLACE_WINDOWS
+from fieldmark.session import scratch_path
 
 HISTORY = [
     *[f"place_{m}_{n}d" for n in PLACE_WINDOWS for m in ("policies", "claims", "claim_rate", "severity")],
@@ -145,11 +147,18 @@ def fit(
     cyclic: Sequence[str] = tuple(CYCLIC),
     linear: bool = False,
 ) -> Preparation:
-    """Fit on the training rows; ``linear`` adds standard scaling of all columns."""
+    """Fit on the training rows; ``linear`` adds standard scaling of all columns.
+
+    Outcomes among the features are an error.  The categories are written once and
+    read by every transform.
+    """
+    assert_no_leakage([*numeric, *categorical, *cyclic], NEVER_FEATURES)
     modes = fit_modes(df, categorical) if categorical else {}
+    folder = scratch_path(df.sparkSession, "categories")
+    fit_categories(df, categorical, modes).write.parquet(folder)
     prepared = Preparation(
         list(numeric), list(categorical), list(cyclic),
-        fit_medians(df, numeric) if numeric else {}, modes, fit_categories(df, categorical, modes),
+        fit_medians(df, numeric) if numeric else {}, modes, df.sparkSession.read.parquet(folder),
     )
     if not linear:
         return prepared

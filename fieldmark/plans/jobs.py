@@ -52,9 +52,13 @@ def split_gold(spark: SparkSession, paths: Paths) -> tuple[int, int]:
 
 
 def refresh_feature(spark: SparkSession, paths: Paths, name: str) -> int:
-    """Build one feature table and merge it into its last version; returns the new version."""
+    """Build one feature table and merge it into its last version; returns the new version.
+
+    Rows without a key, such as those of places that no dimension knows, cannot be
+    looked up and are left out.
+    """
     table = feature_table(name)
-    built = table.build(spark.read.parquet(paths.of("policies")))
+    built = table.build(spark.read.parquet(paths.of("policies"))).dropna(subset=list(table.key))
     # Built once: the key check and the merge read the written table.
     folder = scratch_path(spark, name)
     built.write.parquet(folder)
@@ -84,9 +88,9 @@ def train(
     """Training set, four models, grid search of the best, saved model and run log."""
     policies = spark.read.parquet(paths.of("policies"))
     spine = dataset.training_spine(policies, as_of, cutoff)
-    full = dataset.with_features(spine, feature_tables(spark, paths))
-    marked = dataset.stratified_split(full, dataset.LABEL, ["policy_id", REF], TEST_SHARE)
-    writers.overwrite(marked, paths.of("training"))
+    # The split needs the spine alone, so it is made before the lookups.
+    marked = dataset.stratified_split(spine, dataset.LABEL, ["policy_id", REF], TEST_SHARE)
+    writers.overwrite(dataset.with_features(marked, feature_tables(spark, paths)), paths.of("training"))
     table = spark.read.parquet(paths.of("training"))
     train_rows, test_rows = table.filter(~F.col("is_test")), table.filter("is_test")
     prep = preparation.fit(train_rows)
@@ -102,6 +106,8 @@ def train(
     metrics = spark.createDataFrame(baseline.metrics.unionByName(tuned).collect())
     version = models.save_model(spark, paths.of("models"), baseline.champion, model, prep)
     flat = {f"{r['model']}_{m}_{r['split']}": r[m] for r in metrics.collect() for m in METRICS if r[m] is not None}
+    for part, rows in (("train", ready), ("test", held)):
+        flat[f"claim_rate_{part}"] = rows.agg(F.avg(dataset.LABEL)).first()[0]
     params = {"champion": baseline.champion, "cutoff": cutoff, "as_of": as_of, **chosen}
     models.log_run(spark, paths.of("runs"), baseline.champion, params, {"grid_best_cv_auc_roc": score, **flat})
     return Trained(baseline.champion, version, chosen, metrics)

@@ -15,6 +15,8 @@ POLICY_COLUMNS = [
 # What is known only after the contract ends, and its join keys.
 LABEL_KEYS = ["policy_id", "start_date"]
 OUTCOME_COLUMNS = ["peril", "indemnity", "claim", "loss_ratio"]
+# Names that no model may see: the outcomes, the label made of them and the time axis.
+NEVER_FEATURES = [*OUTCOME_COLUMNS, "has_claim", "ref_month"]
 LABEL_COLUMNS = LABEL_KEYS + OUTCOME_COLUMNS
 FEATURE_COLUMNS = [c for c in POLICY_COLUMNS if c not in OUTCOME_COLUMNS]
 

@@ -1,5 +1,6 @@
 """Landed files to scores, once through."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from checks import cleaning_queries as cq
@@ -7,6 +8,7 @@ from checks.tables import policies, raw
 from fieldmark.ml import models
 from fieldmark.plans import jobs, silver
 from fieldmark.plans.schema import FEATURE_COLUMNS
+from fieldmark.sources import writers
 
 QUICK = {
     "decision_tree": {"maxDepth": 3}, "random_forest": {"numTrees": 3, "maxDepth": 3},
@@ -54,3 +56,21 @@ def test_features_train_and_score(spark, sf_dir, tmp_path):
     scores = spark.read.parquet(paths.of("predictions"))
     sums = scores.agg(F.min("prob_label"), F.max("prob_label"), F.sum("prob_label")).first()
     assert 0 <= sums[0] <= sums[1] <= 1 and abs(sums[2] - late) < 1e-6
+
+
+def test_cleaned_policies_make_features(spark, sf_dir, tmp_path):
+    """The project's own output, unknown places and all, is what the feature tables are built on."""
+    paths = jobs.Paths(str(tmp_path))
+    cq._silver(spark, sf_dir).write.parquet(paths.of("policies"))
+    assert spark.read.parquet(paths.of("policies")).filter("area_id IS NULL").count() > 0
+    for name in ("place_history", "portfolio"):
+        assert jobs.refresh_feature(spark, paths, name) == 1
+        assert writers.read_latest(spark, paths.feature(name)).filter("area_id IS NULL").count() == 0
+
+
+def test_training_refuses_outcomes(spark):
+    from fieldmark.ml import preparation
+
+    rows = spark.createDataFrame([(1.0, 1.0)], "rate double, has_claim double")
+    with pytest.raises(ValueError, match="has_claim"):
+        preparation.fit(rows, ["rate", "has_claim"], [], [])
