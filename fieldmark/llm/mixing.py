@@ -14,7 +14,8 @@ time, by inverting the integral, is the document's position, and documents are r
 
 Cases: null and empty texts have no words and are never taken; null sources are one source, the
 last; sources are ranked by code point; equal ids and repeated rows are rows of their own, ties in
-the shuffled order being broken by id and text hash (rows equal in both are interchangeable).  An empty table gives an empty mix.
+the shuffled order being broken by id and text hash (rows equal in both are interchangeable).
+An empty table gives an empty mix.
 """
 
 from __future__ import annotations

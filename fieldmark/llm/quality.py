@@ -28,7 +28,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from fieldmark.llm.common import Spans, held_back, mix, slices, tidy, utf8, word_bounds
+from fieldmark.llm.common import Spans, held_back, slices, tidy, utf8, word_bounds
 
 MAX_LABELLED = 8192
 SHAPES, WORDS, STEPS = 512, 448, 64

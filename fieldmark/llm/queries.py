@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldmark.llm import decontaminate, fingerprints, languages, mixing, near_dups, quality, repeats, secrets, token_files, warc
+from fieldmark.llm import (
+    decontaminate,
+    fingerprints,
+    languages,
+    mixing,
+    near_dups,
+    quality,
+    repeats,
+    secrets,
+    token_files,
+    warc,
+)
 from fieldmark.session import scratch_path
 
 

@@ -82,7 +82,10 @@ _RULES: dict[str, tuple[tuple[str, ...], re.Pattern, int, Callable[[str], bool]
     ),
     "iban": (
         ("iban",),
-        re.compile(r"iban[^A-Z0-9\n]{0,10}([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)(?![A-Z0-9])", re.ASCII | re.IGNORECASE),
+        re.compile(
+            r"iban[^A-Z0-9\n]{0,10}([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)(?![A-Z0-9])",
+            re.IGNORECASE | re.ASCII,
+        ),
         1,
         iban_holds,
     ),
