@@ -1,14 +1,15 @@
-"""Language identification: interpolated Kneser-Ney character models in sorted hash arrays.
+"""Language identification: interpolated Kneser-Ney character models in sorted arrays of exact n-gram codes.
 
 A text is folded to lower-case letters, every run of other characters becoming one space.  For each
 language the 4-grams of all its training texts are counted; lower orders use continuation counts
 (the number of different characters seen before), and every order is interpolated with the one
 below it by absolute discounting, down to the uniform distribution over the characters seen.
 
-An order's n-grams are held as one sorted array of hashes with a row of log-probabilities, one per
-language, and a second array of contexts with a row of back-off weights.  Hashes have ``HASH_BITS``
-bits, so a model has at most 2**HASH_BITS rows per array however large the corpus: that bounds what
-is sent to the driver and broadcast.  n-grams whose hashes meet share their counts.
+An n-gram's code holds its characters whole, 16 bits each, so no two n-grams share a count.  An
+order's n-grams are held as one sorted array of codes (mixed by a bijection) with a row of
+log-probabilities, one per language, and a second array of contexts with a row of back-off weights.
+The arrays grow with the corpus: what the driver gets and broadcasts is a row for every distinct
+4-gram of a language and below.  Nothing is left out to bound that; it has to fit in memory.
 
 A text gets the language of the lowest cross-entropy per character.  It is rejected if that
 cross-entropy is above the language's limit: the mean over the training texts plus ``TOLERANCE``
@@ -32,7 +33,9 @@ from pyspark.sql import DataFrame, functions as F
 from fieldmark.llm.common import SLICE_BYTES, held_back, mix, release, slices, tidy
 
 ORDER = 4
-HASH_BITS = 20
+#: Distinct 4-grams of slices that a task holds before it sums them, and rows made at once on the driver.
+HELD_GRAMS = 1 << 22
+ROWS_AT_ONCE = 1 << 16
 TOLERANCE = 8.0
 SHARPNESS = 20.0
 UNKNOWN = "und"
@@ -101,17 +104,56 @@ def grams(letters: np.ndarray, rows: np.ndarray, order: int) -> tuple[np.ndarray
     return code, rows
 
 
-def slot(codes: np.ndarray, order: int, bits: int = HASH_BITS) -> np.ndarray:
-    """The hash of n-grams of an order."""
-    salt = np.uint64(order * 0x9E3779B97F4A7C15 % (1 << 64))
-    return (mix(codes + salt) >> np.uint64(64 - bits)).astype(np.int64)
+class Keys:
+    """Distinct codes, sorted by their mixed words, and where each stands."""
+
+    def __init__(self, codes: np.ndarray):
+        self.mixed = np.sort(mix(codes.astype(np.uint64)))
+
+    def _prepare(self) -> None:
+        """A table from leading bits to the first row that has them; made once per worker."""
+        n = len(self.mixed)
+        bits = max(1, n.bit_length())
+        self.shift = np.uint64(64 - bits)
+        tops = np.arange(1 << bits, dtype=np.uint64) << self.shift
+        self.first = np.searchsorted(self.mixed, tops).astype(np.int32 if n < 1 << 31 else np.int64)
+        self.padded = np.append(self.mixed, np.uint64((1 << 64) - 1))
+
+    def __getstate__(self) -> dict:
+        return {"mixed": self.mixed}
+
+    def __len__(self) -> int:
+        return len(self.mixed)
+
+    def rows(self, codes: np.ndarray) -> np.ndarray:
+        """The row of each code, -1 for none."""
+        if "first" not in self.__dict__:
+            self._prepare()
+        wanted = mix(codes)
+        at = self.first[(wanted >> self.shift).astype(np.int64)]
+        before = np.flatnonzero(self.padded[at] < wanted)
+        while len(before):
+            at[before] += 1
+            before = before[self.padded[at[before]] < wanted[before]]
+        return np.where((self.padded[at] == wanted) & (at < len(self.mixed)), at, -1)
 
 
 def _suffix(codes: np.ndarray, order: int) -> np.ndarray:
     return codes & np.uint64((1 << 16 * order) - 1)
 
 
-_COUNT_ARROW = pa.schema([("lang", pa.string()), ("slot", pa.int32()), ("code", pa.int64()), ("n", pa.int64())])
+_COUNT_ARROW = pa.schema([("lang", pa.string()), ("code", pa.int64()), ("n", pa.int64())])
+
+
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes in ascending order and the sums of their counts."""
+    if len(parts) == 1:
+        return parts[0]
+    codes, counts = (np.concatenate(arrays) for arrays in zip(*parts))
+    order = np.argsort(codes, kind="stable")
+    codes, counts = codes[order], counts[order]
+    starts = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
+    return codes[starts], np.add.reduceat(counts, starts)
 
 
 @tidy
@@ -121,23 +163,22 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs, texts = batch.column(0).dictionary_encode(), batch.column(1)
         for number, lang in enumerate(langs.dictionary.to_pylist()):
             chosen = texts.filter(pc.equal(langs.indices, number))
-            counts = np.zeros(1 << HASH_BITS, np.int64)
-            codes = np.zeros(1 << HASH_BITS, np.uint64)
+            parts, held = [], 0
             for a, b in slices(chosen):
                 found, _ = grams(*_lettered(chosen.slice(a, b - a)), ORDER)
-                at = slot(found, ORDER)
-                counts += np.bincount(at, minlength=len(counts))
-                codes[at] = found
-            full = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([lang] * len(full), pa.string()),
-                    pa.array(full.astype(np.int32)),
-                    pa.array(codes[full].view(np.int64)),
-                    pa.array(counts[full]),
-                ],
-                schema=_COUNT_ARROW,
-            )
+                if not len(found):
+                    continue
+                parts.append(np.unique(found, return_counts=True))
+                held += len(parts[-1][0])
+                if held > HELD_GRAMS:
+                    parts = [_summed(parts)]
+                    held = 0
+            if not parts:
+                continue
+            codes, counts = _summed(parts)
+            columns = [pa.array([lang], pa.string()).take(pa.array(np.zeros(len(codes), np.int32)))]
+            columns += [pa.array(codes.view(np.int64)), pa.array(counts.astype(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, schema=_COUNT_ARROW)
 
 
 def _lettered(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -152,39 +193,29 @@ def _lettered(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Model:
-    """Sorted hash arrays; ``tables[k]`` are (hashes, log-probabilities), ``contexts[k]`` (hashes, back-off logs)."""
+    """``tables[k]`` are (keys, log-probabilities) of the n-grams, ``contexts[k]`` (keys, back-off logs)."""
 
     languages: list[str]
-    tables: list[tuple[np.ndarray, np.ndarray]]
-    contexts: list[tuple[np.ndarray, np.ndarray]]
+    tables: list[tuple[Keys, np.ndarray]]
+    contexts: list[tuple[Keys, np.ndarray]]
     floor: np.ndarray
     means: np.ndarray | None = None
     spreads: np.ndarray | None = None
 
-    def _index(self, kind: str, order: int) -> np.ndarray:
-        """The row of each hash in a sorted array, -1 for none; made once per worker."""
-        cache = self.__dict__.setdefault("_indexes", {})
-        if (kind, order) not in cache:
-            hashes = (self.tables if kind == "grams" else self.contexts)[order][0]
-            rows = np.full(1 << HASH_BITS, -1, np.int32)
-            rows[hashes] = np.arange(len(hashes), dtype=np.int32)
-            cache[kind, order] = rows
-        return cache[kind, order]
-
     def logs(self, codes: np.ndarray, order: int = ORDER) -> np.ndarray:
         """Log-probabilities of the last characters of n-grams given the others, a column per language."""
         if order == 0:
             return np.broadcast_to(self.floor, (len(codes), len(self.languages)))
-        rows = self._index("grams", order - 1)[slot(codes, order)]
-        values = self.tables[order - 1][1]
+        keys, values = self.tables[order - 1]
+        rows = keys.rows(codes)
         if not len(values):
             return self.logs(_suffix(codes, order - 1), order - 1)
         out = values[rows]
         missing = np.flatnonzero(rows < 0)
         if len(missing):
             lower = self.logs(_suffix(codes[missing], order - 1), order - 1)
-            backs = self._index("contexts", order - 1)[slot(codes[missing] >> np.uint64(16), order + 100)]
-            weights = self.contexts[order - 1][1]
+            above, weights = self.contexts[order - 1]
+            backs = above.rows(codes[missing] >> np.uint64(16))
             out[missing] = lower + np.where(backs[:, None] >= 0, weights[backs], np.float32(0))
         return out
 
@@ -229,26 +260,28 @@ def _order_tables(codes, counts, lang, lower, order, n_langs):
 
     ``lower`` gives the probabilities of the order below for codes of that order.
     """
-    at = slot(codes, order)
-    hashes, rows = np.unique(at, return_inverse=True)
-    table = np.zeros((len(hashes), n_langs))
-    np.add.at(table, (rows, lang), counts)
-    representative = np.zeros(len(hashes), np.uint64)
-    representative[rows[::-1]] = codes[::-1]
-    once, twice = (table == 1).sum(axis=0), (table == 2).sum(axis=0)
+    distinct = np.unique(codes)
+    distinct = distinct[np.argsort(mix(distinct))]
+    keys, above = Keys(distinct), Keys(np.unique(codes >> np.uint64(16)))
+    rows, of = keys.rows(codes), above.rows(codes >> np.uint64(16))
+    once, twice = (np.bincount(lang[counts == k], minlength=n_langs) for k in (1, 2))
     discount = np.clip(once / np.maximum(once + 2 * twice, 1), 0.1, 0.9)
-    context = slot(representative >> np.uint64(16), order + 100)
-    above, of = np.unique(context, return_inverse=True)
-    sums = np.zeros((len(above), n_langs))
-    np.add.at(sums, of, table)
-    kinds = np.zeros((len(above), n_langs))
-    np.add.at(kinds, of, (table > 0).astype(float))
+    cell = of.astype(np.int64) * n_langs + lang
+    sums = np.bincount(cell, weights=counts, minlength=len(above) * n_langs).reshape(len(above), n_langs)
+    kinds = np.bincount(cell, minlength=len(above) * n_langs).reshape(len(above), n_langs)
     # A context that a language has not seen leaves all to the order below.
     weights = np.where(sums > 0, discount * kinds / np.maximum(sums, 1), 1.0)
-    below = lower(_suffix(representative, order - 1))
-    seen = np.maximum(table - discount, 0) / np.maximum(sums[of], 1)
-    probabilities = seen + weights[of] * below
-    return (hashes, np.log(probabilities).astype(np.float32)), (above, np.log(weights).astype(np.float32))
+    seen = np.maximum(counts - discount[lang], 0) / np.maximum(sums[of, lang], 1)
+    logs = np.empty((len(distinct), n_langs), np.float32)
+    by_row = np.argsort(rows, kind="stable")
+    rows, lang, seen = rows[by_row], lang[by_row], seen[by_row]
+    for a in range(0, len(distinct), ROWS_AT_ONCE):
+        part = distinct[a : a + ROWS_AT_ONCE]
+        probabilities = weights[above.rows(part >> np.uint64(16))] * lower(_suffix(part, order - 1))
+        own = slice(*np.searchsorted(rows, [a, a + len(part)]))
+        probabilities[rows[own] - a, lang[own]] += seen[own]
+        logs[a : a + len(part)] = np.log(probabilities)
+    return (keys, logs), (above, np.log(weights).astype(np.float32))
 
 
 def build(languages: list[str], lang: np.ndarray, codes: np.ndarray, counts: np.ndarray) -> Model:
@@ -258,41 +291,43 @@ def build(languages: list[str], lang: np.ndarray, codes: np.ndarray, counts: np.
     for order in range(ORDER - 1, 0, -1):
         above, _, of = levels[-1]
         # Continuation counts: how many different characters stand before an n-gram.
-        pairs = np.unique(np.stack([_suffix(above, order), of.astype(np.uint64)]), axis=1, return_counts=True)
-        (lower, langs), kinds = pairs
-        levels.append((lower, kinds.astype(np.float64), langs.astype(np.int64)))
+        below = _suffix(above, order)
+        by_code = np.lexsort((of, below))
+        below, of = below[by_code], of[by_code]
+        new = np.ones(len(below), bool)
+        new[1:] = (below[1:] != below[:-1]) | (of[1:] != of[:-1])
+        starts = np.flatnonzero(new)
+        kinds = np.diff(np.append(starts, len(below)))
+        levels.append((below[starts], kinds.astype(np.float64), of[starts]))
     letters, _, of = levels[-1]
     alphabet = max(1, len(np.unique(letters)))
     floor = np.full(n_langs, -np.log(alphabet + 1.0), np.float32)
     model = Model(languages, [], [], floor)
     for order in range(1, ORDER + 1):
         codes_, counts_, lang_ = levels[ORDER - order]
-        order_of_codes = np.lexsort((lang_, codes_))
         table, context = _order_tables(
-            codes_[order_of_codes],
-            counts_[order_of_codes],
-            lang_[order_of_codes],
+            codes_,
+            counts_,
+            lang_,
             lambda below, k=order - 1: np.exp(model.logs(below, k).astype(np.float64)),
             order,
             n_langs,
         )
         model.tables.append(table)
         model.contexts.append(context)
-    model.__dict__.pop("_indexes", None)
     return model
 
 
 def train(docs: DataFrame, lang_column: str = "lang", text_column: str = "text") -> Model:
     """The model of all rows that have a language and a text.
 
-    Counts are summed per language and hash before anything leaves the executors; the driver gets
-    at most 2**HASH_BITS rows per language.  The limits of rejection come from a second pass.
+    Counts are summed per language and 4-gram before anything leaves the executors; the driver gets
+    a row for each.  The limits of rejection come from a second pass.
     """
     rows = docs.where(F.col(lang_column).isNotNull() & F.col(text_column).isNotNull())
     rows = rows.select(F.col(lang_column).cast("string").alias("lang"), F.col(text_column).alias("text"))
-    counted = rows.mapInArrow(_counted, "lang string, slot int, code long, n long")
-    counted = counted.groupBy("lang", "slot").agg(F.min("code").alias("code"), F.sum("n").alias("n"))
-    found = counted.toArrow().sort_by([("lang", "ascending"), ("slot", "ascending")])
+    counted = rows.mapInArrow(_counted, "lang string, code long, n long")
+    found = counted.groupBy("lang", "code").agg(F.sum("n").alias("n")).toArrow()
     languages = sorted(pc.unique(found.column("lang")).to_pylist())
     numbers = pc.index_in(found.column("lang"), pa.array(languages, pa.string())).to_numpy()
     codes = found.column("code").to_numpy().view(np.uint64)

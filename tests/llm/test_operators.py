@@ -407,6 +407,23 @@ def test_language_models_are_distributions():
         assert (total < 1.01).all() and (total > 0.8).all(), (context, total)
 
 
+def test_language_models_keep_every_gram(spark):
+    """40,000 4-grams of 20 bits would share some 760 slots."""
+    rng = random.Random(11)
+    texts = {lang: "".join(chr(rng.randint(0x4E00, 0x9FA5)) for _ in range(20_000)) for lang in ("x", "y")}
+    rows = [(lang, t[a : a + 2000]) for lang, t in texts.items() for a in range(0, len(t), 2000)]
+    model = languages.train(spark.createDataFrame(rows, "lang string, text string"))
+    read = ["   " + " " + t for _, t in rows]
+    for order in range(1, languages.ORDER + 1):
+        seen = {t[k - order + 1 : k + 1] for t in read for k in range(3, len(t))}
+        above = {g[:-1] for g in seen}
+        assert (len(model.tables[order - 1][0]), len(model.contexts[order - 1][0])) == (len(seen), len(above))
+    # An unseen 4-gram whose context was not seen either is left to the order below.
+    unseen = rng.choices(range(0x3400, 0x4DB5), k=4)
+    code = np.array([sum(c << 16 * (3 - k) for k, c in enumerate(unseen))], np.uint64)
+    assert np.array_equal(model.logs(code), model.logs(code & np.uint64((1 << 48) - 1), 3))
+
+
 def test_letters_do_not_depend_on_the_batch():
     texts = ["Hello, World", "", None, "é\0b", "日本 x", " lead"]
     whole = languages.folded(pa.array(texts))
