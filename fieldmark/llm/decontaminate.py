@@ -7,13 +7,14 @@ consistency then tells a re-parameterised question from chance: along one alignm
 the item must always stand for the same value of the document.
 
 An item leaks into a document if at least 0.8 of its windows are found there and the alignment that
-has most of them is consistent.  Names are told by capitals, which a moved sentence border can
-change, so windows are made in two forms, with and without name placeholders, and an item leaks if
-either form says so.
+has most of them is consistent.  Names are told by capitals, which sentence borders blur, so windows
+are made in three forms, and an item leaks if any form says so: without name placeholders, with them
+for the capitalised words that do not begin a sentence, and with them for capitalised words at any
+place, ``FUNCTION_WORDS`` aside.
 
 Token rules: a number begins with a digit, parts joined by one point or comma are one number; a unit
-is a word of ``UNITS`` right after a number; a name is a capitalised word that does not begin a
-sentence, a run of them being one name.  Windows without a literal word are left out on both sides.
+is a word of ``UNITS`` right after a number; a run of names in a sentence is one name.  Windows without
+a literal word are left out on both sides.
 
 What is broadcast is a table of 2**FILTER_BITS bits over the benchmark's window hashes, of fixed
 size however large the benchmark; what passes it goes through Spark's join.
@@ -36,7 +37,8 @@ from fieldmark.llm.common import Spans, cut, release, shingles, slices, tidy, ut
 WIDTH = 5
 SHARE = 0.8
 FILTER_BITS = 20
-FORMS = (False, True)
+#: Name placeholders: none, inside sentences, anywhere.
+FORMS = (0, 1, 2)
 
 #: Unit words and signs, lower case.
 UNITS = (
@@ -46,6 +48,17 @@ UNITS = (
     "degrees meter meters metre metres kilometer kilometers kilometre kilometres gram grams kilogram kilograms"
 ).split()
 
+#: Words that begin sentences without being names, lower case; no word that is a given name too.
+FUNCTION_WORDS = (
+    "a about above after again all also although among an and another any anyone are as at be because been before "
+    "below between both but by can could did do does during each either else every everyone few finally find first "
+    "for from given had has have he hence her here hers him his how however i if in into is it its later less let "
+    "many more most much must my neither next no nobody none nor not now of off on once one only or other our out "
+    "over per perhaps second several she should since so some such than that the their them then there therefore "
+    "these they this those though through thus to together too two under unless until up was we were what when "
+    "whenever where whether which while who whom whose why with within without would yet you your"
+).split()
+
 _NUMBER, _NAME, _UNIT = (np.uint64(k) for k in (0x6E756D, 0x6E616D65, 0x756E6974))
 
 
@@ -58,26 +71,26 @@ def _lowered(data: np.ndarray) -> np.ndarray:
     return out
 
 
-def _unit_hashes() -> np.ndarray:
-    joined = np.frombuffer(" ".join(UNITS).encode(), np.uint8)
+def _word_hashes(words: list[str]) -> np.ndarray:
+    joined = np.frombuffer(" ".join(words).encode(), np.uint8)
     starts, ends, _ = word_bounds(joined, np.array([0, len(joined)]))
     return np.sort(Spans(joined).hashed(starts, ends))
 
 
-_UNIT_HASHES = _unit_hashes()
+_UNIT_HASHES = _word_hashes(UNITS)
+_FUNCTION_HASHES = _word_hashes(FUNCTION_WORDS)
 
 
-class Templates:
-    """The template tokens of a string column, in one form."""
+class Words:
+    """The words of a string column and what is known of each in any form."""
 
-    def __init__(self, column: pa.Array, names: bool):
+    def __init__(self, column: pa.Array):
         self.data, offsets = utf8(column)
         self.n_rows = len(column)
-        starts, ends, rows = word_bounds(self.data, offsets)
-        if not len(starts):
-            none = np.zeros(0, np.int64)
-            self.token, self.rows, self.starts, self.ends, self.literal = none.astype(np.uint64), none, none, none, none
+        self.starts, self.ends, self.rows = word_bounds(self.data, offsets)
+        if not len(self.starts):
             return
+        starts, ends, rows = self.starts, self.ends, self.rows
         token = Spans(_lowered(self.data)).hashed(starts, ends)
         first = np.concatenate([[True], rows[1:] != rows[:-1]])
         gap = np.where(first, 0, starts - np.concatenate([[0], ends[:-1]]))
@@ -85,23 +98,47 @@ class Templates:
         number = (self.data[starts] >= 48) & (self.data[starts] <= 57)
         follows_number = np.concatenate([[False], number[:-1]]) & ~first
         unit = follows_number & ~number & (gap <= 1) & np.isin(token, _UNIT_HASHES)
-        literal = ~number & ~unit
-        joined = number & follows_number & (gap == 1) & ((after == 46) | (after == 44))
-        token = np.where(number, _NUMBER, np.where(unit, _UNIT, token))
-        if names:
-            # A sentence begins a text and follows a point, question or exclamation mark, colon or line end.
-            ending = np.isin(self.data, np.frombuffer(b".!?:\n", np.uint8))
-            count = np.concatenate([[0], np.cumsum(ending)])
-            begins = first | (count[starts] > count[np.concatenate([[0], ends[:-1]])])
-            head, second = self.data[starts], self.data[np.minimum(starts + 1, len(self.data) - 1)]
-            wide = (head == 0xC3) & (second >= 0x80) & (second <= 0x9E)
-            capital = ((head >= 65) & (head <= 90)) | wide
-            # Words all in capitals are shouted, not names.
-            small = np.concatenate([[0], np.cumsum((self.data >= 97) & (self.data <= 122))])
-            name = literal & capital & ~begins & (small[ends] > small[starts])
-            token = np.where(name, _NAME, token)
-            joined |= name & np.concatenate([[False], name[:-1]]) & (gap == 1)
-            literal &= ~name
+        self.literal = ~number & ~unit
+        self.joined = number & follows_number & (gap == 1) & ((after == 46) | (after == 44))
+        self.token = np.where(number, _NUMBER, np.where(unit, _UNIT, token))
+        # A sentence begins a text and follows a point, question or exclamation mark, colon or line end.
+        ending = np.isin(self.data, np.frombuffer(b".!?:\n", np.uint8))
+        count = np.concatenate([[0], np.cumsum(ending)])
+        self.begins = first | (count[starts] > count[np.concatenate([[0], ends[:-1]])])
+        self.follows = ~self.begins & (gap == 1)
+        head, second = self.data[starts], self.data[np.minimum(starts + 1, len(self.data) - 1)]
+        wide = (head == 0xC3) & (second >= 0x80) & (second <= 0x9E)
+        capital = ((head >= 65) & (head <= 90)) | wide
+        # Words all in capitals are shouted, not names.
+        small = np.concatenate([[0], np.cumsum((self.data >= 97) & (self.data <= 122))])
+        self.capital = self.literal & capital & (small[ends] > small[starts])
+
+    def names(self, form: int) -> np.ndarray:
+        """The words that are names, or parts of one, in a form."""
+        if form == 0:
+            return np.zeros(len(self.starts), bool)
+        if form == 1:
+            return self.capital & ~self.begins
+        at = np.flatnonzero(self.capital)
+        names = np.zeros(len(self.starts), bool)
+        names[at] = ~np.isin(self.token[at], _FUNCTION_HASHES)
+        return names
+
+
+class Templates:
+    """The template tokens of words, in one form."""
+
+    def __init__(self, words: Words, form: int):
+        self.data, self.n_rows = words.data, words.n_rows
+        if not len(words.starts):
+            none = np.zeros(0, np.int64)
+            self.token, self.rows, self.starts, self.ends, self.literal = none.astype(np.uint64), none, none, none, none
+            return
+        starts, ends, rows = words.starts, words.ends, words.rows
+        name = words.names(form)
+        token = np.where(name, _NAME, words.token)
+        joined = words.joined | (name & np.concatenate([[False], name[:-1]]) & words.follows)
+        literal = words.literal & ~name
         kept = ~joined
         # A token that others were joined to ends where the last of them ends.
         group = np.cumsum(kept) - 1
@@ -135,7 +172,7 @@ class Templates:
 _WINDOWS = pa.schema(
     [
         ("row", pa.int64()),
-        ("form", pa.bool_()),
+        ("form", pa.int32()),
         ("hash", pa.int64()),
         ("place", pa.int32()),
         ("slots", pa.list_(pa.string())),
@@ -146,9 +183,9 @@ _WINDOWS = pa.schema(
 def _found(column: pa.Array, ids: pa.Array, passes: np.ndarray | None) -> Iterator[pa.RecordBatch]:
     """Windows of the rows; those alone that the bit table lets through, if there is one."""
     for a, b in slices(column):
-        part = column.slice(a, b - a)
+        words = Words(column.slice(a, b - a))
         for form in FORMS:
-            made = Templates(part, form)
+            made = Templates(words, form)
             hashes, rows, at = made.windows()
             if passes is not None and len(hashes):
                 chosen = passes[(hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)]
@@ -159,7 +196,7 @@ def _found(column: pa.Array, ids: pa.Array, passes: np.ndarray | None) -> Iterat
             firsts = ends - np.bincount(made.rows, minlength=made.n_rows)
             columns = [
                 ids.take(pa.array(a + rows)),
-                pa.array(np.full(len(hashes), form)),
+                pa.array(np.full(len(hashes), form, np.int32)),
                 pa.array(hashes.view(np.int64)),
                 pa.array((at - firsts[rows]).astype(np.int32)),
                 pa.array([made.slots(k, e) for k, e in zip(at.tolist(), ends[rows].tolist())], pa.list_(pa.string())),
@@ -176,7 +213,7 @@ def benchmark_windows(items: DataFrame, id_column: str = "item_id", text_column:
             yield from _found(batch.column(1), batch.column(0), None)
 
     rows = items.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
-    found = rows.mapInArrow(made, "row long, form boolean, hash long, place int, slots array<string>")
+    found = rows.mapInArrow(made, "row long, form int, hash long, place int, slots array<string>")
     found = found.withColumnRenamed("row", "item_id").distinct()
     sizes = found.groupBy(F.col("item_id").alias("i"), F.col("form").alias("f")).agg(F.countDistinct("place").alias("n"))
     same = F.col("item_id").eqNullSafe(F.col("i")) & (F.col("form") == F.col("f"))
@@ -219,7 +256,7 @@ def leaks(
     text = F.col(text_column)
     key = F.struct(F.col(id_column).cast("long").alias("id"), F.xxhash64(text).alias("hash"))
     hits = docs.select(key.alias("key"), text.alias("text")).mapInArrow(
-        searched, "row struct<id:long,hash:long>, form boolean, hash long, place int, slots array<string>"
+        searched, "row struct<id:long,hash:long>, form int, hash long, place int, slots array<string>"
     )
     hits = hits.select(
         F.col("row.id").alias("doc_id"),

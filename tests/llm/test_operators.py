@@ -334,6 +334,21 @@ def test_decontamination_checks_slots(spark):
     assert [r.doc_id for r in got] == [1]
 
 
+def test_decontamination_finds_names_that_begin_sentences(spark):
+    item = "Tom has 5 apples. Tom gives 2 apples to Mary. How many apples are left?"
+    other = "Anna has 3 apples. Anna gives 4 apples to Eve. How many apples are left?"
+    told = {
+        1: f"Here is one more for the class. {item} Think well.",
+        2: f"Here is one more for the class. {other} Think well.",
+        3: f"Well, {other}",
+        4: f"Here is one more. {other.replace('Anna gives', 'Eve gives')} Think well.",
+        5: "Anna has 3 pears. Anna sells 4 pears at noon. How many people are there?",
+    }
+    docs = spark.createDataFrame([*told.items()], "doc_id long, text string")
+    got = decontaminate.leaks(docs, spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    assert {r.doc_id: (r.share, r.changed) for r in got} == {1: (1.0, 0), 2: (1.0, 4), 3: (1.0, 4)}
+
+
 def test_decontamination_of_the_tables(spark, sf_dir, awkward, empty):
     docs, items = (queries.table(spark, sf_dir, n) for n in ("documents", "benchmark"))
     having, sizes = collections.defaultdict(set), {}
