@@ -19,14 +19,15 @@ a literal word are left out on both sides.
 What is broadcast is a table of 2**FILTER_BITS bits over the benchmark's window hashes, of fixed
 size however large the benchmark; what passes it goes through Spark's join.
 
-Cases: an item of fewer than five tokens has one shorter window, which only a document of the same
-few tokens matches; null and empty texts and items match nothing; repeated items each give a row,
+Cases: an item of fewer than five tokens has one shorter window; documents are searched for windows
+of those widths from two on, so such an item leaks wherever it stands as a whole with consistent slots.
+An item of one token, a word, only meets documents that are this word.  Null and empty texts and items match nothing; repeated items each give a row,
 repeated documents too; equal ids with different texts are told apart by their text's hash.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,8 @@ from fieldmark.llm.common import Spans, cut, release, shingles, slices, tidy, ut
 WIDTH = 5
 SHARE = 0.8
 FILTER_BITS = 20
+#: Least number of tokens of an item that is searched inside longer documents.
+SHORTEST = 2
 #: Name placeholders: none, inside sentences, anywhere.
 FORMS = (0, 1, 2)
 
@@ -147,25 +150,35 @@ class Templates:
         self.token, self.rows, self.starts, self.ends = token[kept], rows[kept], starts[kept], last
         self.literal = literal[kept]
 
-    def windows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Hash, row and first token of each window that has a literal word."""
+    def windows(self, widths: Sequence[int] = ()) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Hash, row, first token and width of each window that has a literal word.
+
+        A row of fewer than ``WIDTH`` tokens has one window of all of them; ``widths`` are shorter
+        ones whose windows are added in rows of more tokens.
+        """
         if not len(self.token):
-            return self.token, self.rows, self.rows
-        hashes, rows = shingles(self.token, self.rows, self.n_rows, WIDTH)
+            return self.token, self.rows, self.rows, self.rows
         counts = np.bincount(self.rows, minlength=self.n_rows)
-        first = (np.cumsum(counts) - counts)[rows]
-        # Windows of a row follow each other from its first token on.
-        begun = np.concatenate([[True], rows[1:] != rows[:-1]])
-        place = np.arange(len(rows)) - np.maximum.accumulate(np.where(begun, np.arange(len(rows)), 0))
-        at = first + place
+        firsts = np.cumsum(counts) - counts
         seen = np.concatenate([[0], np.cumsum(self.literal)])
-        to = np.minimum(at + WIDTH, (first + counts[rows]))
-        some = seen[to] > seen[at]
-        return hashes[some], rows[some], at[some]
-
-    def slots(self, at: int, row_end: int) -> list[str]:
+        made = []
+        for width in (WIDTH, *widths):
+            hashes, rows = shingles(self.token, self.rows, self.n_rows, width)
+            first = firsts[rows]
+            # Windows of a row follow each other from its first token on.
+            begun = np.concatenate([[True], rows[1:] != rows[:-1]])
+            place = np.arange(len(rows)) - np.maximum.accumulate(np.where(begun, np.arange(len(rows)), 0))
+            at = first + place
+            to = np.minimum(at + width, (first + counts[rows]))
+            some = seen[to] > seen[at]
+            if width < WIDTH:
+                some &= counts[rows] > width
+            made.append((hashes[some], rows[some], at[some], (to - at)[some]))
+        return tuple(np.concatenate(arrays) for arrays in zip(*made))
+
+    def slots(self, at: int, to: int) -> list[str]:
         """The values of the placeholders of a window, in order."""
-        chosen = [k for k in range(at, min(at + WIDTH, row_end)) if not self.literal[k]]
+        chosen = [k for k in range(at, to) if not self.literal[k]]
         return [self.data[self.starts[k] : self.ends[k]].tobytes().decode("utf-8", "replace") for k in chosen]
 
 
@@ -175,45 +188,49 @@ _WINDOWS = pa.schema(
         ("form", pa.int32()),
         ("hash", pa.int64()),
         ("place", pa.int32()),
+        ("width", pa.int32()),
         ("slots", pa.list_(pa.string())),
     ]
 )
 
 
-def _found(column: pa.Array, ids: pa.Array, passes: np.ndarray | None) -> Iterator[pa.RecordBatch]:
-    """Windows of the rows; those alone that the bit table lets through, if there is one."""
+def _found(
+    column: pa.Array, ids: pa.Array, passes: np.ndarray | None, widths: Mapping[int, Sequence[int]]
+) -> Iterator[pa.RecordBatch]:
+    """Windows of the rows, by form of shorter ``widths`` too; those that the bit table lets through, if there is one."""
     for a, b in slices(column):
         words = Words(column.slice(a, b - a))
         for form in FORMS:
             made = Templates(words, form)
-            hashes, rows, at = made.windows()
+            hashes, rows, at, width = made.windows(widths.get(form, ()))
             if passes is not None and len(hashes):
                 chosen = passes[(hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)]
-                hashes, rows, at = hashes[chosen], rows[chosen], at[chosen]
+                hashes, rows, at, width = hashes[chosen], rows[chosen], at[chosen], width[chosen]
             if not len(hashes):
                 continue
-            ends = np.cumsum(np.bincount(made.rows, minlength=made.n_rows))
-            firsts = ends - np.bincount(made.rows, minlength=made.n_rows)
+            counts = np.bincount(made.rows, minlength=made.n_rows)
+            firsts = np.cumsum(counts) - counts
             columns = [
                 ids.take(pa.array(a + rows)),
                 pa.array(np.full(len(hashes), form, np.int32)),
                 pa.array(hashes.view(np.int64)),
                 pa.array((at - firsts[rows]).astype(np.int32)),
-                pa.array([made.slots(k, e) for k, e in zip(at.tolist(), ends[rows].tolist())], pa.list_(pa.string())),
+                pa.array(width.astype(np.int32)),
+                pa.array([made.slots(k, e) for k, e in zip(at.tolist(), (at + width).tolist())], pa.list_(pa.string())),
             ]
             yield pa.RecordBatch.from_arrays(columns, schema=pa.schema([("row", ids.type), *list(_WINDOWS)[1:]]))
 
 
 def benchmark_windows(items: DataFrame, id_column: str = "item_id", text_column: str = "text") -> DataFrame:
-    """(item_id, form, hash, place, slots, n): every window of the benchmark, and the item's number of windows."""
+    """(item_id, form, hash, place, width, slots, n): every window of the benchmark, and the item's number of windows."""
 
     @tidy
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield from _found(batch.column(1), batch.column(0), None)
+            yield from _found(batch.column(1), batch.column(0), None, {})
 
     rows = items.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
-    found = rows.mapInArrow(made, "row long, form int, hash long, place int, slots array<string>")
+    found = rows.mapInArrow(made, "row long, form int, hash long, place int, width int, slots array<string>")
     found = found.withColumnRenamed("row", "item_id").distinct()
     sizes = found.groupBy(F.col("item_id").alias("i"), F.col("form").alias("f")).agg(F.countDistinct("place").alias("n"))
     same = F.col("item_id").eqNullSafe(F.col("i")) & (F.col("form") == F.col("f"))
@@ -246,17 +263,21 @@ def leaks(
     bits[found.column(0).to_numpy()] = True
     shared = spark.sparkContext.broadcast(np.packbits(bits).tobytes())
 
+    # At most the few widths below WIDTH in each form.
+    short = windows.where(F.col("width").between(SHORTEST, WIDTH - 1)).select("form", "width").distinct().collect()
+    widths = {form: sorted(r.width for r in short if r.form == form) for form in FORMS}
+
     @tidy
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
         passes = np.unpackbits(np.frombuffer(shared.value, np.uint8)).view(bool)
         for batch in batches:
-            yield from _found(batch.column(1), batch.column(0), passes)
+            yield from _found(batch.column(1), batch.column(0), passes, widths)
 
     text = F.col(text_column)
     key = F.struct(F.col(id_column).cast("long").alias("id"), F.xxhash64(text).alias("hash"))
     hits = docs.select(key.alias("key"), text.alias("text")).mapInArrow(
-        searched, "row struct<id:long,hash:long>, form int, hash long, place int, slots array<string>"
+        searched, "row struct<id:long,hash:long>, form int, hash long, place int, width int, slots array<string>"
     )
     hits = hits.select(
         F.col("row.id").alias("doc_id"),

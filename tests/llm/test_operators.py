@@ -349,6 +349,17 @@ def test_decontamination_finds_names_that_begin_sentences(spark):
     assert {r.doc_id: (r.share, r.changed) for r in got} == {1: (1.0, 0), 2: (1.0, 4), 3: (1.0, 4)}
 
 
+def test_decontamination_finds_short_items_in_long_documents(spark):
+    items = [(1, "What is 12 + 7?"), (2, "Compute 12 * 7."), (3, "Define entropy")]
+    around = "We met near the old mill and talked for a while. {} Then everyone went home before it rained."
+    told = [(k, around.format(text)) for k, text in items]
+    told += [(4, around.format("What is 30 + 4?")), (5, around.format("What was 12 + 7?")), (6, around.format("Compute!"))]
+    told += [(7, "define entropy"), (8, "we define free entropy"), (9, "Compute 3 * 3.")]
+    docs = spark.createDataFrame(told, "doc_id long, text string")
+    got = decontaminate.leaks(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(1, 1), (2, 2), (3, 3), (4, 1), (7, 3), (9, 2)}
+
+
 def test_decontamination_of_the_tables(spark, sf_dir, awkward, empty):
     docs, items = (queries.table(spark, sf_dir, n) for n in ("documents", "benchmark"))
     having, sizes = collections.defaultdict(set), {}
