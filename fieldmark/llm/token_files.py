@@ -14,6 +14,9 @@ the block, and kept with it, so that writing needs one pass over the text and an
 decoded alone.  Decoding has no loop over tokens: a control byte's four lengths come from a table of
 256 rows, their running sum gives the places of the bytes.
 
+Ids are those of the tokenizer's plain call without special tokens added; the string of an added
+token in a text is that token.
+
 Cases: null and empty texts have the end token alone; equal ids and repeated rows keep a place each,
 in order of their text's hash; null ids come first.  An empty table gives empty files.
 """
@@ -75,14 +78,17 @@ class Encoder:
     stands between two characters other than white space, nor between a letter or digit and a point
     or comma.  So a text is a sequence of words, each with the space, line end or mark that it
     begins with, and each word met is encoded once.  Texts in which white space meets white space,
-    or marks meet marks, are encoded as a whole.
+    or marks meet marks, are encoded as a whole, and so are those that hold the string of an added
+    token, which the tokenizer cuts out first.  ``literal`` has such strings read as ordinary text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, literal: bool = True):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = literal
+        added = [] if literal else self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [token.content for token in added]
         vocabulary = self.tokenizer.get_vocab()
         # How a byte-level vocabulary spells the space and the line end.
         self.begins = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -115,6 +121,9 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, np.uint32) for e in found]
 
+    def _has_added(self, text: str) -> bool:
+        return any(token in text for token in self.added)
+
     def _learn(self) -> None:
         """Encode the words that were not met before, in one text that begins every word with its white space."""
         new, self.words.new = self.words.new, []
@@ -125,9 +134,10 @@ class Encoder:
         # A mark stands after a letter, whose one token is left out again.
         kept = [" a" + w[1:] if m else w if w[:1] == "\n" else " " + w for w, m in zip(new, marked.tolist())]
         kept = [w for w, good in zip(kept, plain.tolist()) if good]
-        ids = self._encode(["".join(kept)])[0] if kept else np.zeros(0, np.uint32)
+        whole = "".join(kept)
+        ids = self._encode([whole])[0] if kept else np.zeros(0, np.uint32)
         firsts = np.flatnonzero(self.begins[ids])
-        if len(firsts) != len(kept):
+        if len(firsts) != len(kept) or self._has_added(whole):
             parts = self._encode(kept)
             ids = np.concatenate(parts)
             firsts = np.cumsum([0, *map(len, parts)])[:-1]
@@ -143,8 +153,9 @@ class Encoder:
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, the end id appended."""
         numbers, bounds, first_words = [], [0], []
-        for text in texts:
-            words = text.replace("\n", " \n").replace(".", " \1.").replace(",", " \1,").split(" ")
+        cut_first = [self._has_added(t) for t in texts]
+        for text, has_added in zip(texts, cut_first):
+            words = [text] if has_added else text.replace("\n", " \n").replace(".", " \1.").replace(",", " \1,").split(" ")
             first_words.append(words[0])
             numbers += map(self.words.__getitem__, words[1:])
             numbers.append(0)
@@ -159,7 +170,7 @@ class Encoder:
         kinds = self.kinds[numbers]
         bad = kinds & _PLAIN == 0
         bad[1:] |= (kinds[1:] & _MARK > 0) & (kinds[:-1] & _JOINS == 0)
-        rough = np.add.reduceat(bad, bounds[:-1]) > 0
+        rough = (np.add.reduceat(bad, bounds[:-1]) > 0) | np.array(cut_first, bool)
         first_marked = (kinds[bounds[:-1]] & _MARK > 0).tolist()
         rough |= [
             w != w.strip() or (w == "" and t != "") or "\1" in t or (m and not _joins(w))
@@ -178,7 +189,7 @@ class Encoder:
 def _encoder(path: str) -> Encoder:
     """A worker's encoder, kept from task to task with the words it knows."""
     if ("encoder", path) not in worker_state:
-        worker_state["encoder", path] = Encoder(path)
+        worker_state["encoder", path] = Encoder(path, literal=False)
     return worker_state["encoder", path]
 
 

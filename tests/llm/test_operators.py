@@ -299,6 +299,20 @@ def test_words_encode_as_texts_do(monkeypatch):
             assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids + [0], text
 
 
+def test_token_files_have_the_ids_of_the_plain_call(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(queries.tokenizer_path())
+    mark, rng = "<|endoftext|>", random.Random(9)
+    texts = ["a <|endoftext|> b", mark, mark * 2, f"the end.{mark}\nNext, one", f" {mark}", "plain, again.", "< |endoftext| >"]
+    texts += ["".join(rng.choices([mark, " the", " a", "b", ".", "\n", ", x", "\1"], k=12)) for _ in range(200)]
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    token_files.write_tokens(docs, str(tmp_path / "t"), queries.tokenizer_path())
+    got = {r.doc_id: list(r.ids) for r in token_files.read_tokens(spark, str(tmp_path / "t")).collect()}
+    assert got[0] == [64, 220, 50256, 275, 0]
+    assert got == {k: tokenizer.encode(t, add_special_tokens=False).ids + [0] for k, t in enumerate(texts)}
+
+
 def test_packing_is_reversible():
     for seed in range(20):
         ids = np.random.default_rng(seed).zipf(1.2, 1 + seed * 37).clip(0, 3_000_000).astype(np.uint32)
