@@ -8,32 +8,17 @@ from checks.report_queries import AS_OF, CUTOFF, scored, written_policies
 from checks.spec import Check, digits
 from checks.tables import on_policy, on_raw, policies, raw
 from fieldmark.ml import models, preparation
-from fieldmark.plans import dataset, features
+from fieldmark.plans import dataset
 from fieldmark.plans.schema import REF
 from fieldmark.session import scratch_path
 from fieldmark.sources import writers
 
-NUMERIC = [
-    "insurer_policies_365d", "insurer_claim_rate_365d", "insurer_severity_365d", "rate_mean_365d", "rate_std_365d",
-    "rate_anomaly", "duration_days", "insured_per_ha", "premium_per_ha", "subsidy_ratio", "policy_rate",
-    "policy_coverage", "area_per_head",
-]
-CATEGORICAL = ["crop_group", "region"]
-CYCLIC = ["month_sin", "month_cos"]
 LABEL = dataset.LABEL
-# Shorter than the library's settings, which take minutes per fit on one machine.
-QUICK = {
-    "decision_tree": {"maxDepth": 5},
-    "random_forest": {"numTrees": 10, "maxDepth": 5},
-    "adaboost": {"rounds": 5},
-    "gradient_boosting": {"maxIter": 5, "maxDepth": 4},
-}
-TABLES = ("policy_economics", "insurer_risk", "rate_reference")
 
 
 def _frame(spark, sf, spine_of):
     held = written_policies(spark, sf)
-    tables = {n: features.feature_table(n).build(held) for n in TABLES}
+    tables = dataset.written_feature_tables(held, scratch_path(spark, "features"), by_month=False)
     return dataset.with_features(spine_of(held), tables)
 
 
@@ -42,17 +27,19 @@ def prepared(spark, sf):
     full = _frame(spark, sf, lambda d: dataset.training_spine(d, AS_OF, CUTOFF))
     marked = dataset.stratified_split(full, LABEL, ["policy_id", REF])
     path = scratch_path(spark, "training")
-    writers.overwrite(marked.select("policy_id", REF, LABEL, "is_test", *NUMERIC, *CATEGORICAL, *CYCLIC), path)
+    writers.overwrite(marked.select("policy_id", REF, LABEL, "is_test", *preparation.ALL_FEATURES), path)
     table = spark.read.parquet(path)
     train, test = table.filter(~F.col("is_test")), table.filter("is_test")
-    fitted = preparation.fit(train, NUMERIC, CATEGORICAL, CYCLIC)
+    fitted = preparation.fit(
+        train, [*preparation.HISTORY, *preparation.CONTRACT], preparation.CATEGORIES, preparation.CYCLIC
+    )
     return train, test, fitted
 
 
 def _model(name):
     def build(spark, sf):
         train, test, fitted = prepared(spark, sf)
-        model = models.fit_model(name, fitted.transform(train), LABEL, **QUICK[name])
+        model = models.fit_model(name, fitted.transform(train), LABEL)
         return models.evaluate(model, fitted.transform(train), fitted.transform(test), LABEL, name)
 
     return build
@@ -60,14 +47,14 @@ def _model(name):
 
 def _compared(spark, sf):
     train, test, fitted = prepared(spark, sf)
-    outcome = models.compare(fitted.transform(train), fitted.transform(test), LABEL, QUICK)
+    outcome = models.compare(fitted.transform(train), fitted.transform(test), LABEL)
     return outcome.metrics.withColumn("is_champion", F.col("model") == outcome.champion)
 
 
 def _tuned(spark, sf):
     train, test, fitted = prepared(spark, sf)
     vectors = fitted.transform(train)
-    model, chosen, score = models.tune("decision_tree", vectors, LABEL, {"maxDepth": [3, 5]}, folds=3)
+    model, chosen, score = models.tune("decision_tree", vectors, LABEL, folds=3)
     path = scratch_path(spark, "runs")
     models.log_run(spark, path, "decision_tree", chosen, {"grid_best_cv_auc_roc": score})
     return models.best_parameters(spark.read.parquet(path), list(chosen))
@@ -75,14 +62,14 @@ def _tuned(spark, sf):
 
 def _importances(spark, sf):
     train, _, fitted = prepared(spark, sf)
-    model = models.fit_model("decision_tree", fitted.transform(train), LABEL, **QUICK["decision_tree"])
+    model = models.fit_model("decision_tree", fitted.transform(train), LABEL)
     return models.feature_importances(model, fitted, spark)
 
 
 def _saved(spark, sf):
     """Scores of the out-of-time policies by a model that was saved and loaded again."""
     train, _, fitted = prepared(spark, sf)
-    model = models.fit_model("decision_tree", fitted.transform(train), LABEL, **QUICK["decision_tree"])
+    model = models.fit_model("decision_tree", fitted.transform(train), LABEL)
     path = scratch_path(spark, "models")
     models.save_model(spark, path, "decision_tree", model, fitted)
     name, version, loaded, prep = models.load_model(spark, path)
@@ -93,7 +80,7 @@ def _saved(spark, sf):
 def _batch_scores(spark, sf):
     """Out-of-time policies scored and written by model; counts per month and class."""
     train, _, fitted = prepared(spark, sf)
-    model = models.fit_model("decision_tree", fitted.transform(train), LABEL, **QUICK["decision_tree"])
+    model = models.fit_model("decision_tree", fitted.transform(train), LABEL)
     late = _frame(spark, sf, lambda d: dataset.scoring_spine(d, CUTOFF))
     path = scratch_path(spark, "scores")
     writers.overwrite(models.score_batch(late, fitted, model, "decision_tree", 1), path, ["model_name"])

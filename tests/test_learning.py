@@ -122,3 +122,36 @@ def test_comparison_picks_best_on_test(spark, rows, fitted):
     outcome = models.compare(train, test, "y", settings, names=("decision_tree", "adaboost"))
     scores = {r.model: r.auc_roc for r in outcome.metrics.filter("split = 'test'").collect()}
     assert outcome.champion == max(scores, key=scores.get)
+
+
+def test_registered_queries_learn_from_all_features(spark, sf_dir):
+    from checks.learning_queries import CHECKS
+
+    got = CHECKS["m4_assembled_features"].query(spark, sf_dir).collect()
+    assert [r.n_features for r in got] == [len(preparation.ALL_FEATURES)] == [55]
+
+
+def test_registered_queries_fit_the_librarys_settings(spark, sf_dir, monkeypatch):
+    from checks import learning_queries
+
+    class Done(Exception):
+        pass
+
+    def stop(*given, **settings):
+        seen.append((given, settings))
+        raise Done
+
+    class Unfitted:
+        transform = staticmethod(lambda df: df)
+
+    monkeypatch.setattr(learning_queries, "prepared", lambda spark, sf: (None, None, Unfitted))
+    seen = []
+    for name in ("fit_model", "compare", "tune"):
+        monkeypatch.setattr(models, name, stop)
+    for key in ("m6_decision_tree", "m7_random_forest", "m8_adaboost", "m9_gradient_boosting", "m10_model_comparison",
+                "m11_grid_search", "m12_feature_importances", "m13_saved_model_scores", "m15_batch_scoring"):
+        with pytest.raises(Done):
+            learning_queries.CHECKS[key].query(spark, sf_dir)
+    assert len(seen) == 9
+    assert not any(isinstance(v, dict) for given, _ in seen for v in given)
+    assert all(set(settings) <= {"folds"} for _, settings in seen)
