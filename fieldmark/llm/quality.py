@@ -179,7 +179,10 @@ def train(
     chosen = chosen.groupBy(F.col(id_column).cast("long").alias("id")).agg(F.avg(label_column).alias("label"))
     chosen = chosen.orderBy(F.xxhash64("id"), "id").limit(max_labelled)
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    rows = texts.join(chosen, F.col("doc_id") == F.col("id")).select("doc_id", "label", "text")
+    # One row per chosen id, summed up before the shuffle: repeated ids bring no more rows than labels were chosen.
+    rows = texts.join(chosen, F.col("doc_id") == F.col("id"))
+    order = F.struct(F.col("text").isNull(), F.xxhash64("text"), F.col("text"))
+    rows = rows.groupBy("doc_id").agg(F.first("label").alias("label"), F.min_by("text", order).alias("text"))
 
     @tidy
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,8 +195,6 @@ def train(
                 )
 
     found = rows.mapInArrow(counted, "doc_id long, label double, terms binary").toArrow().sort_by("doc_id")
-    # Repeated ids could bring more rows than labels were chosen.
-    found = found.slice(0, max_labelled)
     terms = [np.frombuffer(t.as_py(), np.float32) for t in found.column("terms")]
     counts = np.stack(terms) if terms else np.zeros((0, TERMS), np.float32)
     return fit(counts, found.column("label").to_numpy())

@@ -139,6 +139,16 @@ def test_quality(spark, sf_dir, awkward, empty):
     assert (nothing.score == 0.5).all()
 
 
+def test_quality_learns_from_one_row_per_id(spark):
+    rows = [(1, f"the same id {k}") for k in range(40)] + [(1, None)] + [(k, f"text of {k}") for k in range(2, 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(k, k % 2) for k in range(1, 9)], "doc_id long, quality int")
+    model = quality.train(docs, labels, max_labelled=8)
+    assert sorted(model.labels.tolist()) == [0.0] * 4 + [1.0] * 4
+    again = quality.train(docs.repartition(2), labels, max_labelled=8)
+    assert np.array_equal(model.vectors, again.vectors)
+
+
 def pages_of(rows):
     digest = [base64.b32encode(hashlib.sha1((h or "").encode()).digest()).decode() for _, _, h in rows]
     best = collections.defaultdict(list)
