@@ -152,12 +152,12 @@ def mixture(
     """One row per document: its size, its source's size and target, the words taken, its positions.
 
     ``position`` is the time of the first pass, ``again`` that of the last; both are null for a
-    document that is not taken.
+    document that is not taken.  Rows are range-sorted by position, documents not taken last.
     """
     sized = _sized(docs, id_column, text_column, source_column, [F.col(id_column).alias("doc_id")])
     placed = _decided(cut(sized, "mix-sizes"), total, most)
     taken = F.col("times") > 0
-    return placed.select(
+    rows = placed.select(
         "doc_id",
         "size",
         "source_size",
@@ -166,7 +166,9 @@ def mixture(
         "times",
         F.when(taken, _position_of(F.lit(0))).alias("position"),
         F.when(taken, _position_of(F.col("times") - 1)).alias("again"),
+        "place",
     )
+    return rows.orderBy(F.col("position").asc_nulls_last(), "place").drop("place")
 
 
 def mixed(

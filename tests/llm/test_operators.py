@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from fieldmark.llm import (
@@ -271,6 +272,16 @@ def test_positions_follow_the_schedule(docs):
     assert got.position.between(0, 1).all() and (got.again >= got.position).all()
 
 
+def test_mixture_is_range_sorted(awkward, tmp_path):
+    for number, table in enumerate((awkward, awkward.repartition(7))):
+        path = str(tmp_path / f"m{number}")
+        mixing.mixture(table).write.parquet(path)
+        parts = sorted((tmp_path / f"m{number}").glob("part-*"))
+        got = [p for part in parts for p in pq.read_table(part).column("position").to_pylist()]
+        taken = [p for p in got if p is not None]
+        assert len(got) == table.count() and got[: len(taken)] == sorted(taken)
+
+
 def test_token_files(spark, awkward, empty, tmp_path):
     from tokenizers import Tokenizer
 
