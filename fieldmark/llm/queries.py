@@ -15,7 +15,11 @@ from fieldmark.llm import (
     quality,
     repeats,
     secrets,
+    spelling,
+    token_counts,
     token_files,
+    twins,
+    vector_codes,
     warc,
 )
 from fieldmark.session import scratch_path
@@ -76,6 +80,18 @@ def op10_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages.language_predictions(table(spark, sf_dir, "documents"))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_repeats": op2_repeats,
@@ -87,6 +103,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_secrets": op9_secrets,
     "op10_languages": op10_languages,
+    "op11_token_counts": op11_token_counts,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_vector_codes": op13_vector_codes,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = twins.ORACLES
