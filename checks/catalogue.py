@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks import cleaning_queries, feature_queries, learning_queries, report_queries
+from checks import cleaning_queries, feature_queries, learning_queries, report_queries, wider_queries
 from checks.spec import Check
 
 CHECKS: dict[str, Check] = {
@@ -10,4 +10,5 @@ CHECKS: dict[str, Check] = {
     **cleaning_queries.CHECKS,
     **report_queries.CHECKS,
     **learning_queries.CHECKS,
+    **wider_queries.CHECKS,
 }

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from itertools import product
 
 from pyspark.ml.classification import (
     DecisionTreeClassificationModel,
@@ -15,17 +18,15 @@ from pyspark.ml.classification import (
     RandomForestClassificationModel,
     RandomForestClassifier,
 )
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fieldmark.ml.boosting import BoostedStumps, fit_boosted_stumps
 from fieldmark.ml.importance import importances
 from fieldmark.ml.preparation import Preparation
-from fieldmark.operators.ranking import all_metrics
+from fieldmark.operators.ranking import all_metrics, curve_metrics, running_counts
 from fieldmark.plans.schema import REF
-from fieldmark.session import scratch_path
+from fieldmark.session import scratch_path, written
 from fieldmark.sources import writers
 
 WEIGHT = "class_weight"
@@ -46,6 +47,8 @@ GRIDS = {
     "adaboost": {"rounds": [50, 100, 200], "rate": [0.03, 0.1, 0.3]},
     "gradient_boosting": {"maxIter": [150, 250], "maxDepth": [4, 6, 8], "stepSize": [0.05, 0.1]},
 }
+# The setting along which one fit holds all smaller ones: its first trees or rounds are the smaller model.
+PREFIXES = {"random_forest": "numTrees", "adaboost": "rounds", "gradient_boosting": "maxIter"}
 ESTIMATORS = {
     "decision_tree": DecisionTreeClassifier,
     "random_forest": RandomForestClassifier,
@@ -87,21 +90,70 @@ def estimator(name: str, label: str, **settings):
 
 def fit_model(name: str, df: DataFrame, label: str, **settings):
     """Fit one classifier on a prepared frame (``features`` vector and label)."""
+    return fit_weighted(name, df if name == "adaboost" else with_class_weight(df, label, name), label, **settings)
+
+
+def fit_weighted(name: str, df: DataFrame, label: str, **settings):
+    """The same on a frame that already has row weights."""
     if name == "adaboost":
         return fit_boosted_stumps(df, label, **{**SETTINGS[name], **settings})
     # The copy leaves the training summary behind: it holds the session, which
     # cannot be sent to the tasks that apply the model.
-    return estimator(name, label, **settings).fit(with_class_weight(df, label, name)).copy()
+    return estimator(name, label, **settings).fit(df).copy()
 
 
-def with_score(model, df: DataFrame) -> DataFrame:
-    """Adds ``score``, the probability of the positive class."""
+def first_trees(model, n: int):
+    """The ensemble of a fitted one's first ``n`` trees or rounds."""
+    if isinstance(model, BoostedStumps):
+        return model.prefix(n)
+    java = model._java_obj
+    jvm = SparkSession.active().sparkContext._jvm
+    trees = java.trees()[:n]
+    kind = "org.apache.spark.ml.regression.DecisionTreeRegressionModel"
+    if isinstance(model, RandomForestClassificationModel):
+        kind = "org.apache.spark.ml.classification.DecisionTreeClassificationModel"
+    gateway = SparkSession.active().sparkContext._gateway
+    held = gateway.new_array(_jvm_class(jvm, kind), len(trees))
+    for k, tree in enumerate(trees):
+        held[k] = tree
+    package = jvm.org.apache.spark.ml.classification
+    if isinstance(model, RandomForestClassificationModel):
+        made = package.RandomForestClassificationModel(java.uid(), held, java.numFeatures(), java.numClasses())
+        return RandomForestClassificationModel(java.copyValues(made, java.extractParamMap()))
+    weights = gateway.new_array(gateway.jvm.double, len(trees))
+    for k, weight in enumerate(java.treeWeights()[:n]):
+        weights[k] = weight
+    made = package.GBTClassificationModel(java.uid(), held, weights, java.numFeatures(), java.numClasses())
+    return GBTClassificationModel(java.copyValues(made, java.extractParamMap()))
+
+
+def _jvm_class(jvm, name: str):
+    out = jvm
+    for part in name.split("."):
+        out = getattr(out, part)
+    return out
+
+
+def with_score(model, df: DataFrame, name: str = "score") -> DataFrame:
+    """Adds ``score`` (or ``name``), the probability of the positive class."""
+    if isinstance(model, BoostedStumps):
+        scored = model.transform(df if name == "score" else df.drop("score"))
+        return scored.withColumnRenamed("score", name)
     scored = model.transform(df)
-    if "score" in scored.columns:
-        return scored
-    return scored.withColumn("score", vector_to_array("probability")[1]).drop(
-        "rawPrediction", "probability", "prediction"
-    )
+    return scored.withColumn(name, vector_to_array("probability")[1]).drop("rawPrediction", "probability", "prediction")
+
+
+def with_scores(models: Mapping[str, object], df: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """One row per row of ``df`` and model: the columns of ``keep``, ``model`` and ``score``.
+
+    All models are applied in one pass over the rows.
+    """
+    out = df
+    columns = {name: f"_score_{i}" for i, name in enumerate(models)}
+    for name, model in models.items():
+        out = with_score(model, out, columns[name])
+    pairs = F.array(*[F.struct(F.lit(n).alias("model"), F.col(c).alias("score")) for n, c in columns.items()])
+    return out.select(*keep, F.inline(pairs))
 
 
 def feature_importances(model, preparation: Preparation, spark: SparkSession) -> DataFrame:
@@ -111,20 +163,27 @@ def feature_importances(model, preparation: Preparation, spark: SparkSession) ->
     return importances(spark, names, list(model.featureImportances.toArray()))
 
 
-def evaluate(model, train: DataFrame, test: DataFrame, label: str, name: str) -> DataFrame:
-    """The six metrics on both parts, one row per split.
+def evaluate_all(models: Mapping[str, object], train: DataFrame, test: DataFrame, label: str) -> DataFrame:
+    """The six metrics of every model on both parts, one row per model and split.
 
-    The metrics pass over the scores several times, so label and score are
-    written once and the model is applied once.
+    Every model is applied once to every row; label and scores are written once.
     """
     parts = [
-        with_score(model, df).select(F.lit(split).alias("split"), F.col(label), "score")
-        for split, df in (("train", train), ("test", test))
+        with_scores(models, df, [label]).withColumn("split", F.lit(split)) for split, df in (("train", train), ("test", test))
     ]
-    path = scratch_path(train.sparkSession, "scores")
-    parts[0].unionByName(parts[1]).write.parquet(path)
-    scores = train.sparkSession.read.parquet(path)
-    return all_metrics(scores, label, "score", "split").withColumn("model", F.lit(name))
+    scores = written(parts[0].unionByName(parts[1]), "scores")
+    return all_metrics(scores, label, "score", ["model", "split"])
+
+
+def evaluate(model, train: DataFrame, test: DataFrame, label: str, name: str) -> DataFrame:
+    """The six metrics on both parts, one row per split."""
+    return evaluate_all({name: model}, train, test, label)
+
+
+def side_by_side(jobs: Mapping[str, Callable[[], object]], parallelism: int) -> dict[str, object]:
+    """Results of independent Spark jobs that are submitted together."""
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(jobs)))) as pool:
+        return dict(zip(jobs, pool.map(lambda job: job(), jobs.values())))
 
 
 @dataclass(frozen=True)
@@ -136,63 +195,81 @@ class Comparison:
 
 def compare(
     train: DataFrame, test: DataFrame, label: str, settings: Mapping[str, Mapping] | None = None,
-    names: Sequence[str] = tuple(SETTINGS),
+    names: Sequence[str] = tuple(SETTINGS), parallelism: int = 4,
 ) -> Comparison:
-    """Fit every model and keep the one with the best AUC on the test rows."""
-    models: dict[str, object] = {}
-    rows = []
-    for name in names:
-        models[name] = fit_model(name, train, label, **(settings or {}).get(name, {}))
-        # Two rows per model; collected so that later steps do not score again.
-        rows += evaluate(models[name], train, test, label, name).collect()
+    """Fit every model and keep the one with the best AUC on the test rows.
+
+    The fits do not depend on each other and are submitted side by side; the
+    prepared rows are written first, since every fit reads them.
+    """
+    train, test = (written(df.select(label, "features"), "prepared") for df in (train, test))
+    models = side_by_side(
+        {n: lambda n=n: fit_model(n, train, label, **(settings or {}).get(n, {})) for n in names}, parallelism
+    )
+    # Two rows per model; collected so that later steps do not score again.
+    rows = evaluate_all(models, train, test, label).collect()
     metrics = train.sparkSession.createDataFrame(rows)
     best = max((r for r in rows if r["split"] == "test"), key=lambda r: (r["auc_roc"], r["model"]))
     return Comparison(models, metrics, best["model"])
 
 
+def bounded_rows(df: DataFrame, label: str, most: int | None) -> DataFrame:
+    """At most about ``most`` labelled rows, the same share of both classes, chosen by a hash of the row."""
+    if most is None:
+        return df
+    held = df.agg(F.count(label)).first()[0]
+    if held <= most:
+        return df
+    spot = F.pmod(F.xxhash64(F.lit(SEED), "features"), F.lit(1 << 30))
+    return df.filter(spot < int((1 << 30) * (most / held)))
+
+
+def grid_scores(
+    name: str, train: DataFrame, label: str, grid: Mapping[str, Sequence] | None = None, folds: int = 3,
+    parallelism: int = 4,
+) -> DataFrame:
+    """The cross-validated AUC of every point of the grid: ``point`` (JSON of its settings) and ``cv_auc_roc``.
+
+    Folds are cut once.  Along the axis in ``PREFIXES`` one fit with the largest value serves all
+    points, as its first trees or rounds; so there are fits for the other axes only.  They are submitted
+    side by side, each writes the scores of its held-out rows, and one pass computes every AUC.
+    """
+    grid = dict(grid or GRIDS[name])
+    prefix = PREFIXES.get(name) if PREFIXES.get(name) in grid else None
+    lengths = sorted(grid.pop(prefix)) if prefix else [None]
+    weighted = with_class_weight(train.select(label, "features"), label, name)
+    fold = F.pmod(F.xxhash64(F.lit(SEED), "features"), F.lit(folds)).cast("int")
+    cut = written(weighted.withColumn("_fold", fold), "folds")
+    folder = scratch_path(train.sparkSession, "grid")
+
+    def job(number: int, settings: dict, k: int) -> None:
+        longest = {**settings, prefix: lengths[-1]} if prefix else settings
+        model = fit_weighted(name, cut.filter(F.col("_fold") != k), label, **longest)
+        points = {
+            json.dumps({**settings, **({prefix: n} if prefix else {})}, sort_keys=True): first_trees(model, n) if n else model
+            for n in lengths
+        }
+        scored = with_scores(points, cut.filter(F.col("_fold") == k), [label, F.lit(k).alias("fold")])
+        # A folder each: jobs that write at the same time would clear each other's unfinished files.
+        scored.withColumnRenamed("model", "point").write.parquet(f"{folder}/{number}")
+
+    combos = [(dict(zip(grid, values)), k) for values in product(*grid.values()) for k in range(folds)]
+    side_by_side({i: lambda i=i, c=c: job(i, *c) for i, c in enumerate(combos)}, parallelism)
+    scores = train.sparkSession.read.parquet(*[f"{folder}/{i}" for i in range(len(combos))])
+    by_fold = curve_metrics(running_counts(scores, label, "score", ["point", "fold"]), ["point", "fold"])
+    return by_fold.groupBy("point").agg(F.avg("auc_roc").alias("cv_auc_roc"))
+
+
 def tune(
     name: str, train: DataFrame, label: str, grid: Mapping[str, Sequence] | None = None, folds: int = 3,
-    parallelism: int = 2,
+    parallelism: int = 4,
 ) -> tuple[object, dict, float]:
     """Grid search by cross-validated AUC; returns the refitted model, its settings and score."""
-    grid = grid or GRIDS[name]
-    if name == "adaboost":
-        return _tune_stumps(train, label, grid, folds)
-    base = estimator(name, label)
-    combos = ParamGridBuilder()
-    for key, values in grid.items():
-        combos = combos.addGrid(getattr(base, key), list(values))
-    search = CrossValidator(
-        estimator=base,
-        estimatorParamMaps=combos.build(),
-        evaluator=BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC"),
-        numFolds=folds,
-        parallelism=parallelism,
-        seed=SEED,
-    )
-    fitted = search.fit(with_class_weight(train, label, name))
-    scores = fitted.avgMetrics
-    spot = max(range(len(scores)), key=scores.__getitem__)
-    chosen = {param.name: value for param, value in fitted.getEstimatorParamMaps()[spot].items()}
-    return fitted.bestModel, chosen, scores[spot]
-
-
-def _tune_stumps(train: DataFrame, label: str, grid: Mapping[str, Sequence], folds: int):
-    from itertools import product
-
-    numbered = train.withColumn("_fold", F.pmod(F.xxhash64("features"), F.lit(folds)))
-    best: tuple[float, dict] | None = None
-    for values in product(*grid.values()):
-        settings = dict(zip(grid, values))
-        scores = []
-        for fold in range(folds):
-            model = fit_boosted_stumps(numbered.filter(F.col("_fold") != fold), label, **settings)
-            held = with_score(model, numbered.filter(F.col("_fold") == fold)).withColumn("split", F.lit("held"))
-            scores.append(all_metrics(held, label, "score", "split").first()["auc_roc"])
-        mean = sum(scores) / folds
-        if best is None or mean > best[0]:
-            best = (mean, settings)
-    return fit_boosted_stumps(train, label, **best[1]), best[1], best[0]
+    # As many rows as the grid has points.
+    rows = grid_scores(name, train, label, grid, folds, parallelism).collect()
+    best = max(rows, key=lambda r: (r["cv_auc_roc"] or 0.0, r["point"]))
+    chosen = json.loads(best["point"])
+    return fit_model(name, train, label, **chosen), chosen, best["cv_auc_roc"]
 
 
 def save_model(spark: SparkSession, path: str, name: str, model, preparation: Preparation) -> int:

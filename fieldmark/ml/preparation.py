@@ -6,13 +6,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fieldmark.operators.dedup import first_per_key
+from fieldmark.operators.prefix import with_running_sums
 from fieldmark.operators.quality import assert_no_leakage
 from fieldmark.operators.quantiles import exact_quantiles
 from fieldmark.plans.schema import MARKET_WINDOWS, NEVER_FEATURES, OPENING_WINDOWS, PLACE_WINDOWS
-from fieldmark.session import scratch_path
+from fieldmark.session import written
 
 HISTORY = [
     *[f"place_{m}_{n}d" for n in PLACE_WINDOWS for m in ("policies", "claims", "claim_rate", "severity")],
@@ -51,10 +52,13 @@ def fit_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
 
 def fit_categories(df: DataFrame, columns: Sequence[str], modes: dict[str, str] | None = None) -> DataFrame:
     """(column, category, code): codes number the sorted categories from 0."""
+    if not columns:
+        return df.sparkSession.createDataFrame([], "column string, category string, code double")
     filled = [F.coalesce(F.col(c).cast("string"), F.lit((modes or {}).get(c))).alias(c) for c in columns]
     seen = df.select(*filled).unpivot([], list(columns), "column", "category").filter(F.col("category").isNotNull())
-    order = W.partitionBy("column").orderBy("category")
-    return seen.distinct().withColumn("code", (F.row_number().over(order) - 1).cast("double"))
+    known = seen.distinct().withColumn("_one", F.lit(1))
+    ranked = with_running_sums(known, [F.col("category").asc()], {"_place": "_one"}, ["column"])
+    return ranked.select("column", "category", (F.col("_place") - 1).cast("double").alias("code"))
 
 
 def impute(df: DataFrame, medians: dict[str, float], modes: dict[str, str] | None = None) -> DataFrame:
@@ -154,11 +158,10 @@ def fit(
     """
     assert_no_leakage([*numeric, *categorical, *cyclic], NEVER_FEATURES)
     modes = fit_modes(df, categorical) if categorical else {}
-    folder = scratch_path(df.sparkSession, "categories")
-    fit_categories(df, categorical, modes).write.parquet(folder)
+    categories = written(fit_categories(df, categorical, modes), "categories")
     prepared = Preparation(
         list(numeric), list(categorical), list(cyclic),
-        fit_medians(df, numeric) if numeric else {}, modes, df.sparkSession.read.parquet(folder),
+        fit_medians(df, numeric) if numeric else {}, modes, categories,
     )
     if not linear:
         return prepared

@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fieldmark.functions import text
+from fieldmark.session import written
 
 
 def code_table(spark: SparkSession, codes: Mapping[str, str]) -> DataFrame:
@@ -28,13 +29,16 @@ def unique(dim: DataFrame, key: Sequence[str]) -> DataFrame:
     """One row per key: equal rows are merged, rows that differ raise an error.
 
     Folding accents can make two entries of a dictionary one; a duplicate would
-    multiply the rows of the data.
+    multiply the rows of the data.  The dimension is computed once, by one aggregate
+    that is written; the check and the joins read what was written, and Spark
+    chooses those joins by its real size.
     """
-    merged = dim.distinct()
-    repeated = merged.groupBy(*key).count().filter("count > 1").limit(5).collect()
+    row = F.struct(*[c for c in dim.columns if c not in key])
+    held = written(dim.groupBy(*key).agg(F.min(row).alias("_low"), F.max(row).alias("_high")), "dimension")
+    repeated = held.filter(~F.col("_low").eqNullSafe(F.col("_high"))).limit(5).collect()
     if repeated:
         raise ValueError(f"dimension key {list(key)} has several values, for example: {repeated}")
-    return merged
+    return held.select(*key, "_low.*")
 
 
 def map_code(

@@ -1,37 +1,23 @@
 """Exact quantiles without sorting the data or gathering a group in one task.
 
 Values are first counted per group, column and distinct value (combined on the
-map side).  They fall into buckets of about equal size by value, running counts
-are taken inside each bucket, and every bucket starts from the total of the
-buckets below it: the rank that is asked for is in exactly one place.  One scan
-finds the edges of the buckets, one does the rest, at any size and for any
-number of groups.
+map side).  Running counts over (group, column, value) then say which ranks each
+value covers; see ``prefix``.  One scan at any size and for any number of groups.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-ACCURACY = 10_000
+from fieldmark.operators.prefix import with_running_sums
 
 
-def value_edges(df: DataFrame, columns: Sequence[str], buckets: int | None = None) -> list[list[float]]:
-    """Bucket edges of each column from approximate quantiles, open at both ends.
-
-    They are plain numbers by the time the plan is built, so a recomputed task
-    puts every value in the same bucket.  There are as many buckets as shuffle
-    partitions, which follow the data.
-    """
-    if buckets is None:
-        buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    shares = [i / buckets for i in range(1, buckets)] or [0.5]
-    finite = [F.when(~F.isnan(c) & ~F.abs(c).isin(float("inf")), F.col(c)) for c in columns]
-    inner = df.agg(*[F.percentile_approx(c, shares, max(ACCURACY, 2 * buckets)) for c in finite]).first()
-    # The bucketizer needs one inner edge; where it lies does not matter.
-    return [[float("-inf"), *sorted(set(found or [0.0])), float("inf")] for found in inner]
+def between(low: Column, high: Column, share: Column) -> Column:
+    """Linear interpolation that never leaves its two neighbours."""
+    inner = low * (1 - share) + high * share
+    return F.when((low == high) | (share <= 0), low).otherwise(F.greatest(F.least(inner, high), low))
 
 
 def quantile_table(
@@ -43,47 +29,26 @@ def quantile_table(
 ) -> DataFrame:
     """Quantiles with linear interpolation: one row per (group, column), one column per name.
 
-    Nulls are ignored; a group without values of a column has nulls there.
-    ``buckets`` changes how the work is cut, not the result.
+    Nulls are ignored; a group without values of a column has nulls there, a null
+    group is a group.  ``buckets`` changes how the work is cut, not the result.
     """
     group = [by] if by else []
-    doubles = df.select(*group, *[F.col(c).cast("double").alias(c) for c in columns])
-    placed = Bucketizer(
-        splitsArray=value_edges(doubles, columns, buckets),
-        inputCols=list(columns),
-        outputCols=[f"_bucket_{c}" for c in columns],
-        handleInvalid="keep",
-    ).transform(doubles)
-    cells = [
-        F.struct(F.lit(c).alias("column"), F.col(f"_bucket_{c}").alias("_bucket"), F.col(c).alias("_value"))
-        for c in columns
-    ]
-    long = placed.select(*group, F.inline(F.array(*cells)))
-    points = long.groupBy(*group, "column", "_bucket", "_value").agg(F.count("_value").alias("_n"))
-
-    whole = W.partitionBy(*group, "column")
-    below = whole.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    bases = points.groupBy(*group, "column", "_bucket").agg(F.sum("_n").alias("_held"))
-    bases = bases.select(
-        *[F.col(c).alias(f"_b_{c}") for c in (*group, "column", "_bucket")],
-        F.coalesce(F.sum("_held").over(below), F.lit(0)).alias("_before"),
-        F.sum("_held").over(whole).alias("_total"),
+    cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("_value")) for c in columns]
+    long = df.select(*group, F.inline(F.array(*cells)))
+    # A row without a value keeps its group and column in the result.
+    points = long.groupBy(*group, "column", "_value").agg(F.count("_value").alias("_n"))
+    running = with_running_sums(
+        points, [F.col("_value").asc_nulls_first()], {"_through": "_n"}, [*group, "column"], {"_total": "_n"}, buckets
     )
-    inside = W.partitionBy(*group, "column", "_bucket").orderBy("_value")
-    running = points.withColumn("_through", F.sum("_n").over(inside))
-    same = F.lit(True)
-    for c in (*group, "column", "_bucket"):
-        same = same & F.col(c).eqNullSafe(F.col(f"_b_{c}"))
-    running = running.join(bases, same)
-    last = F.col("_before") + F.col("_through")
+    last = F.col("_through")
     first = last - F.col("_n")
 
     def at(rank: Column) -> Column:
         return F.max(F.when((first <= rank) & (rank < last), F.col("_value")))
 
-    spots = {name: (F.col("_total") - 1) * F.lit(float(p)) for name, p in names.items()}
     picked = []
-    for name, spot in spots.items():
+    for name, p in names.items():
+        spot = (F.col("_total") - 1) * F.lit(float(p))
         low = F.floor(spot)
         picked += [
             at(low).alias(f"_low_{name}"),
@@ -91,12 +56,10 @@ def quantile_table(
             F.max(spot - low).alias(f"_share_{name}"),
         ]
     found = running.groupBy(*group, "column").agg(*picked)
-
-    def between(name: str) -> Column:
-        low, high, share = (F.col(f"_{k}_{name}") for k in ("low", "high", "share"))
-        return F.when(share > 0, low * (1 - share) + high * share).otherwise(low).alias(name)
-
-    return found.select(*group, "column", *[between(name) for name in names])
+    quantiles = [
+        between(*(F.col(f"_{k}_{name}") for k in ("low", "high", "share"))).alias(name) for name in names
+    ]
+    return found.select(*group, "column", *quantiles)
 
 
 def exact_quantiles(

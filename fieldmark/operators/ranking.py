@@ -1,35 +1,20 @@
 """Exact ranking metrics from scored rows.
 
-Scores are first counted per distinct value (combined on the map side).  The
-running counts then need a global order: scores fall into buckets of about
-equal size, running sums are taken inside each bucket, and every bucket starts
-from the total of the buckets above it.  No step orders all rows in one task.
+Scores are first counted per group and distinct value (combined on the map
+side).  Running counts from the best score down (see ``prefix``) then hold all that
+the metrics need, so one scan of the scores gives all of them, at any size, for
+any number of groups, null groups included.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from fieldmark.functions.numbers import ratio
-from fieldmark.operators.quantiles import quantile_table
-
-
-def score_edges(df: DataFrame, score: str, buckets: int | None = None) -> list[float]:
-    """Bucket edges from approximate quantiles of the distinct scores.
-
-    They are plain numbers by the time the plan is built, so a recomputed task
-    puts every score in the same bucket.  There are as many buckets as shuffle
-    partitions, which follow the data.
-    """
-    if buckets is None:
-        buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    shares = [i / buckets for i in range(1, buckets)]
-    inner = df.agg(F.percentile_approx(score, shares, max(10_000, 2 * buckets))).first()[0] if shares else None
-    # The bucketizer needs one inner edge; where it lies does not matter.
-    return [float("-inf"), *sorted({float(v) for v in inner or [0.0]}), float("inf")]
+from fieldmark.operators.prefix import with_running_sums
+from fieldmark.operators.quantiles import between
 
 
 def running_counts(
@@ -37,42 +22,23 @@ def running_counts(
 ) -> DataFrame:
     """Per distinct score, highest first: counts at it and counts at or above it.
 
-    Columns: ``by``, the score, ``pos``, ``neg``, ``tp``, ``fp`` and the class
-    totals ``n_pos``, ``n_neg``.
+    Columns: ``by``, the score, ``pos``, ``neg``, ``tp``, ``fp``, the class totals
+    ``n_pos``, ``n_neg``, and the same of all rows, with or without a label: ``rows``,
+    ``above``, ``n_rows``.  Rows without a score are left out.
     """
     scored = df.filter(F.col(score).isNotNull())
     points = scored.groupBy(*by, score).agg(
-        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
+        F.count_if(F.col(label) == 1).alias("pos"),
+        F.count_if(F.col(label) == 0).alias("neg"),
+        F.count("*").alias("rows"),
     )
-    # A score that many rows share is one row here, so it does not draw the edges to itself.
-    edges = score_edges(points, score, buckets)
-    placed = Bucketizer(splits=edges, inputCol=score, outputCol="_bucket", handleInvalid="keep").transform(points)
-    higher = W.partitionBy(*by).orderBy(F.col("_bucket").desc()).rowsBetween(W.unboundedPreceding, -1)
-    whole = W.partitionBy(*by)
-    # One row per bucket.
-    bases = (
-        placed.groupBy(*by, "_bucket")
-        .agg(F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg"))
-        .select(
-            *by,
-            "_bucket",
-            F.coalesce(F.sum("_pos").over(higher), F.lit(0)).alias("_tp"),
-            F.coalesce(F.sum("_neg").over(higher), F.lit(0)).alias("_fp"),
-            F.sum("_pos").over(whole).alias("n_pos"),
-            F.sum("_neg").over(whole).alias("n_neg"),
-        )
-    )
-    inside = W.partitionBy(*by, "_bucket").orderBy(F.col(score).desc())
-    running = placed.withColumns({"_in_tp": F.sum("pos").over(inside), "_in_fp": F.sum("neg").over(inside)})
-    return running.join(bases, [*by, "_bucket"]).select(
-        *by,
-        score,
-        "pos",
-        "neg",
-        (F.col("_tp") + F.col("_in_tp")).alias("tp"),
-        (F.col("_fp") + F.col("_in_fp")).alias("fp"),
-        "n_pos",
-        "n_neg",
+    return with_running_sums(
+        points,
+        [F.col(score).desc()],
+        {"tp": "pos", "fp": "neg", "above": "rows"},
+        by,
+        {"n_pos": "pos", "n_neg": "neg", "n_rows": "rows"},
+        buckets,
     )
 
 
@@ -103,56 +69,125 @@ def precision_recall_points(counts: DataFrame, score: str, by: Sequence[str] = (
     )
 
 
-def curve_metrics(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Area under the ROC curve (ties count half), average precision, KS distance."""
+def _curve_parts() -> dict[str, Column]:
+    """Aggregates over the rows of ``running_counts``."""
     pos, neg, tp, fp = (F.col(c).cast("double") for c in ("pos", "neg", "tp", "fp"))
     n_pos, n_neg = F.max("n_pos").cast("double"), F.max("n_neg").cast("double")
     won = F.sum(neg * (tp - pos) + neg * pos / 2.0)
-    return counts.groupBy(*by).agg(
-        ratio(won, n_pos * n_neg).alias("auc_roc"),
-        ratio(F.sum(pos * ratio(tp, tp + fp)), n_pos).alias("auc_pr"),
-        F.max(F.abs(_share("tp", "n_pos") - _share("fp", "n_neg"))).alias("ks"),
-    )
+    return {
+        "auc_roc": ratio(won, n_pos * n_neg),
+        "auc_pr": ratio(F.sum(pos * ratio(tp, tp + fp)), n_pos),
+        "ks": F.max(F.abs(_share("tp", "n_pos") - _share("fp", "n_neg"))),
+    }
+
+
+def _cut_parts(score: str, cut: float, top: float) -> dict[str, Column]:
+    """Counts at the cut, and the two scores between which the best ``top`` share begins."""
+    chosen = F.col(score) >= cut
+    # Ranks from the lowest score on, as a quantile counts them.
+    first = F.col("n_rows") - F.col("above")
+    spot = (F.col("n_rows") - 1) * F.lit(1 - top)
+    low = F.floor(spot)
+    here = F.struct(F.col(score).alias("score"), "tp", "above")
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((first <= rank) & (rank < first + F.col("rows")), here))
+
+    return {
+        "n_rows": F.max("n_rows"),
+        "n_pos": F.max("n_pos"),
+        "_n_neg": F.max("n_neg"),
+        "_tp": F.coalesce(F.sum(F.when(chosen, F.col("pos"))), F.lit(0)),
+        "_fp": F.coalesce(F.sum(F.when(chosen, F.col("neg"))), F.lit(0)),
+        "_low": at(low),
+        "_high": at(F.least(low + 1, F.col("n_rows") - 1)),
+        "_spot": F.max(spot - low),
+    }
+
+
+def _from_cut_parts(found: DataFrame) -> dict[str, Column]:
+    tp, fp = F.col("_tp"), F.col("_fp")
+    wrong = fp + F.col("n_pos") - tp
+    limit = between(F.col("_low.score"), F.col("_high.score"), F.col("_spot"))
+    # No score lies between the two, so the best rows begin at one of them.
+    best = F.when(limit <= F.col("_low.score"), F.col("_low")).otherwise(F.col("_high"))
+    precision = ratio(best.getField("tp"), best.getField("above"))
+    return {
+        "accuracy": ratio(tp + F.col("_n_neg") - fp, F.col("n_rows")),
+        "f1": F.coalesce(ratio(tp * 2, tp * 2 + wrong), F.lit(0.0)),
+        "top_threshold": limit,
+        "lift_10": ratio(precision, _share("n_pos", "n_rows")),
+    }
 
 
-def threshold_metrics(
-    df: DataFrame, label: str, score: str, by: str, cut: float = 0.5, top: float = 0.1
-) -> DataFrame:
-    """Accuracy and F1 at ``cut``, and the lift of the best-scored ``top`` share."""
+def curve_metrics(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Area under the ROC curve (ties count half), average precision, KS distance."""
+    return counts.groupBy(*by).agg(*[c.alias(name) for name, c in _curve_parts().items()])
+
+
+def accuracy_and_f1(df: DataFrame, label: str, score: str, by: str, cut: float = 0.5) -> DataFrame:
+    """Accuracy and F1 at ``cut`` from one aggregate of the scored rows."""
     scored = df.filter(F.col(score).isNotNull())
-    limits = quantile_table(scored, [score], {"_limit": 1 - top}, by)
-    limits = limits.select(F.col(by).alias("_group"), "_limit")
-    actual, chosen, best = F.col(label) == 1, F.col(score) >= cut, F.col(score) >= F.col("_limit")
-    counted = scored.join(limits, F.col(by).eqNullSafe(F.col("_group"))).groupBy(by).agg(
-        F.count("*").alias("n_rows"),
-        F.count_if(actual).alias("n_pos"),
+    actual, chosen = F.col(label) == 1, F.col(score) >= cut
+    counted = scored.groupBy(by).agg(
+        F.count("*").alias("_rows"),
         F.count_if(actual == chosen).alias("_right"),
         F.count_if(actual & chosen).alias("_tp"),
         F.count_if(actual != chosen).alias("_wrong"),
-        F.count_if(best).alias("_best"),
-        F.count_if(best & actual).alias("_best_pos"),
-        F.max("_limit").alias("top_threshold"),
     )
     hits = F.col("_tp") * 2
     return counted.select(
         by,
-        "n_rows",
-        "n_pos",
-        _share("_right", "n_rows").alias("accuracy"),
+        _share("_right", "_rows").alias("accuracy"),
         F.coalesce(ratio(hits, hits + F.col("_wrong")), F.lit(0.0)).alias("f1"),
-        "top_threshold",
-        ratio(_share("_best_pos", "_best"), _share("n_pos", "n_rows")).alias("lift_10"),
     )
 
 
-def all_metrics(df: DataFrame, label: str, score: str, by: str) -> DataFrame:
-    """The six reported metrics, one row per value of ``by`` (model, split, month).
+def _keys(by: str | Sequence[str]) -> list[str]:
+    return [by] if isinstance(by, str) else list(by)
 
-    Give it a written score table: edges, cuts and curves are separate passes.
-    """
-    curves = curve_metrics(running_counts(df, label, score, [by]), [by])
-    cuts = threshold_metrics(df, label, score, by).drop("top_threshold", "n_rows", "n_pos")
-    return cuts.join(curves, by)
+
+def threshold_metrics(
+    df: DataFrame, label: str, score: str, by: str | Sequence[str], cut: float = 0.5, top: float = 0.1
+) -> DataFrame:
+    """Accuracy and F1 at ``cut``, and the lift of the best-scored ``top`` share."""
+    keys = _keys(by)
+    counts = running_counts(df, label, score, keys)
+    found = counts.groupBy(*keys).agg(*[c.alias(name) for name, c in _cut_parts(score, cut, top).items()])
+    return found.select(*keys, "n_rows", "n_pos", *[c.alias(n) for n, c in _from_cut_parts(found).items()])
+
+
+def all_metrics(
+    df: DataFrame, label: str, score: str, by: str | Sequence[str], cut: float = 0.5, top: float = 0.1
+) -> DataFrame:
+    """The six reported metrics, one row per value of ``by`` (model, split, month), from one scan of the scores."""
+    keys = _keys(by)
+    counts = running_counts(df, label, score, keys)
+    parts = {**_cut_parts(score, cut, top), **_curve_parts()}
+    found = counts.groupBy(*keys).agg(*[c.alias(name) for name, c in parts.items()])
+    cuts = {n: c for n, c in _from_cut_parts(found).items() if n != "top_threshold"}
+    return found.select(*keys, *[c.alias(n) for n, c in cuts.items()], *_curve_parts())
+
+
+def metric_table(
+    metrics: DataFrame, names: Sequence[str], models: Sequence[str], by: str = "model"
+) -> DataFrame:
+    """Metrics as rows, models as columns.  The models are named, so no pass looks for them."""
+    long = metrics.select(by, *names).unpivot([by], list(names), "metric", "value")
+    return long.groupBy("metric").pivot(by, list(models)).agg(F.first("value"))
+
+
+def baseline_and_tuned(
+    metrics: DataFrame, names: Sequence[str], baseline: str, tuned: str, by: str = "model"
+) -> DataFrame:
+    """One row per metric: the untuned model, the tuned one, and what tuning gained."""
+    table = metric_table(metrics, names, [baseline, tuned], by)
+    return table.select(
+        "metric",
+        F.col(f"`{baseline}`").alias("baseline"),
+        F.col(f"`{tuned}`").alias("tuned"),
+        (F.col(f"`{tuned}`") - F.col(f"`{baseline}`")).alias("gain"),
+    )
 
 
 def score_drift(df: DataFrame, score: str, ref: str) -> DataFrame:

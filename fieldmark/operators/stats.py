@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from fieldmark.functions.numbers import ratio
+from fieldmark.operators.prefix import join_groups, with_running_sums
 from fieldmark.operators.quantiles import quantile_table
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
@@ -25,14 +26,14 @@ def with_share(df: DataFrame, value: str, target: str = "share") -> DataFrame:
 
 
 def with_running_percent(report: DataFrame, value: str, key: str, target: str = "running_percent") -> DataFrame:
-    """Pareto percent in falling order of ``value``, ties by ``key``.
+    """Pareto percent in falling order of ``value``, ties by ``key``; null values come last and add nothing.
 
-    For finished reports, which have one row per group; the running sum is over
-    those rows, not over policies.
+    The running sum goes over ranges of the report, whatever its length.
     """
-    order = W.orderBy(F.col(value).desc(), F.col(key).asc()).rowsBetween(W.unboundedPreceding, W.currentRow)
-    total = report.agg(F.sum(value)).scalar()
-    return report.withColumn(target, ratio(F.sum(value).over(order) * 100, total))
+    order = [F.col(value).desc_nulls_last(), F.col(key).asc()]
+    running = with_running_sums(report, order, {"_through": value}, totals={"_total": value})
+    percent = ratio(F.col("_through") * 100, F.col("_total"))
+    return running.withColumn(target, percent).drop("_through", "_total")
 
 
 def loss_ratio_percent(df: DataFrame) -> DataFrame:
@@ -70,7 +71,7 @@ def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def mean_and_median(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
     """Mean and exact median of every column per class, one row per (class, column)."""
     means = df.groupBy(by).agg(*[F.avg(c).alias(c) for c in columns]).unpivot([by], list(columns), "column", "mean")
-    return means.join(quantile_table(df, columns, {"median": 0.5}, by), [by, "column"])
+    return join_groups(means, quantile_table(df, columns, {"median": 0.5}, by), [by, "column"])
 
 
 def box_summary(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
@@ -85,7 +86,7 @@ def box_summary(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
     inside = F.col("value").between(F.col("low_fence"), F.col("high_fence"))
     # One row per (class, column): small by construction, so Spark broadcasts it.
     return (
-        long.join(fences, [by, "column"])
+        join_groups(long, fences, [by, "column"])
         .groupBy(by, "column")
         .agg(
             *[F.first(c).alias(c) for c in ("q1", "median", "q3")],
@@ -109,7 +110,7 @@ def density_histogram(df: DataFrame, value: str, by: str, bins: int = 50) -> Dat
     width = (F.col("_high") - F.col("_low")) / bins
     spot = F.floor((F.col(value) - F.col("_low")) / F.nullif(width, F.lit(0.0)))
     bin_no = F.least(F.coalesce(spot, F.lit(0)), F.lit(bins - 1)).cast("int")
-    counts = present.join(ranges, by).groupBy(by, bin_no.alias("bin"), "_low", "_high", "_total")
+    counts = join_groups(present, ranges, [by]).groupBy(by, bin_no.alias("bin"), "_low", "_high", "_total")
     return counts.agg(F.count("*").alias("n_rows")).select(
         by,
         "bin",

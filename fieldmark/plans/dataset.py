@@ -10,11 +10,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 from fieldmark.functions import dates
 from fieldmark.operators.cleaning import select_present
 from fieldmark.operators.dedup import first_per_key
-from fieldmark.operators.quality import assert_no_leakage
+from fieldmark.operators.quality import assert_key, assert_no_leakage
 from fieldmark.operators.quantiles import exact_quantiles
 from fieldmark.plans.features import REGISTRY, feature_table, with_ref_month
 from fieldmark.plans.schema import FEATURE_COLUMNS, LABEL_COLUMNS, REF
 from fieldmark.plans.silver import claim_flag
+from fieldmark.session import written
 
 LABEL = "has_claim"
 LOOKUP_KEYS = ["area_id", "state", "crop", "crop_group", "insurer", "region"]
@@ -71,21 +72,47 @@ def out_of_time(df: DataFrame, cutoff: str) -> DataFrame:
     return df.filter(F.col(REF) >= F.lit(cutoff).cast("date"))
 
 
+def _broadcast_limit(spark) -> int:
+    return spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+
+
+def _estimated_bytes(df: DataFrame) -> int:
+    """Spark's own estimate; for a written table, from the size of its files."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def lookup(spine: DataFrame, tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]]) -> DataFrame:
     """Left-join every feature table on its exact key.
 
     Feature tables are unique on their keys, so the spine keeps its row count.
-    Columns may not collide.  Spark broadcasts the tables that are small enough
-    and splits hot keys of the spine when it sorts and merges the others.
+    Columns may not collide.  A table that Spark broadcasts by its size is joined as it
+    is.  For the others the spine's rows are numbered and written once, and only the
+    row number and the key go to each join; what is found comes back by the number.
+    So the spine's own columns are shuffled at most once, and no join carries the
+    columns that earlier ones have found.
     """
+    taken = set(spine.columns)
+    for name, table in tables.items():
+        added = set(table.columns) - set(keys[name])
+        if added & taken:
+            raise ValueError(f"feature table {name!r} repeats columns {sorted(added & taken)}")
+        taken |= added
+    limit = _broadcast_limit(spine.sparkSession)
+    wide = [name for name, table in tables.items() if _estimated_bytes(table) > limit]
     out = spine
+    if wide:
+        # Written, so that a recomputed task gives a row the same number.
+        rows = written(spine.withColumn("_row", F.monotonically_increasing_id()), "spine")
+        out = rows
+        for name in wide:
+            found = rows.select("_row", *keys[name]).join(tables[name], list(keys[name]), "left")
+            out = out.join(found.drop(*keys[name]), "_row", "left")
+        out = out.drop("_row")
     for name, table in tables.items():
-        key = list(keys[name])
-        clash = (set(table.columns) - set(key)) & set(out.columns)
-        if clash:
-            raise ValueError(f"feature table {name!r} repeats columns {sorted(clash)}")
-        out = out.join(table, key, "left")
-    return out
+        if name not in wide:
+            out = out.join(table, list(keys[name]), "left")
+    # The tables' columns in the order in which they were given.
+    return out.select(*spine.columns, *[c for n, t in tables.items() for c in t.columns if c not in keys[n]])
 
 
 def derived(df: DataFrame) -> DataFrame:
@@ -123,11 +150,15 @@ def written_feature_tables(
     """Build feature tables from a written policy table and read them back.
 
     Later plans scan the tables instead of nesting six builds.  The tables do not
-    depend on each other, so their jobs are submitted side by side.
+    depend on each other, so their jobs are submitted side by side.  Each table's key
+    is checked on what was written; rows without a key cannot be looked up and are left out.
     """
 
     def write(name: str) -> DataFrame:
-        return write_feature_table(feature_table(name).build(policies), f"{path}/{name}", by_month)
+        made = feature_table(name)
+        table = write_feature_table(made.build(policies).dropna(subset=list(made.key)), f"{path}/{name}", by_month)
+        assert_key(table, made.key)
+        return table
 
     with ThreadPoolExecutor(max_workers=len(names)) as pool:
         return dict(zip(names, pool.map(write, names)))

@@ -6,6 +6,7 @@ Each job reads written tables, writes one, and returns how many rows it wrote
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -15,8 +16,8 @@ from fieldmark.ml import models, preparation
 from fieldmark.operators.quality import assert_key
 from fieldmark.plans import dataset, silver
 from fieldmark.plans.features import REGISTRY, feature_table
-from fieldmark.plans.schema import REF
-from fieldmark.session import scratch_path
+from fieldmark.plans.schema import LONGEST_LOOKBACK, OPENING_WINDOWS, REF
+from fieldmark.session import written
 from fieldmark.sources import readers, writers
 
 # The first month kept out of training, and the share of rows tested on.
@@ -51,18 +52,105 @@ def split_gold(spark: SparkSession, paths: Paths) -> tuple[int, int]:
     return writers.overwrite(features, paths.of("gold_features")), writers.overwrite(labels, paths.of("gold_labels"))
 
 
+@dataclass(frozen=True)
+class Refreshed:
+    """What a refresh wrote: the version, its rows, the built rows that have no key, and the months it touched."""
+
+    version: int
+    rows: int
+    without_key: int
+    months: Sequence[dt.date] = ()
+
+
+def _built(table, policies: DataFrame, name: str, months: Sequence[dt.date] | None = None) -> tuple[DataFrame, int, int]:
+    """The table's rows, written once and checked, with how many there are and how many were left out.
+
+    Rows without a key, such as those of places that no dimension knows, cannot be looked up.
+    """
+    made = table.build(policies)
+    if months is not None:
+        made = made.filter(F.col(REF).isin(list(months)))
+    no_key = F.lit(False)
+    for k in table.key:
+        no_key = no_key | F.col(k).isNull()
+    made, seen = writers.counted(made, without_key=F.count_if(no_key))
+    rows = written(made.filter(~no_key), name)
+    found = seen.get
+    assert_key(rows, table.key)
+    without = found.get("without_key", 0)
+    return rows, found.get("rows", 0) - without, without
+
+
+def refresh(spark: SparkSession, paths: Paths, name: str, keep: int = 2) -> Refreshed:
+    """Build one feature table from all policies and merge it into its last version.
+
+    The versions before the newest ``keep`` are deleted.
+    """
+    table = feature_table(name)
+    rows, n, without = _built(table, spark.read.parquet(paths.of("policies")), name)
+    version = writers.upsert(rows, paths.feature(name), table.key, [REF])
+    writers.drop_old_versions(spark, paths.feature(name), keep)
+    return Refreshed(version, n, without)
+
+
 def refresh_feature(spark: SparkSession, paths: Paths, name: str) -> int:
-    """Build one feature table and merge it into its last version; returns the new version.
+    """``refresh``, returning the new version alone."""
+    return refresh(spark, paths, name).version
+
+
+def changed_policies(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Policies that were added, removed or altered: their rows as they were and as they are.
+
+    One pass: every distinct row is counted with a sign, and rows that stay cancel out.
+    """
+    columns = after.columns
+    signed = before.select(*columns, F.lit(-1).alias("_sign")).unionByName(after.select(*columns, F.lit(1).alias("_sign")))
+    return signed.groupBy(*columns).agg(F.sum("_sign").alias("_left")).filter("_left <> 0").drop("_left")
+
+
+def affected_months(changed: DataFrame) -> list[dt.date]:
+    """Reference months whose features a changed policy can alter.
+
+    These run from the month it starts in to the last one whose longest lookback still sees its end.
+    """
+    first = F.trunc("start_date", "MM")
+    last = F.trunc(F.date_add(F.greatest("start_date", "end_date"), LONGEST_LOOKBACK), "MM")
+    months = changed.select(F.explode(F.sequence(first, last, F.expr("INTERVAL 1 MONTH"))).alias(REF)).distinct()
+    # As many rows as the calendar has months.
+    return sorted(row[REF] for row in months.collect())
+
+
+def seen_from(policies: DataFrame, months: Sequence[dt.date]) -> DataFrame:
+    """The policies that features of these months look at: the months' own and those in their lookbacks."""
+    low, high = (F.lit(m) for m in (min(months), max(months)))
+    start, end = F.col("start_date"), F.col("end_date")
+    recent = (start >= F.date_sub(low, max(OPENING_WINDOWS))) | (end >= F.date_sub(low, LONGEST_LOOKBACK))
+    return policies.filter(recent & ((start < F.add_months(high, 1)) | (end < high)))
+
+
+def refresh_changed(spark: SparkSession, paths: Paths, name: str, changed: DataFrame) -> Refreshed:
+    """Bring one feature table up to date after ``changed`` policies: only their months are rebuilt.
 
-    Rows without a key, such as those of places that no dimension knows, cannot be
-    looked up and are left out.
+    The months' partitions of the newest version are replaced in place, all others keep their files.  A month
+    that has no rows any more loses its partition.  Without a version the whole table is built.
     """
     table = feature_table(name)
-    built = table.build(spark.read.parquet(paths.of("policies"))).dropna(subset=list(table.key))
-    # Built once: the key check and the merge read the written table.
-    folder = scratch_path(spark, name)
-    built.write.parquet(folder)
-    return writers.upsert(spark.read.schema(built.schema).parquet(folder), paths.feature(name), table.key)
+    version = writers.latest_version(spark, paths.feature(name))
+    if version is None:
+        return refresh(spark, paths, name)
+    months = affected_months(changed)
+    if not months:
+        return Refreshed(version, 0, 0)
+    seen = seen_from(spark.read.parquet(paths.of("policies")), months)
+    rows, n, without = _built(table, seen, name, months)
+    target = writers.version_path(paths.feature(name), version)
+    kept = {row[REF] for row in rows.select(REF).distinct().collect()}
+    if kept:
+        writers.replace_partitions(rows.hint("rebalance", REF), target, [REF])
+    for month in months:
+        if month not in kept:
+            writers.remove(spark, f"{target}/{REF}={month}")
+    return Refreshed(version, n, without, months)
 
 
 def feature_tables(spark: SparkSession, paths: Paths) -> dict[str, DataFrame]:
@@ -86,6 +174,7 @@ def train(
     grids: Mapping[str, Mapping[str, Sequence]] | None = None,
 ) -> Trained:
     """Training set, four models, grid search of the best, saved model and run log."""
+    check_features(spark, paths)
     policies = spark.read.parquet(paths.of("policies"))
     spine = dataset.training_spine(policies, as_of, cutoff)
     # The split needs the spine alone, so it is made before the lookups.
@@ -118,6 +207,7 @@ METRICS = ("accuracy", "auc_roc", "auc_pr", "ks", "f1", "lift_10")
 
 def score(spark: SparkSession, paths: Paths, cutoff: str = CUTOFF, version: int | str = "latest") -> int:
     """Probabilities for every policy from the cutoff month on, by model name."""
+    check_features(spark, paths)
     name, number, model, prep = models.load_model(spark, paths.of("models"), version)
     policies = spark.read.parquet(paths.of("policies"))
     spine = dataset.scoring_spine(policies, cutoff, check_not_empty=True)
@@ -126,6 +216,6 @@ def score(spark: SparkSession, paths: Paths, cutoff: str = CUTOFF, version: int
 
 
 def check_features(spark: SparkSession, paths: Paths) -> None:
-    """Primary keys of all feature tables."""
-    for name, table in feature_tables(spark, paths).items():
-        assert_key(table, REGISTRY[name].key)
+    """Primary keys of all feature tables, checked side by side: a repeated key would multiply rows."""
+    tables = feature_tables(spark, paths)
+    models.side_by_side({n: lambda n=n: assert_key(tables[n], REGISTRY[n].key) for n in tables}, len(tables))

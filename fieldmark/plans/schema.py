@@ -28,3 +28,4 @@ PLACE_WINDOWS = [90, 365, 730, 1095]
 OPENING_WINDOWS = [30, 90]
 MARKET_WINDOWS = [365, 730]
 YEAR = 365
+LONGEST_LOOKBACK = max(*PLACE_WINDOWS, *OPENING_WINDOWS, *MARKET_WINDOWS, YEAR)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -26,12 +26,11 @@ def get_session(app: str = "fieldmark", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the cluster's shared checkpoint folder.
+def scratch_root(spark: SparkSession) -> str:
+    """The folder for intermediate tables: the cluster's ``spark.checkpoint.dir``.
 
-    The folder comes from ``spark.checkpoint.dir`` so that every executor can
-    reach it; a local temporary folder is used only by local sessions that
-    name none.
+    Every executor has to reach it.  Only a local session that names none gets a
+    temporary folder, which it then keeps in its settings.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
@@ -39,4 +38,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="fieldmark-")
         spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return root.rstrip("/")
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path below the application's own folder in the scratch root; the folder goes when the driver ends."""
+    context = spark.sparkContext
+    folder = f"{scratch_root(spark)}/fieldmark-{context.applicationId}"
+    place = context._jvm.org.apache.hadoop.fs.Path(folder)
+    files = place.getFileSystem(context._jsc.hadoopConfiguration())
+    if files.mkdirs(place):
+        files.deleteOnExit(place)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate table and read it back: its lineage ends there, and its rows stay as they are."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,22 +8,30 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from fieldmark.operators.quality import assert_key
 
 
+def counted(df: DataFrame, **measures: Column) -> tuple[DataFrame, Observation]:
+    """The same rows, counted (and measured otherwise) while another step consumes them."""
+    seen = Observation()
+    rows = F.count(F.lit(1)).alias("rows")
+    return df.observe(seen, rows, *[c.alias(name) for name, c in measures.items()]), seen
+
+
 def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
     """Replace the table at ``path`` with whatever schema ``df`` has; returns the row count.
 
-    The count comes from the footers of the written files; the plan behind
-    ``df`` runs once.
+    The rows are counted while they are written: one job, no second read.
     """
-    writer = df.write.mode("overwrite")
+    rows, seen = counted(df)
+    writer = rows.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path).count()
+    # A plan that Spark has proven empty is not observed.
+    return seen.get.get("rows", 0)
 
 
 def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
@@ -96,10 +104,31 @@ def write_version(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     """Write the next version next to the ones that readers may still use."""
     spark = df.sparkSession
     number = (latest_version(spark, path) or 0) + 1
-    overwrite(df, version_path(path, number), partition_by)
+    # Spark splits large partitions over several files and keeps small ones in one.
+    dealt = df.hint("rebalance", *partition_by) if partition_by else df
+    overwrite(dealt, version_path(path, number), partition_by)
     return number
 
 
+def drop_old_versions(spark: SparkSession, path: str, keep: int = 2, marker: str = TABLE_MARKER) -> list[int]:
+    """Delete all but the newest ``keep`` complete versions; returns the numbers that went.
+
+    Keep as many as readers may still use.  Folders without a marker are left: a writer may be at work there.
+    """
+    if keep < 1:
+        raise ValueError("the newest version stays")
+    old = _versions(spark, path, marker)[:-keep]
+    for number in old:
+        remove(spark, version_path(path, number))
+    return old
+
+
+def remove(spark: SparkSession, path: str) -> bool:
+    """Delete a folder; false if there is none."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def upsert(changes: DataFrame, path: str, key: Sequence[str], partition_by: Sequence[str] = ()) -> int:
     """Merge ``changes`` into the table at ``path``, creating it if absent."""
     assert_key(changes, key)
