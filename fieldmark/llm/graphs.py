@@ -2,41 +2,66 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Iterator
 
-from fieldmark.llm.common import cut
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Observation, Window, functions as F
 
+from fieldmark.llm.common import cut, tidy
 
-def _state(links: DataFrame) -> tuple:
-    return tuple(links.select(F.count("*"), F.sum(F.xxhash64("high", "low").cast("decimal(38,0)"))).first())
+_ROOTED = pa.schema([("node", pa.int64()), ("root", pa.int64())])
+
+
+def least_of_components(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nodes of some links and the least node of the component each is in."""
+    nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    a, b = ends[: len(a)], ends[len(a) :]
+    label = np.arange(len(nodes))
+    while len(a):
+        low = np.minimum(label[a], label[b])
+        # Labels are nodes too: the greater label of a link goes below the lesser one.
+        np.minimum.at(label, label[a], low)
+        np.minimum.at(label, label[b], low)
+        while not np.array_equal(above := label[label], label):
+            label = above
+        apart = label[a] != label[b]
+        a, b = a[apart], b[apart]
+    return nodes, nodes[label]
+
+
+@tidy
+def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every node of the task's links with the least node that it can reach by them; the least ones too."""
+    held = [batch for batch in batches if batch.num_rows]
+    if held:
+        a, b = (np.concatenate([batch.column(k).to_numpy() for batch in held]) for k in (0, 1))
+        nodes, roots = least_of_components(a, b)
+        yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(roots)], schema=_ROOTED)
 
 
 def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of ``links`` (columns ``a``, ``b``): root is the component's least node.
 
-    Alternating large-star and small-star steps: every step hangs a node's neighbours below the
-    least of them.  Minima are summed before they are shuffled, so a node that a third of all
-    others touch is one row per task; the table is written after each round, which ends its lineage.
-    Nodes without a link have no row.  An empty set of links gives no rows.
+    Each task first contracts its own links, wherever they lie, to one row per node: the least node it reaches
+    there.  So a node that a third of all others touch is one row per task.  Per node, the least of its
+    tasks' roots is then what the node hangs below; where tasks disagree, their roots are linked for the
+    next round, and every node moves up to what its root hangs below, which halves long chains.  It is done
+    when no two tasks disagree, which is observed while the table is written.  Each round's table is
+    written, which ends its lineage.  Nodes without a link have no row.  No links give no rows.
     """
-    apart = links.where("a <> b").select(F.greatest("a", "b").alias("high"), F.least("a", "b").alias("low"))
-    links = cut(apart.distinct(), "links")
-    before = None
-    while (now := _state(links)) != before:
-        before = now
-        # Large star: the greater neighbours of a node go below its least neighbour.
-        both = links.select(F.col("high").alias("n"), F.col("low").alias("m")).unionByName(
-            links.select(F.col("low").alias("n"), F.col("high").alias("m"))
-        )
-        least = both.groupBy(F.col("n").alias("k")).agg(F.min("m").alias("least"))
-        least = least.select("k", F.least("k", "least").alias("least"))
-        large = both.where("m > n").join(least, F.col("n") == F.col("k"))
-        large = large.select(F.col("m").alias("high"), F.col("least").alias("low")).distinct()
-        # Small star: a node and its smaller neighbours go below the least of them.
-        least = large.groupBy(F.col("high").alias("k")).agg(F.min("low").alias("least"))
-        small = large.join(least, F.col("high") == F.col("k"))
-        small = small.select(F.explode(F.array("high", "low")).alias("high"), F.col("least").alias("low"))
-        links = cut(small.where("high <> low").distinct(), "links")
-    roots = links.select(F.col("high").alias("node"), F.col("low").alias("root"))
-    tops = links.select(F.col("low").alias("node"), F.col("low").alias("root")).distinct()
-    return roots.unionByName(tops)
+    links = links.where("a <> b").select("a", "b")
+    while True:
+        rooted = links.mapInArrow(_contracted, "node long, root long")
+        least = F.min("root").over(Window.partitionBy("node"))
+        seen = Observation()
+        rooted = rooted.withColumn("least", least).observe(seen, F.count_if(F.col("root") > F.col("least")).alias("apart"))
+        rooted = cut(rooted, "rooted")
+        if not seen.get.get("apart", 0):
+            return rooted.groupBy("node").agg(F.min("least").alias("root"))
+        # A task's root is itself a node of that task, so it has rows of its own.
+        tops = rooted.where("node = root").groupBy(F.col("node").alias("n")).agg(F.min("least").alias("above"))
+        up = rooted.where("node > least").join(tops, F.col("least") == F.col("n"))
+        up = up.select(F.col("node").alias("a"), F.col("above").alias("b"))
+        across = rooted.where("root > least").select(F.col("root").alias("a"), F.col("least").alias("b"))
+        links = cut(up.unionByName(across), "links")

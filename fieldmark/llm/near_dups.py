@@ -263,7 +263,7 @@ def _candidates(signed: DataFrame) -> DataFrame:
     least = keys.groupBy(F.col("band").alias("k")).agg(F.min("node").alias("least"), F.count("*").alias("n"))
     least = least.where("n > 1").select("k", "least")
     loose = keys.join(least, F.col("band") == F.col("k")).where("node <> least")
-    return components(loose.select(F.col("node").alias("a"), F.col("least").alias("b")).distinct())
+    return components(loose.select(F.col("node").alias("a"), F.col("least").alias("b")))
 
 
 def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
