@@ -4,8 +4,9 @@ Each paragraph (line) is hashed to a wide vector; a document's fingerprint is th
 paragraphs' vectors, lane by lane, modulo a power of two.  So the order of paragraphs does not
 matter, and a paragraph is inserted or deleted by adding or subtracting its vector.
 
-A paragraph's vector has two parts.  ``EXACT`` lanes of 64 bits are drawn from the hash of the
-whole paragraph: sums modulo 2**64 that agree mean equal multisets.  ``LIKENESS`` lanes of 32 bits
+A paragraph's vector has two parts.  ``EXACT`` lanes of 64 bits are the paragraph's BLAKE2b digest of 512
+bits: a collision of one lane is none of the others, and sums modulo 2**64 that agree in all lanes mean equal
+multisets, unless somebody solves for paragraphs whose digests add up (repeated 2**64 times, say).  ``LIKENESS`` lanes of 32 bits
 are a signed count sketch of the paragraph's byte windows: the angle between two sums estimates
 how much of two texts is shared, also when every paragraph was touched.
 
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.functions import pandas_udf
 
-from fieldmark.llm.common import Spans, mix, partitions, tidy
+from fieldmark.llm.common import Spans, partitions, tidy
 
 EXACT = 8
 LIKENESS = 128
@@ -36,7 +37,6 @@ WINDOW = 12
 RANGES_PER_TASK = 8
 
 _LOWEST = np.iinfo(np.int64).min
-_SALTS = mix(np.arange(1, EXACT + 1, dtype=np.uint64))
 
 
 class Fingerprint:
@@ -81,8 +81,11 @@ def fingerprint(text: str | None) -> Fingerprint:
         return Fingerprint(exact, lanes)
     spans = Spans(data)
     whole = spans.hashed(starts, ends)
-    for k in range(EXACT):
-        exact[k] = mix(whole ^ _SALTS[k]).sum(dtype=np.uint64)
+    raw = data.tobytes()
+    digests = b"".join(
+        hashlib.blake2b(raw[a:b], digest_size=8 * EXACT).digest() for a, b in zip(starts.tolist(), ends.tolist())
+    )
+    exact = np.frombuffer(digests, "<u8").reshape(-1, EXACT).sum(axis=0, dtype=np.uint64)
     lines = np.zeros(len(data) + 1, np.int32)
     np.cumsum(data == 10, out=lines[1:])
     windows = spans.windows(WINDOW)
