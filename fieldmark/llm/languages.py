@@ -5,7 +5,8 @@ language the 4-grams of all its training texts are counted; lower orders use con
 (the number of different characters seen before), and every order is interpolated with the one
 below it by absolute discounting, down to the uniform distribution over the characters seen.
 
-An n-gram's code holds its characters whole, 16 bits each, so no two n-grams share a count.  An
+An n-gram's code holds its characters whole, 16 bits each, so no two n-grams share a count; a letter
+beyond 16 bits is two characters here, its UTF-16 surrogates.  An
 order's n-grams are held as one sorted array of codes (mixed by a bijection) with a row of
 log-probabilities, one per language, and a second array of contexts with a row of back-off weights.
 The arrays grow with the corpus: what the driver gets and broadcasts is a row for every distinct
@@ -46,13 +47,13 @@ _SPACE = 0x20
 
 
 def _letter_table() -> np.ndarray:
-    """For each 16-bit code its folded letter, or the space; letters beyond are folded modulo 2**16."""
+    """For each 16-bit code its folded letter, or the space."""
     table = np.full(1 << 16, _SPACE, np.uint16)
     for code in range(1 << 16):
         character = chr(code)
         if character.isalpha():
             lower = character.lower()
-            table[code] = ord(lower) & 0xFFFF if len(lower) == 1 else code
+            table[code] = ord(lower) if len(lower) == 1 and ord(lower) < 1 << 16 else code
     return table
 
 
@@ -78,8 +79,16 @@ def folded(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     letters = _letters()[(codes & 0xFFFF).astype(np.uint16)]
     beyond = np.flatnonzero(codes >= 1 << 16)
     if len(beyond):
-        real = [chr(int(c)).isalpha() for c in codes[beyond]]
-        letters[beyond] = np.where(real, (codes[beyond] & 0xFFFF) | 1, _SPACE).astype(np.uint16)
+        lower = [chr(int(c)).lower() for c in codes[beyond]]
+        real = np.array([len(c) == 1 and ord(c) >= 1 << 16 and c.isalpha() for c in lower])
+        letters[beyond[~real]] = _SPACE
+        # Both halves of a surrogate pair take a place of their own; no letter has their codes.
+        wide, places = beyond[real], np.ones(len(codes), np.int64)
+        places[wide] = 2
+        at = (np.cumsum(places) - places)[wide]
+        letters, rows, borders = (np.repeat(x, places) for x in (letters, rows, borders))
+        points = np.array([ord(c) for c, is_real in zip(lower, real) if is_real], np.int64) - (1 << 16)
+        letters[at], letters[at + 1] = 0xD800 + (points >> 10), 0xDC00 + (points & 0x3FF)
     space = letters == _SPACE
     keep = np.ones(len(letters), bool)
     keep[1:] = ~(space[1:] & space[:-1]) | borders[1:]
