@@ -41,9 +41,6 @@ def slug(col: Column) -> Column:
     One definition serves both the policies and the geography dimensions, so
     the two sides of a join cannot drift apart.
     """
-    lowered = F.lower(F.trim(col))
-    joined = F.regexp_replace(lowered, r"\s+", "_")
-    joined = F.regexp_replace(joined, "'", "")
-    joined = F.translate(joined, "-", "_")
-    folded = F.translate(joined, ACCENTED + "ü", PLAIN + "u")
-    return F.regexp_replace(folded, "th", "t")
+    joined = F.regexp_replace(F.lower(F.trim(col)), r"\s+", "_")
+    # Hyphens join like spaces; what has no counterpart (the apostrophe) goes.
+    return F.regexp_replace(F.translate(joined, ACCENTED + "ü-'", PLAIN + "u_"), "th", "t")

@@ -11,8 +11,9 @@ from fieldmark.functions import dates, numbers, text
 from fieldmark.functions.numbers import ratio
 from fieldmark.operators import cleaning, dedup, dimensions
 from fieldmark.plans.schema import NO_CLAIM, POLICY_COLUMNS
+from fieldmark.sources.headers import SOURCE_HEADERS
 
-# Raw column to canonical column.
+# Raw column to canonical column.
 RENAMED = {
     "policy_no": "policy_id",
     "insurer_name": "insurer",
@@ -36,12 +37,8 @@ RENAMED = {
     "end_text": "end_date",
 }
 
-# Personal data, source ids and the raw coordinate parts.
-DROPPED = [
-    "process_code", "proposal_no", "proposal_id", "proposed_on", "insured_name", "insured_document",
-    "lat_deg", "lat_min", "lat_sec", "lat_half", "lon_deg", "lon_min", "lon_sec", "lon_half",
-    "lat_decimal", "lon_decimal", "issued_on", "issue_year",
-]
+# Source columns without a canonical name: personal data, source ids and the parts of the coordinates.
+DROPPED = [c for c in SOURCE_HEADERS.values() if c not in RENAMED]
 
 DOUBLES = (
     "area_ha", "expected_yield", "insured_yield", "coverage_level", "sum_insured", "premium", "rate", "subsidy", "indemnity",
