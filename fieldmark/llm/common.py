@@ -25,6 +25,12 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def broadcasts(table: DataFrame) -> bool:
+    """True if Spark would broadcast a written table, judged by the size of its files."""
+    size = int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size <= table.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

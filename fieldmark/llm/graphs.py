@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, Window, functions as F
 
-from fieldmark.llm.common import cut, tidy
+from fieldmark.llm.common import broadcasts, cut, tidy
 
 #: Copies of a root among which the nodes below it are dealt.
 SALTS = 32
@@ -62,13 +62,17 @@ def components(links: DataFrame) -> DataFrame:
         rooted = cut(rooted, "rooted")
         if not seen.get.get("apart", 0):
             return rooted.groupBy("node").agg(F.min("least").alias("root"))
-        # A task's root is itself a node of that task, so it has rows of its own.  Few roots still move; the
-        # rows below one of them may be very many, so they are dealt over several copies of it.
+        # A task's root is itself a node of that task, so it has rows of its own.
         tops = rooted.where("node = root").groupBy(F.col("node").alias("n")).agg(F.min("least").alias("above"))
         tops = cut(tops.where("above < n"), "moving")
-        tops = tops.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        below = rooted.where("node > least").withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
-        up = below.join(tops, (F.col("least") == F.col("n")) & (F.col("salt") == F.col("s")), "left")
+        below = rooted.where("node > least")
+        found = F.col("least") == F.col("n")
+        if not broadcasts(tops):
+            # The rows below one root may be very many, so they are dealt over several copies of it.
+            tops = tops.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).hint("merge")
+            below = below.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
+            found = found & (F.col("salt") == F.col("s"))
+        up = below.join(tops, found, "left")
         up = up.select(F.col("node").alias("a"), F.coalesce("above", "least").alias("b"))
         across = rooted.where("root > least").select(F.col("root").alias("a"), F.col("least").alias("b"))
         links = cut(up.unionByName(across), "links")

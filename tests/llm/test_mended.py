@@ -65,8 +65,10 @@ def shuffled_path(n):
         ([(1, 1), (2, 3), (3, 2), (2, 3)], 3),
     ],
 )
-def test_components_in_few_rounds(spark, monkeypatch, links, rounds):
+@pytest.mark.parametrize("small", [True, False])
+def test_components_in_few_rounds(spark, monkeypatch, links, rounds, small):
     written = []
+    monkeypatch.setattr(graphs, "broadcasts", lambda table: small)
     cut = graphs.cut
     monkeypatch.setattr(graphs, "cut", lambda df, name: written.append(name) or cut(df, name))
     random.Random(3).shuffle(links)
