@@ -9,12 +9,17 @@ place where the magic stands, also inside payloads.  From each such candidate's
 the offset of the record's successor.  Pointer jumping over these pairs from each file's start
 (offset 0) keeps the reachable candidates only; a magic inside a payload is never reached, and the
 text after it goes back to the record that holds it.  Offsets inside a file are running sums over
-the file's pieces: the pieces of a split first, then the splits.
+the file's pieces: the pieces of a split first, then the splits.  The pieces of a record that holds
+the magic are fetched by their SHA-256, so a second scan may split the files in any other way; a
+piece that is not found again raises an error.
 
-Cases: a null payload is written as empty; a null or unprintable url is left out or percent-encoded;
-a page id may be null (such a page counts as smaller than any other); of repeated rows with equal id
-and payload exactly one is the response.  An empty table gives no records.  A chain that does not
-end at its file's end raises an error.
+Record ids are unique: ``urn:page:<page id>:<digest>`` for a payload's response, with a random
+suffix for all other records, which none refers to.
+
+Cases: a null payload is written as empty; an unprintable url is percent-encoded, a missing one is
+the page's own urn; a page id may be null (such a page counts as smaller than any other); of
+repeated rows with equal id and payload exactly one is the response.  An empty table gives no
+records.  A chain that does not end at its file's end raises an error.
 """
 
 from __future__ import annotations
@@ -28,6 +33,10 @@ from fieldmark.llm.common import cut
 MAGIC = "WARC/1.1\r\n"
 END = "\r\n\r\n"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
+#: Fixed value: what a revisit of an equal payload names as its profile.
+PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+#: When the pages were captured, if the caller does not say; a constant, so that reruns write the same dates.
+DATE = "2026-01-01T00:00:00Z"
 #: Records of a file at most, which bounds what one file's chain holds.
 FILE_RECORDS = 20_000
 
@@ -80,10 +89,21 @@ def _roles(pages: DataFrame, least: int) -> DataFrame:
 _NO_ID = -(2**63)
 
 
-def _records(rows: DataFrame) -> DataFrame:
+def _records(rows: DataFrame, date: str, least: int) -> DataFrame:
     """The records' text, without the terminator that the writer adds."""
     plain = F.when(F.col("url").rlike(r"^[\x21-\x7E]+$"), F.col("url")).otherwise(F.url_encode("url"))
     is_response = F.col("record_type") == "response"
+
+    def urn(page: Column) -> Column:
+        return F.concat(F.lit("urn:page:"), F.coalesce(page.cast("string"), F.lit("")))
+
+    def record(page: Column) -> Column:
+        return F.concat(urn(page), F.lit(":"), F.col("digest"))
+
+    # Others refer to a response only where payloads are written once.
+    suffix = F.when(is_response & (F.col("size") >= least), "").otherwise(F.concat(F.lit(":"), F.uuid()))
+    uri = F.coalesce(F.when(F.length("url") > 0, plain), urn(F.col("page_id")))
+    refers = F.concat(F.lit("<"), record(F.col("refers_to")), F.lit(">"))
     block = F.concat(F.lit(HTTP), F.when(is_response, F.col("html")).otherwise(""))
 
     def line(name: str, value: Column) -> Column:
@@ -92,10 +112,12 @@ def _records(rows: DataFrame) -> DataFrame:
     head = F.concat(
         F.lit(MAGIC),
         line("WARC-Type", F.col("record_type")),
-        line("WARC-Record-ID", F.concat(F.lit("<urn:page:"), F.col("page_id").cast("string"), F.lit(">"))),
-        line("WARC-Target-URI", F.when(F.length("url") > 0, plain)),
+        line("WARC-Record-ID", F.concat(F.lit("<"), record(F.col("page_id")), suffix, F.lit(">"))),
+        line("WARC-Date", F.lit(date)),
+        line("WARC-Target-URI", uri),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest"))),
-        line("WARC-Refers-To", F.concat(F.lit("<urn:page:"), F.col("refers_to").cast("string"), F.lit(">"))),
+        line("WARC-Refers-To", F.when(~is_response, refers)),
+        line("WARC-Profile", F.when(~is_response, PROFILE)),
         line("X-Payload-Length", F.col("size").cast("string")),
         line("Content-Type", F.lit("application/http; msgtype=response")),
         line("Content-Length", F.octet_length(block).cast("string")),
@@ -104,8 +126,8 @@ def _records(rows: DataFrame) -> DataFrame:
     return rows.select(F.concat(head, block).alias("value"))
 
 
-def write_archives(pages: DataFrame, path: str, least: int = 0) -> None:
-    """Write a record per page; payloads of at least ``least`` bytes are written once."""
+def write_archives(pages: DataFrame, path: str, least: int = 0, date: str = DATE) -> None:
+    """Write a record per page, captured at ``date``; payloads of at least ``least`` bytes are written once."""
     html = F.coalesce(F.col("html"), F.lit(""))
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"),
@@ -115,13 +137,13 @@ def write_archives(pages: DataFrame, path: str, least: int = 0) -> None:
         sha1_base32(html).alias("digest"),
         F.octet_length(html).cast("long").alias("size"),
     )
-    writer = _records(_roles(rows, least)).write.option("lineSep", END).option("maxRecordsPerFile", FILE_RECORDS)
+    writer = _records(_roles(rows, least), date, least).write.option("lineSep", END).option("maxRecordsPerFile", FILE_RECORDS)
     writer.text(path)
 
 
 _PIECE = (
     "file string, split long, nth long, size long, head long, length long, record_type string, page_id long, "
-    "refers_to long, payload_bytes long, payload_digest string"
+    "refers_to long, payload_bytes long, payload_digest string, content binary"
 )
 
 
@@ -136,6 +158,10 @@ def _pieces(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _content(value: Column) -> Column:
+    return F.unhex(F.sha2(value.cast("binary"), 256))
+
+
 def _parsed(pieces: DataFrame) -> DataFrame:
     """Header fields of each candidate and, if the whole record is there, its payload's length and digest."""
     head_end = F.locate("\r\n\r\n", F.col("value"))
@@ -155,8 +181,8 @@ def _parsed(pieces: DataFrame) -> DataFrame:
         head.alias("head"),
         field("Content-Length", "([0-9]{1,18})").alias("length"),
         field("WARC-Type", "([a-z]+)", "string").alias("record_type"),
-        field("WARC-Record-ID", "<urn:page:(-?[0-9]{1,19})>").alias("page_id"),
-        field("WARC-Refers-To", "<urn:page:(-?[0-9]{1,19})>").alias("refers_to"),
+        field("WARC-Record-ID", "<urn:page:(-?[0-9]{1,19})[:>][^\\r]*").alias("page_id"),
+        field("WARC-Refers-To", "<urn:page:(-?[0-9]{1,19})[:>][^\\r]*").alias("refers_to"),
         field("X-Payload-Length", "([0-9]{1,18})").alias("said_bytes"),
         field("WARC-Payload-Digest", "sha1:([A-Z2-7]+)", "string").alias("said_digest"),
         F.expr("locate('\\r\\n\\r\\n', value, length(fields) + 1) + 3").cast("long").alias("payload_at"),
@@ -177,6 +203,7 @@ def _parsed(pieces: DataFrame) -> DataFrame:
         "refers_to",
         F.when(revisit, F.col("said_bytes")).when(whole, n_bytes).alias("payload_bytes"),
         F.when(revisit, F.col("said_digest")).when(whole, sha1_base32(payload)).alias("payload_digest"),
+        _content(F.col("value")).alias("content"),
     )
 
 
@@ -224,14 +251,18 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     chained = parsed.groupBy("file").applyInArrow(_chain, f"{_PIECE}, record long, begins boolean, n_pieces long")
     chained = cut(chained, "warc-chain")
     whole = chained.where("begins AND n_pieces = 1").select(*_RECORD)
-    split_up = chained.where("n_pieces > 1").select("file", "split", "nth", "record")
+    split_up = chained.where("n_pieces > 1").select("file", "split", "nth", "record", "content")
     if split_up.isEmpty():
         return whole
-    # Records that hold the magic themselves: their pieces are read again and put together.
-    pieces = _pieces(spark, path).join(split_up, ["file", "split", "nth"])
-    listed = F.array_sort(F.collect_list(F.struct("split", "nth", "value")))
+    # Records that hold the magic themselves: the contents of their pieces are read again and put together.
+    wanted = split_up.select(F.col("content").alias("c")).distinct()
+    values = _pieces(spark, path).select(_content(F.col("value")).alias("c"), "value")
+    values = values.join(wanted, "c", "left_semi").groupBy("c").agg(F.first("value").alias("value"))
+    pieces = split_up.join(values, F.col("content") == F.col("c"), "left")
+    lost = F.raise_error(F.concat(F.col("file"), F.lit(": a piece of a record was not found again")))
+    value = F.when(F.col("value").isNull(), lost).otherwise(F.col("value"))
+    listed = F.array_sort(F.collect_list(F.struct("split", "nth", value.alias("value"))))
     joined = pieces.groupBy("file", "record").agg(listed.alias("parts"))
     value = F.array_join(F.transform("parts", lambda p: p["value"]), MAGIC)
     joined = joined.select("file", F.lit(0).alias("split"), F.lit(0).alias("nth"), value.alias("value"))
-    # Written at once: places in a split hold as long as files are split alike.
-    return whole.unionByName(cut(_parsed(joined).select(*_RECORD), "warc-joined"))
+    return whole.unionByName(_parsed(joined).select(*_RECORD))

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from fieldmark.llm import fingerprints, graphs, languages
+from fieldmark.llm import fingerprints, graphs, languages, warc
 
 
 def thue_morse(n):
@@ -76,3 +76,58 @@ def test_components_in_few_rounds(spark, monkeypatch, links, rounds, small):
     got = {r.node: r.root for r in graphs.components(df).collect()}
     assert got == roots_by_hand([(a, b) for a, b in links if a != b])
     assert written.count("rooted") <= rounds
+
+
+def split_by(spark, size):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+
+
+def test_archives_read_in_two_layouts_lose_no_record(spark, tmp_path, monkeypatch):
+    magic = warc.MAGIC
+    rows = [(k, f"http://a/{k}", f"text {k} " + (magic + "x" * (k % 7)) * (k % 5 == 0) * (1 + k % 3)) for k in range(400)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    warc.write_archives(pages, str(tmp_path / "w"))
+    scan, sizes = warc._pieces, iter([700, 100_000])
+
+    def other_layout(*args):
+        split_by(spark, next(sizes))
+        pieces = scan(*args)
+        pieces.rdd.getNumPartitions()  # plans the scan under this setting
+        return pieces
+
+    try:
+        split_by(spark, 700)
+        want = {tuple(r) for r in warc.read_archives(spark, str(tmp_path / "w")).collect()}
+        monkeypatch.setattr(warc, "_pieces", other_layout)
+        found = warc.read_archives(spark, str(tmp_path / "w"))
+        split_by(spark, 100_000)
+        got = [tuple(r) for r in found.collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert len(got) == 400 and set(got) == want
+    assert {r[0]: r[1] for r in got} == {i: len(h) for i, _, h in rows}
+
+
+def test_archives_hold_what_the_format_asks_for(spark, tmp_path):
+    rows = [(1, "http://a", "same"), (2, None, "same"), (2, None, "same"), (1, "u", "same"), (None, "v", "same")]
+    rows += [(3, "", "ab"), (3, "", "ab"), (None, None, None), (4, "http://b", "alone")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2)
+    for least in (0, 3):
+        path = tmp_path / f"w{least}"
+        warc.write_archives(pages, str(path), least, "2025-05-05T05:05:05Z")
+        text = "".join(f.read_bytes().decode() for f in path.glob("part-*"))
+        records = []
+        for head in text.split(warc.MAGIC)[1:]:
+            records.append(dict(line.split(": ", 1) for line in head.split("\r\n\r\n")[0].split("\r\n")))
+        assert len(records) == len(rows)
+        ids = [r["WARC-Record-ID"] for r in records]
+        assert len(set(ids)) == len(ids)
+        assert all(r["WARC-Date"] == "2025-05-05T05:05:05Z" and r["WARC-Target-URI"] for r in records)
+        responses = {r["WARC-Record-ID"] for r in records if r["WARC-Type"] == "response"}
+        for r in records:
+            assert (r["WARC-Type"] == "revisit") == (r.get("WARC-Profile") == warc.PROFILE) == ("WARC-Refers-To" in r)
+            assert r.get("WARC-Refers-To") in {None, *responses}
+        assert len(responses) == (4 if least == 0 else 5)
+        assert sum(r.record_type == "revisit" for r in warc.read_archives(spark, str(path)).collect()) == len(rows) - len(responses)

@@ -529,4 +529,4 @@ def test_queries_are_registered():
 
     names = set(contract.queries())
     assert set(queries.QUERIES) < names and "pipeline" in names
-    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 14))
