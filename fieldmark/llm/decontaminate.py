@@ -3,11 +3,14 @@
 Texts become templates: numbers, names and units are replaced with typed placeholders, all other
 words are lower-cased.  Windows of five template tokens of the documents are hash-joined with those
 of the benchmark, so a question whose values were changed still meets its template.  Slot
-consistency then tells a re-parameterised question from chance: along one alignment every value of
-the item must always stand for the same value of the document.
-
-An item leaks into a document if at least 0.8 of its windows are found there and the alignment that
-has most of them is consistent.  Names are told by capitals, which sentence borders blur, so windows
+consistency then tells a re-parameterised question from chance: every value of the item must always
+stand for the same value of the document.
+
+An alignment is the distance between a window's place in the document and in the item; tokens put in
+or left out shift it.  Alignments of a pair whose neighbours differ by no more tokens than the item
+has make a run.  In a run alignments are taken in order of their windows, most first, each if the
+slots of all that are taken stay consistent.  An item leaks into a document if those taken hold at
+least 0.8 of its windows.  Names are told by capitals, which sentence borders blur, so windows
 are made in three forms, and an item leaks if any form says so: without name placeholders, with them
 for the capitalised words that do not begin a sentence, and with them for capitalised words at any
 place, ``FUNCTION_WORDS`` aside.
@@ -21,7 +24,7 @@ size however large the benchmark; what passes it goes through Spark's join.
 
 Cases: an item of fewer than five tokens has one shorter window; documents are searched for windows
 of those widths from two on, so such an item leaks wherever it stands as a whole with consistent slots.
-An item of one token, a word, only meets documents that are this word.  Null and empty texts and items match nothing; repeated items each give a row,
+An item below ``shortest`` tokens (by default of one, a word) only meets documents that are the item.  Null and empty texts and items match nothing; repeated items each give a row,
 repeated documents too; equal ids with different texts are told apart by their text's hash.
 """
 
@@ -31,14 +34,14 @@ from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fieldmark.llm.common import Spans, cut, release, shingles, slices, tidy, utf8, word_bounds
 
 WIDTH = 5
 SHARE = 0.8
 FILTER_BITS = 20
-#: Least number of tokens of an item that is searched inside longer documents.
+#: Least number of tokens of an item that is searched inside longer documents, if the caller does not say.
 SHORTEST = 2
 #: Name placeholders: none, inside sentences, anywhere.
 FORMS = (0, 1, 2)
@@ -237,6 +240,26 @@ def benchmark_windows(items: DataFrame, id_column: str = "item_id", text_column:
     return found.join(sizes, same).drop("i", "f")
 
 
+def _consistent(pairs: Column) -> Column:
+    """Whether each item value stands for one document value only, in an array of distinct pairs."""
+    return F.size(pairs) == F.size(F.array_distinct(F.transform(pairs, lambda p: p["item_value"])))
+
+
+def _taken(parts: Column) -> Column:
+    """Places and slot pairs of the alignments of a run that are consistent together, in the order given."""
+
+    def take(held: Column, part: Column) -> Column:
+        places = F.array_union(held["places"], part["places"]).alias("places")
+        pairs = F.array_union(held["pairs"], part["pairs"])
+        return F.when(_consistent(pairs), F.struct(places, pairs.alias("pairs"))).otherwise(held)
+
+    none = F.struct(
+        F.array().cast("array<int>").alias("places"),
+        F.array().cast("array<struct<item_value:string,doc_value:string>>").alias("pairs"),
+    )
+    return F.aggregate(parts, none, take)
+
+
 def leaks(
     docs: DataFrame,
     items: DataFrame,
@@ -244,6 +267,7 @@ def leaks(
     text_column: str = "text",
     item_column: str = "item_id",
     item_text_column: str = "text",
+    shortest: int = SHORTEST,
 ) -> DataFrame:
     """One row per document and leaked item: ``doc_id``, ``item_id``, ``share`` of its windows, ``changed`` slot values.
 
@@ -264,7 +288,7 @@ def leaks(
     shared = spark.sparkContext.broadcast(np.packbits(bits).tobytes())
 
     # At most the few widths below WIDTH in each form.
-    short = windows.where(F.col("width").between(SHORTEST, WIDTH - 1)).select("form", "width").distinct().collect()
+    short = windows.where(F.col("width").between(shortest, WIDTH - 1)).select("form", "width").distinct().collect()
     widths = {form: sorted(r.width for r in short if r.form == form) for form in FORMS}
 
     @tidy
@@ -302,21 +326,21 @@ def leaks(
     aligned = met.groupBy("doc_id", "text_hash", "item_id", "form", "n", "alignment").agg(
         F.collect_set("place").alias("places"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")
     )
-    values = F.size(F.array_distinct(F.transform("pairs", lambda p: p["item_value"])))
-    changed = F.size(F.filter("pairs", lambda p: p["item_value"] != p["doc_value"]))
-    aligned = aligned.select(
-        "*",
-        F.size("places").alias("found"),
-        (F.size("pairs") == values).alias("consistent"),
-        changed.alias("changed"),
-    )
-    best = F.struct(F.col("found"), F.col("consistent"), (-F.col("changed")).alias("changed"))
-    judged = aligned.groupBy("doc_id", "text_hash", "item_id", "form", "n").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("covered"), F.max(best).alias("best")
-    )
-    judged = judged.where((F.col("covered") >= SHARE * F.col("n")) & F.col("best.consistent"))
+    pair = ("doc_id", "text_hash", "item_id", "form", "n")
+    along = Window.partitionBy(*pair).orderBy("alignment")
+    apart = F.col("alignment") - F.lag("alignment").over(along) > F.col("n") + WIDTH
+    # Alignments that contradict themselves are never taken.
+    runs = aligned.where(_consistent(F.col("pairs"))).withColumn("apart", F.coalesce(apart, F.lit(False)))
+    runs = runs.withColumn("run", F.sum(F.col("apart").cast("int")).over(along))
+    part = F.struct((-F.size("places")).alias("order"), "alignment", "places", "pairs")
+    runs = runs.groupBy(*pair, "run").agg(F.array_sort(F.collect_list(part)).alias("parts"))
+    held = F.size(F.array_distinct(F.flatten(F.transform("parts", lambda a: a["places"]))))
+    runs = runs.where(held >= SHARE * F.col("n")).select(*pair, _taken(F.col("parts")).alias("taken"))
+    changed = F.size(F.filter("taken.pairs", lambda p: ~p["item_value"].eqNullSafe(p["doc_value"])))
+    judged = runs.select(*pair, F.size("taken.places").alias("covered"), changed.alias("changed"))
+    judged = judged.where(F.col("covered") >= SHARE * F.col("n"))
     judged = judged.groupBy("doc_id", "text_hash", "item_id").agg(
-        F.max(F.col("covered") / F.col("n")).alias("share"), F.min(-F.col("best.changed")).alias("changed")
+        F.max(F.col("covered") / F.col("n")).alias("share"), F.min("changed").alias("changed")
     )
     return judged
 
@@ -328,9 +352,10 @@ def without_leaks(
     text_column: str = "text",
     item_column: str = "item_id",
     item_text_column: str = "text",
+    shortest: int = SHORTEST,
 ) -> DataFrame:
     """The rows of ``docs`` that no item leaks into, all columns as they were."""
-    found = leaks(docs, items, id_column, text_column, item_column, item_text_column)
+    found = leaks(docs, items, id_column, text_column, item_column, item_text_column, shortest)
     found = cut(found.select("doc_id", "text_hash").distinct(), "leaks")
     found = found.select(F.col("doc_id").alias("leak_id"), F.col("text_hash").alias("leak_hash"))
     rows = docs.alias("d")

@@ -6,7 +6,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from fieldmark.llm import fingerprints, graphs, languages, warc
+from fieldmark.llm import decontaminate, fingerprints, graphs, languages, warc
+from tests.llm import plain
 
 
 def thue_morse(n):
@@ -131,3 +132,54 @@ def test_archives_hold_what_the_format_asks_for(spark, tmp_path):
             assert r.get("WARC-Refers-To") in {None, *responses}
         assert len(responses) == (4 if least == 0 else 5)
         assert sum(r.record_type == "revisit" for r in warc.read_archives(spark, str(path)).collect()) == len(rows) - len(responses)
+
+
+def test_windows_scattered_with_contradictory_numbers_are_no_leak(spark):
+    item = "take 5 red balls then add 5 blue balls then drop 5 green balls now"
+    words = item.split()
+    values = iter(range(100, 1000))
+    scattered = ". ".join(
+        " ".join(str(next(values)) if w == "5" else w for w in words[k : k + 5]) + " and so on" for k in range(len(words) - 4)
+    )
+    shifted = "well take 7 red balls then add 7 blue balls and next then drop 7 green balls now then we go"
+    longer = "take 5 red balls then add 5 blue balls then drop 5 green balls now and then put them all into the box by the door"
+    put_in = longer.replace("then drop", "then please drop").replace("5", "8")
+    docs = spark.createDataFrame([(1, scattered), (2, shifted), (3, put_in), (4, item)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, item), (2, longer)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.changed for r in decontaminate.leaks(docs, items).collect()}
+    assert (1, 1) not in got and got[4, 1] == 0 and got[3, 2] == 1
+    single = spark.createDataFrame([(9, "entropy")], "item_id long, text string")
+    held = spark.createDataFrame([(1, "we define entropy here"), (2, "entropy")], "doc_id long, text string")
+    assert {r.doc_id for r in decontaminate.leaks(held, single).collect()} == {2}
+    assert {r.doc_id for r in decontaminate.leaks(held, single, shortest=1).collect()} == {1, 2}
+
+
+def test_leaks_are_those_of_a_plain_template_matcher(spark):
+    rng = random.Random(5)
+    nouns, names = "apples pears balls boxes cars".split(), "Tom Anna Mary Bob Éva Jones".split()
+    verbs = "has gives takes sells".split()
+
+    def sentence():
+        number = rng.choice(["3", "12", "4.5", "1,200", "7"])
+        unit = rng.choice(["", " kg", " miles", " HOURS"])
+        name = rng.choice(names) + rng.choice(["", " " + rng.choice(names)])
+        end = rng.choice([".", "?", ":", ",", ""])
+        return f"{rng.choice([name, 'The man', 'he'])} {rng.choice(verbs)} {number}{unit} {rng.choice(nouns)} to {name}{end}"
+
+    def changed(text):
+        words = text.split(" ")
+        for _ in range(rng.randint(0, 3)):
+            k = rng.randrange(len(words))
+            words[k : k + 1] = rng.choice([[], [words[k], "also"], [rng.choice(names)], [str(rng.randint(1, 99))]])
+        return " ".join(words or ["x"])
+
+    items = {k: " ".join(sentence() for _ in range(rng.randint(1, 3))) for k in range(25)}
+    items |= {25: "What is 12 + 7?", 26: "Hello", 27: "", 28: None, 29: "5 kg"}
+    docs = {k: " ".join(rng.choice([sentence(), changed(rng.choice(list(items.values())[:26]))]) for _ in range(rng.randint(0, 6))) for k in range(120)}
+    docs |= {120: None, 121: "Hello", 122: "What is 3 + 4? What is 5 + 5?", 123: docs[3] + " " + docs[3]}
+    got = decontaminate.leaks(
+        spark.createDataFrame(list(docs.items()), "doc_id long, text string"),
+        spark.createDataFrame(list(items.items()), "item_id long, text string"),
+    ).collect()
+    want = plain.template_leaks(docs, items, decontaminate.UNITS, decontaminate.FUNCTION_WORDS)
+    assert {(r.doc_id, r.item_id): (r.share, r.changed) for r in got} == want and len(want) > 50
