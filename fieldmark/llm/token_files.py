@@ -1,6 +1,6 @@
 """Token-id files: frequency-ranked ids in byte-aligned variable-length coding with separate control bytes.
 
-Documents are range-sorted by id; each range becomes one shard.  A shard is a run of blocks of
+Documents are range-sorted by id, or by any columns given; each range becomes one shard.  A shard is a run of blocks of
 whole documents, each block a row of a Parquet table with binary columns (Spark commits them as a
 whole and a lost executor's blocks are written again):
 
@@ -25,11 +25,12 @@ from __future__ import annotations
 
 import unicodedata
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from fieldmark.llm.common import cut, partitions, tidy, worker_state
 
@@ -289,16 +290,34 @@ def _blocks(path: str):
     return written
 
 
+def file_order(docs: DataFrame) -> list[Column]:
+    """What sorts rows read from Parquet files as they were written; nothing if ``docs`` has no such places."""
+    name = F.col("_metadata.file_name")
+    # Names of parts beyond 99,999 are longer.
+    order = [F.length(name), name, F.col("_metadata.row_index")]
+    try:
+        docs.select(*order)
+    except AnalysisException:
+        return []
+    return order
+
+
 def write_tokens(
-    docs: DataFrame, path: str, tokenizer: str, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame,
+    path: str,
+    tokenizer: str,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    order: Sequence[Column] = (),
 ) -> None:
-    """Tokenise every document and write the shards to ``path``, in ascending id order."""
+    """Tokenise every document and write the shards to ``path``, sorted by ``order``, then ascending id."""
+    given = [c.alias(f"order_{k}") for k, c in enumerate(order)]
     rows = docs.select(
-        F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text_column), F.lit("")).alias("text")
+        *given, F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text_column), F.lit("")).alias("text")
     )
     n = partitions(docs.sparkSession)
-    dealt = rows.repartitionByRange(n, F.col("doc_id").asc_nulls_first())
-    dealt = dealt.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
+    keys = [F.col(c).asc_nulls_first() for c in rows.columns[:-1]]
+    dealt = rows.repartitionByRange(n, *keys).sortWithinPartitions(*keys, F.xxhash64("text"))
     dealt = dealt.select(F.spark_partition_id().alias("shard"), "doc_id", "text")
     dealt.mapInArrow(_blocks(tokenizer), BLOCKS).write.parquet(path)
 

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from fieldmark.llm import decontaminate, fingerprints, graphs, languages, warc
+from fieldmark.llm import decontaminate, fingerprints, graphs, languages, queries, token_files, warc
 from tests.llm import plain
 
 
@@ -183,3 +183,22 @@ def test_leaks_are_those_of_a_plain_template_matcher(spark):
     ).collect()
     want = plain.template_leaks(docs, items, decontaminate.UNITS, decontaminate.FUNCTION_WORDS)
     assert {(r.doc_id, r.item_id): (r.share, r.changed) for r in got} == want and len(want) > 50
+
+
+def test_token_files_keep_the_order_of_the_files_read(spark, tmp_path):
+    ids = random.Random(8).sample(range(500), 500)
+    docs = spark.createDataFrame([(i, f"text {i} " * (i % 5)) for i in ids + ids[:40]], "doc_id long, text string")
+    docs.coalesce(1).write.option("maxRecordsPerFile", 90).parquet(str(tmp_path / "docs"))
+    read = spark.read.parquet(str(tmp_path / "docs"))
+    order = token_files.file_order(read)
+    assert len(order) == 3 and token_files.file_order(docs) == []
+    starts = {}
+    for name, keys in (("given", order), ("by id", [])):
+        path = str(tmp_path / name)
+        token_files.write_tokens(read, path, queries.tokenizer_path(), order=keys)
+        rows = sorted(token_files.token_digests(spark, path).collect(), key=lambda r: r.start)
+        assert all(a.start + a.n_tokens == b.start for a, b in zip(rows, rows[1:])) and rows[0].start == 0
+        starts[name] = [r.doc_id for r in rows]
+    written = read.select("doc_id", "_metadata.file_name", "_metadata.row_index").collect()
+    assert starts["given"] == [r.doc_id for r in sorted(written, key=lambda r: r[1:])]
+    assert starts["by id"] == sorted(ids + ids[:40])
