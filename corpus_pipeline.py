@@ -38,9 +38,9 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents as token files, in ascending id order, read back: a row per document pass."""
+    """The documents as token files, in the order of the mixture's files, read back: a row per document pass."""
     path = scratch_path(spark, "tokens")
-    token_files.write_tokens(docs, path, tokenizer_path())
+    token_files.write_tokens(docs, path, tokenizer_path(), order=token_files.file_order(docs))
     return token_files.token_digests(spark, path)
 
 
