@@ -12,9 +12,9 @@ def first_per_key(df: DataFrame, keys: Sequence[str | Column], order_by: Sequenc
 
     ``row_number() = 1`` lets Spark cut every key to one row per map task before
     the shuffle, so a key with a third of all rows costs no more than any other.
-    All columns close the ordering: equal rows are the only ties left.
+    All columns close the ordering, missing values last: equal rows are the only ties left.
     """
-    order = [*order_by, *[F.col(c).asc() for c in df.columns]]
+    order = [*order_by, *[F.col(c).asc_nulls_last() for c in df.columns]]
     rank = F.row_number().over(W.partitionBy(*keys).orderBy(*order))
     return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
 

@@ -71,6 +71,13 @@ def test_dedup_order_and_nulls(spark):
     assert collapsed == {3, 6, 4}
 
 
+def test_dedup_prefers_values_to_nulls_among_equals(spark):
+    rows = [("a", 1, None), ("a", 1, "2020-05-01"), ("a", 1, "2020-06-01"), ("b", 1, None)]
+    df = spark.createDataFrame(rows, "id string, proposed int, ends string")
+    kept = {(r.id, r.ends) for r in dedup.deduplicate(df, "id", [F.col("proposed").asc()]).collect()}
+    assert kept == {("a", "2020-05-01"), ("b", None)}
+
+
 def test_dedup_limits_keys_before_the_shuffle(spark):
     df = spark.range(10).withColumn("k", F.col("id") % 3)
     plan = dedup.first_per_key(df, ["k"], [F.col("id").desc()])._jdf.queryExecution().executedPlan().toString()
