@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fieldmark.ml import models, preparation
 from fieldmark.ml.boosting import fit_boosted_stumps
+from fieldmark.plans import dataset
 
 NUMERIC, CATEGORICAL, CYCLIC = ["a", "b"], ["c"], ["s"]
 
@@ -155,3 +156,15 @@ def test_registered_queries_fit_the_librarys_settings(spark, sf_dir, monkeypatch
     assert len(seen) == 9
     assert not any(isinstance(v, dict) for given, _ in seen for v in given)
     assert all(set(settings) <= {"folds"} for _, settings in seen)
+
+
+@pytest.mark.parametrize("key", ["m13_saved_model_scores", "m15_batch_scoring"])
+def test_training_and_scoring_read_the_same_written_tables(spark, sf_dir, monkeypatch, key):
+    from checks import learning_queries
+
+    written = []
+    for module, name in ((learning_queries, "written_policies"), (dataset, "written_feature_tables")):
+        made = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda *given, made=made, name=name, **named: written.append(name) or made(*given, **named))
+    assert learning_queries.CHECKS[key].query(spark, sf_dir).count() > 0
+    assert sorted(written) == ["written_feature_tables", "written_policies"]
