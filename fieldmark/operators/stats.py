@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from fieldmark.functions.numbers import ratio
 from fieldmark.operators.prefix import join_groups, with_running_sums
 from fieldmark.operators.quantiles import quantile_table
+from fieldmark.session import written
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
@@ -76,7 +77,8 @@ def mean_and_median(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame
 
 def box_summary(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
     """Quartiles, whiskers within 1.5 interquartile ranges and outliers per class."""
-    quartiles = quantile_table(df, columns, QUARTILES, by)
+    # One row per (class, column), written so that Spark knows how small it is and leaves the long side where it is.
+    quartiles = written(quantile_table(df, columns, QUARTILES, by), "quartiles")
     spread = F.col("q3") - F.col("q1")
     fences = quartiles.withColumns(
         {"low_fence": F.col("q1") - spread * 1.5, "high_fence": F.col("q3") + spread * 1.5}
@@ -84,7 +86,6 @@ def box_summary(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
     held = [F.col(c).cast("double").alias(c) for c in columns]
     long = df.select(by, *held).unpivot([by], list(columns), "column", "value").filter(F.col("value").isNotNull())
     inside = F.col("value").between(F.col("low_fence"), F.col("high_fence"))
-    # One row per (class, column): small by construction, so Spark broadcasts it.
     return (
         join_groups(long, fences, [by, "column"])
         .groupBy(by, "column")

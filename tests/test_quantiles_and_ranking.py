@@ -90,3 +90,34 @@ def test_any_number_of_groups(spark):
     assert table.count() == 3000 and table.filter(F.col("median") != F.col("g") + 3000).count() == 0
     scored = df.select("g", (F.col("v") % 2).cast("int").alias("label"), (F.col("v") / 9000).alias("score"))
     assert ranking.threshold_metrics(scored, "label", "score", "g").count() == 3000
+
+
+def test_quantiles_shuffle_cells_not_values(spark, monkeypatch):
+    from fieldmark.operators import quantiles
+
+    summed = []
+    real = quantiles.with_running_sums
+    monkeypatch.setattr(quantiles, "with_running_sums", lambda df, *a, **k: summed.append(df.count()) or real(df, *a, **k))
+    rng = random.Random(3)
+    values = [rng.random() for _ in range(20_000)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    assert exact_quantiles(df, ["v"], [0.5])[None, "v"] == pytest.approx([np.percentile(values, 50)], rel=1e-15)
+    # Of the distinct values only those near the wanted rank are sorted.
+    assert 0 < summed[0] < 500
+
+
+def test_quantiles_of_signs_zeros_and_nan(spark):
+    values = [-2.5, -0.0, 0.0, 1e-310, 3.0, float("nan"), float("-inf"), float("inf"), None]
+    df = spark.createDataFrame([(g, v) for g in ("a", None) for v in values], "g string, v double")
+    ranks = [k / 7 for k in range(8)]
+    want = [float("-inf"), -2.5, 0.0, 0.0, 1e-310, 3.0, float("inf"), float("nan")]
+    for g, found in exact_quantiles(df, ["v"], ranks, "g").items():
+        assert g[0] in ("a", None) and [repr(x + 0.0) for x in found] == [repr(x) for x in want]
+
+
+def test_box_summary_moves_no_rows_to_their_fences(spark):
+    from fieldmark.operators.stats import box_summary
+
+    df = spark.range(1000).selectExpr("id % 2 as c", "cast(id as double) as v")
+    plan = box_summary(df, ["v"], "c")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
