@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from fieldmark.functions.numbers import ratio
 from fieldmark.operators.dedup import first_per_key
-from fieldmark.operators.lookback import Clock, all_present, lookback_sums, monthly_views
+from fieldmark.operators.lookback import Clock, all_present, lookback_sums, monthly_views, running_views
 
 
 def dominant_category(
@@ -93,7 +93,7 @@ def portfolio_concentration(
         out = shares.withColumn("portfolio_hhi", F.sum(squared).over(group))
     elif scope == "book":
         present = policies.filter(all_present([holder, place]))
-        book = monthly_views(present, [holder, place], ref, day, window, {"amount": F.col(amount)})
+        book = running_views(present, [holder, place], ref, day, window, F.col(amount)).withColumnRenamed("value", "amount")
         total = F.sum("amount")
         whole = book.groupBy(ref, holder).agg(
             total.alias("_total"),

@@ -189,3 +189,43 @@ def monthly_views(
     months = F.when(first <= last, F.sequence(first, last, F.expr("interval 1 month")))
     seen = cells.select(F.explode(months).alias(ref), *keys, *sums)
     return seen.groupBy(ref, *keys).agg(*[F.sum(n).alias(n) for n in sums])
+
+
+def running_views(
+    policies: DataFrame,
+    keys: Sequence[str],
+    ref: str,
+    day: str,
+    window: int,
+    value: Column,
+) -> DataFrame:
+    """The same sum of one ``value`` without repeating the cells: one shuffle of cells, none of months.
+
+    A cell is answerable for the months from its first one to the one before the next cell's; what these
+    see lies in the cells up to it, so a frame that looks back over the window holds it.  A month
+    comes once per key, as ``(ref, keys, value)``.
+    """
+    known = policies.filter(F.col(day).isNotNull())
+    cells = (
+        known.select(*keys, cell_start(F.col(day), [window]).alias("_day"), value.alias("_value"))
+        .groupBy(*keys, "_day")
+        .agg(F.sum("_value").alias("_value"))
+    )
+    by_day = W.partitionBy(*keys).orderBy(day_number(F.col("_day")))
+    first = F.add_months(F.trunc("_day", "MM"), 1)
+    last = F.trunc(F.date_add("_day", window), "MM")
+    # No month of a cell sees further back than the window before the cell's own day.
+    frame = by_day.rangeBetween(-window, 0)
+    held = F.collect_list(F.struct("_day", "_value")).over(frame)
+    placed = cells.select(
+        *keys, first.alias("_first"), last.alias("_last"), held.alias("_held"), F.lead(first).over(by_day).alias("_next")
+    )
+    until = F.least(F.col("_last"), F.add_months("_next", -1))
+    months = F.when(F.col("_first") <= until, F.sequence("_first", until, F.expr("interval 1 month")))
+    seen = placed.select(*keys, "_held", F.explode(months).alias(ref))
+    inside = F.filter("_held", lambda c: c["_day"] >= F.date_sub(ref, window))
+    total = F.aggregate(
+        inside, F.lit(None).cast("double"),
+        lambda so_far, c: F.coalesce(so_far + c["_value"], so_far, c["_value"].cast("double")),
+    )
+    return seen.select(ref, *keys, total.alias("value"))

@@ -172,3 +172,23 @@ def test_policy_economics_edges(spark):
 def test_unknown_feature_table():
     with pytest.raises(ValueError, match="place_history"):
         features.feature_table("nope")
+
+
+def test_running_views_equal_repeated_cells(spark):
+    from fieldmark.operators.concentration import portfolio_concentration
+    from fieldmark.operators.lookback import monthly_views, running_views
+
+    rng = random.Random(5)
+    rows = [
+        (rng.choice("ab"), rng.randrange(3), f"20{rng.randrange(10, 16)}-{rng.randrange(1, 13):02d}-{rng.randrange(1, 29):02d}",
+         None if rng.random() < 0.2 else float(rng.randrange(1000)))
+        for _ in range(300)
+    ] + [("c", 1, "2012-02-29", 1.0), ("c", 1, "2012-12-31", None), ("c", 1, "2015-01-31", 4.0), ("d", 1, None, 4.0)]
+    df = spark.createDataFrame(rows, "h string, p int, d string, x double").withColumn("d", F.col("d").cast("date"))
+    got = running_views(df, ["h", "p"], "m", "d", 365, F.col("x")).select("m", "h", "p", "value").collect()
+    want = monthly_views(df, ["h", "p"], "m", "d", 365, {"value": F.col("x")}).select("m", "h", "p", "value").collect()
+    assert len(got) == len(set(got)) and set(got) == set(want)
+    dated = df.withColumn("ref", F.trunc("d", "MM"))
+    plan = portfolio_concentration(dated, "h", "p", "ref", "d", "x", 365, "book")._jdf.queryExecution().optimizedPlan().toString()
+    # Months are not repeated for every cell and summed again.
+    assert "collect_list" in plan
