@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from fieldmark.llm.common import cut, partitions, tidy, worker_state
+from fieldmark.llm.common import cut, partitions, slices, tidy, worker_state
 
 END = 0
 #: Tokens of a block, about; a longer document is a block of its own.
@@ -252,13 +252,16 @@ def _fed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], list[st
     """Runs of documents of about ``FEED_CHARS`` characters, with their shard."""
     ids, texts, held, shard = [], [], 0, 0
     for batch in batches:
-        for shard, doc_id, text in zip(*(batch.column(k).to_pylist() for k in range(3))):
-            ids.append(doc_id)
-            texts.append(text)
-            held += len(text)
-            if held >= FEED_CHARS:
-                yield ids, texts, shard
-                ids, texts, held = [], [], 0
+        # A batch has up to 10,000 rows of any length; its texts become strings a slice at a time.
+        for a, b in slices(batch.column(2)):
+            part = batch.slice(a, b - a)
+            for shard, doc_id, text in zip(*(part.column(k).to_pylist() for k in range(3))):
+                ids.append(doc_id)
+                texts.append(text)
+                held += len(text)
+                if held >= FEED_CHARS:
+                    yield ids, texts, shard
+                    ids, texts, held = [], [], 0
     if ids:
         yield ids, texts, shard
 

@@ -202,3 +202,20 @@ def test_token_files_keep_the_order_of_the_files_read(spark, tmp_path):
     written = read.select("doc_id", "_metadata.file_name", "_metadata.row_index").collect()
     assert starts["given"] == [r.doc_id for r in sorted(written, key=lambda r: r[1:])]
     assert starts["by id"] == sorted(ids + ids[:40])
+
+
+def test_token_files_read_a_batch_slice_by_slice(monkeypatch):
+    import pyarrow as pa
+
+    from fieldmark.llm import token_files
+
+    seen = []
+    real = token_files.slices
+    monkeypatch.setattr(token_files, "slices", lambda column: seen.append(len(column)) or real(column, 100), raising=True)
+    texts = ["x" * (k % 37) for k in range(500)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([3] * 500, pa.int32()), pa.array(range(500), pa.int64()), pa.array(texts)], names=["shard", "doc_id", "text"]
+    )
+    fed = list(token_files._fed(iter([batch, batch.slice(0, 0)])))
+    assert [i for ids, _, _ in fed for i in ids] == list(range(500)) and [t for _, part, _ in fed for t in part] == texts
+    assert seen == [500, 0] and {shard for *_, shard in fed} == {3}
