@@ -97,8 +97,9 @@ def _gated(spark, sf):
 
 
 def _looked_up(spark, sf):
-    held = policies(spark, sf)
-    tables = {n: features.feature_table(n).build(held) for n in ("market_risk", "insurer_risk", "portfolio")}
+    held = written_policies(spark, sf)
+    names = ("market_risk", "insurer_risk", "portfolio")
+    tables = dataset.written_feature_tables(held, scratch_path(spark, "features"), names, by_month=False)
     keys = {n: features.REGISTRY[n].key for n in tables}
     return dataset.lookup(dataset.training_spine(held, AS_OF), tables, keys)
 

@@ -168,3 +168,13 @@ def test_training_and_scoring_read_the_same_written_tables(spark, sf_dir, monkey
         monkeypatch.setattr(module, name, lambda *given, made=made, name=name, **named: written.append(name) or made(*given, **named))
     assert learning_queries.CHECKS[key].query(spark, sf_dir).count() > 0
     assert sorted(written) == ["written_feature_tables", "written_policies"]
+
+
+def test_lookup_query_reads_written_feature_tables(spark, sf_dir, monkeypatch):
+    from checks import report_queries
+
+    looked = []
+    real = dataset.lookup
+    monkeypatch.setattr(dataset, "lookup", lambda spine, tables, keys: looked.append(tables) or real(spine, tables, keys))
+    report_queries.CHECKS["j9_feature_lookup"].query(spark, sf_dir)
+    assert looked and all(table.inputFiles() and "features-" in table.inputFiles()[0] for table in looked[0].values())
