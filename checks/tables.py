@@ -136,10 +136,21 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _build(spark: SparkSession, sf_dir: str, catalogue: dict, columns: Sequence[str] | None) -> DataFrame:
     wanted = list(columns or catalogue)
     needed = {t for c in wanted for t in catalogue[c][1]}
-    df = read(spark, sf_dir, "lineitem")
-    for table, (left, right) in JOINS.items():
-        if table in needed:
-            df = df.join(read(spark, sf_dir, table), F.col(left) == F.col(right))
+
+    def joined(df: DataFrame, tables: Sequence[str]) -> DataFrame:
+        for table in tables:
+            if table in needed:
+                left, right = JOINS[table]
+                df = df.join(read(spark, sf_dir, table), F.col(left) == F.col(right))
+        return df
+
+    # The part, whose join shuffles every line, comes first, while the rows are narrow.
+    df = joined(read(spark, sf_dir, "lineitem"), ["part"])
+    if "orders" in needed:
+        # An order's columns are put together before they meet its lines, which are not shuffled again by the customer.
+        orders = joined(read(spark, sf_dir, "orders"), ["customer", "nation", "region"])
+        df = df.join(orders, F.expr(" = ".join(JOINS["orders"])))
+    df = joined(df, ["supplier"])
     return df.select(*[F.expr(catalogue[c][0]).alias(c) for c in wanted])
 
 
