@@ -299,7 +299,8 @@ def _slot_sums(spark, sf):
     """Sums over the assembled vector, slot by slot."""
     from pyspark.ml.functions import vector_to_array
 
-    held = raw(spark, sf, ["rate_value", "indemnity_value", "product_class", "place_code"])
+    # Written: the fit and the sums read it several times.
+    held = written(raw(spark, sf, ["rate_value", "indemnity_value", "product_class", "place_code"]), "raw")
     fitted = preparation.fit(held, ["rate_value", "indemnity_value"], ["product_class", "place_code"], [])
     slots = fitted.transform(held).select(F.posexplode(vector_to_array("features")).alias("slot", "value"))
     return slots.groupBy("slot").agg(F.count("*").alias("n_rows"), F.sum("value").alias("total"))

@@ -1,6 +1,16 @@
 """What queries shuffle, write and read again, seen in their plans."""
 
+import datetime as dt
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
 from checks.tables import policies
+from fieldmark.ml import preparation
+from fieldmark.operators.concentration import market_concentration
+from fieldmark.plans import dataset
 
 
 def below(plan: str, mark: str) -> str:
@@ -24,3 +34,47 @@ def test_lines_are_not_shuffled_by_the_customer(spark, sf_dir):
     plan = table._jdf.queryExecution().optimizedPlan().toString()
     side = below(plan, "Join Inner, (o_custkey")
     assert "o_orderkey" in side and "l_orderkey" not in side
+
+
+def test_slot_sums_read_the_raw_table_once(spark, sf_dir, monkeypatch):
+    from checks import wider_queries
+
+    seen = []
+    fit = preparation.fit
+    monkeypatch.setattr(preparation, "fit", lambda df, *given, **named: seen.append(df) or fit(df, *given, **named))
+    wider_queries.CHECKS["m4_slot_sums"].query(spark, sf_dir)
+    assert seen and all("/raw-" in f for f in seen[0].inputFiles())
+
+
+def test_a_single_large_table_is_looked_up_by_its_key(spark):
+    spine = spark.range(20).select(F.col("id").cast("string").alias("policy_id"), (F.col("id") % 7).alias("k"))
+    table = spark.range(5).select(F.col("id").alias("k"), (F.col("id") * 2).alias("x"))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = dataset.lookup(spine, {"t": table}, {"t": ("k",)})
+        assert found._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+        assert not found.inputFiles()
+        assert {(r.k, r.x) for r in found.collect()} == {(k, 2 * k if k < 5 else None) for k in range(7)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_market_concentration_counts_before_it_makes_changes(spark):
+    rng = random.Random(7)
+    days = [dt.date(2020, 1, 1) + dt.timedelta(days=k) for k in range(900)]
+    months = [dt.date(2020 + m // 12, m % 12 + 1, 1) for m in range(36)]
+    rows = [
+        (rng.choice("ab"), rng.choice(["x", "y", "z", None]), rng.choice(months), rng.choice([*days, None])) for _ in range(400)
+    ]
+    df = spark.createDataFrame(rows, "k string, m string, ref date, d date")
+    out = market_concentration(df, ["k"], "ref", "d", "m", 365, "hhi")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    # Both changes of a policy come out of one counted row.
+    assert "_leave" in next(line for line in plan.splitlines() if "Aggregate" in line and "_enter" in line)
+    want = {}
+    for k, ref in {(r[0], r[2]) for r in rows}:
+        seen = Counter(r[1] for r in rows if r[0] == k and r[3] and ref - dt.timedelta(days=365) <= r[3] < ref)
+        n = sum(seen.values())
+        want[k, ref] = sum(c * c for c in seen.values()) / n**2 if n else None
+    assert {(r.k, r.ref): r.hhi for r in out.collect()} == pytest.approx(want)
