@@ -28,31 +28,40 @@ def market_concentration(
 
     A row enters the count of its member in the first month after ``day`` and
     leaves once ``window`` days have passed.  Counts are whole numbers, so the
-    sum of squares can be carried exactly from one change to the next: two
-    changes per policy, combined on the map side, instead of one row for every
-    month that sees it.
+    sum of squares can be carried exactly from one change to the next: policies of
+    equal months are counted first, on the map side, and what is left gives two
+    changes a row, instead of one row for every month that sees it.
     """
     whole = "decimal(19,0)"
     leave = F.add_months(F.trunc(F.date_add(F.col(day), window), "MM"), 1)
     enter = F.add_months(F.trunc(F.col(day), "MM"), 1)
     known = all_present([*keys, day])
 
-    def entry(month, change: int, probe: bool):
-        return F.struct(month.alias("_month"), F.lit(change).alias("_change"), F.lit(probe).alias("_probe"))
+    def entry(member, enter, leave, probe: bool):
+        return F.struct(member.alias("_member"), enter.alias("_enter"), leave.alias("_leave"), F.lit(probe).alias("_probe"))
 
+    # A probe belongs to the market, not to one of its members.
+    nobody = F.lit(None).cast(policies.schema[member].dataType)
     entries = F.array(
-        entry(F.col(ref), 0, True), entry(F.when(known, enter), 1, False), entry(F.when(known, leave), -1, False)
+        entry(nobody, F.col(ref), F.lit(None).cast("date"), True),
+        entry(F.col(member), F.when(known, enter), F.when(known, leave), False),
     )
-    stacked = policies.select(*keys, F.col(member).alias("_member"), F.inline(entries))
-    # A probe belongs to the market, not to one of its members.
-    per_member = (
-        stacked.filter(F.col("_probe") | F.col("_month").isNotNull())
-        .withColumn("_member", F.when(~F.col("_probe"), F.col("_member")))
-        .groupBy(*keys, "_member", "_probe", "_month")
-        .agg(F.sum("_change").alias("_change"))
+    stacked = policies.select(*keys, F.inline(entries)).filter(F.col("_probe") | F.col("_enter").isNotNull())
+    counted = stacked.groupBy(*keys, "_member", "_probe", "_enter", "_leave").agg(F.count("*").alias("_n"))
+    changes = F.when(
+        F.col("_probe"), F.array(F.struct(F.col("_enter").alias("_month"), F.lit(0).cast("bigint").alias("_change")))
+    ).otherwise(
+        F.array(
+            F.struct(F.col("_enter").alias("_month"), F.col("_n").alias("_change")),
+            F.struct(F.col("_leave").alias("_month"), (-F.col("_n")).alias("_change")),
+        )
     )
-    running = F.sum("_change").over(W.partitionBy(*keys, "_member", "_probe").orderBy("_month"))
-    # after^2 - before^2 = change * (after + before), and before = after - change.
+    # Dealt out by member before it becomes changes, so that half as many rows are shuffled.
+    of_member = [*keys, "_member", "_probe"]
+    per_member = counted.repartition(*of_member).select(*of_member, F.inline(changes))
+    # after^2 - before^2 = change * (after + before), and before = after - change.  Over the rows of a month these
+    # differences add up to the month's own, in whatever order the rows come.
+    running = F.sum("_change").over(W.partitionBy(*of_member).orderBy("_month").rowsBetween(W.unboundedPreceding, W.currentRow))
     step = F.col("_change").cast(whole) * (running * 2 - F.col("_change")).cast(whole)
     squares = per_member.select(*keys, "_probe", "_month", "_change", step.alias("_squares"))
     per_market = squares.groupBy(*keys, "_probe", "_month").agg(
