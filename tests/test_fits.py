@@ -2,8 +2,9 @@
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.functions import array_to_vector
 
-from fieldmark.ml import boosting
+from fieldmark.ml import boosting, models
 
 
 def test_blocks_hold_bin_and_label_by_feature():
@@ -15,3 +16,17 @@ def test_blocks_hold_bin_and_label_by_feature():
     made = next(boosting._weight_sums([], 2, 3, 0.0)([block]))
     sums = np.array(made.column(1)).reshape(2, 3, 2)
     assert sums.tolist() == [[[0, 1], [1, 1], [0, 0]], [[0, 1], [1, 0], [0, 1]]]
+
+
+def test_fits_on_many_rows_run_one_by_one(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    data = [(int(a + b > 1), [float(a), float(b)]) for a, b in rng.random((200, 2))]
+    rows = spark.createDataFrame(data, "y int, a array<double>").select("y", array_to_vector("a").alias("features"))
+    asked = []
+    real = models.side_by_side
+    monkeypatch.setattr(models, "side_by_side", lambda jobs, n: asked.append(n) or real(jobs, n))
+    grid = {"maxDepth": [1, 2]}
+    few = {r.point: r.cv_auc_roc for r in models.grid_scores("decision_tree", rows, "y", grid, folds=2).collect()}
+    monkeypatch.setattr(models, "MANY_ROWS", 100)
+    many = {r.point: r.cv_auc_roc for r in models.grid_scores("decision_tree", rows, "y", grid, folds=2).collect()}
+    assert asked == [4, 1] and few == many and len(few) == 2
