@@ -78,3 +78,32 @@ def test_market_concentration_counts_before_it_makes_changes(spark):
         n = sum(seen.values())
         want[k, ref] = sum(c * c for c in seen.values()) / n**2 if n else None
     assert {(r.k, r.ref): r.hhi for r in out.collect()} == pytest.approx(want)
+
+
+def test_the_widest_table_is_looked_up_last_and_its_columns_are_shuffled_once(spark):
+    spine = spark.range(20).select(F.col("id").alias("policy_id"), (F.col("id") % 7).alias("k"))
+    narrow = spark.range(5).select(F.col("id").alias("k"), (F.col("id") * 2).alias("x"))
+    wide = spark.range(9).select(F.col("id").alias("policy_id"), *[(F.col("id") + i).alias(f"w{i}") for i in range(3)])
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = dataset.lookup(spine, {"wide": wide, "narrow": narrow}, {"wide": ("policy_id",), "narrow": ("k",)})
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Join ") == 2 and not found.inputFiles()
+        assert "w0" not in below(plan, next(line for line in plan.splitlines() if "Join LeftOuter, (k" in line))
+        assert found.columns == ["policy_id", "k", "w0", "w1", "w2", "x"]
+        want = {(i, i % 7, i if i < 9 else None, 2 * (i % 7) if i % 7 < 5 else None) for i in range(20)}
+        assert {(r.policy_id, r.k, r.w0, r.x) for r in found.collect()} == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_lookups_write_no_table_with_a_row_per_policy(spark, sf_dir, tmp_path):
+    held = policies(spark, sf_dir)
+    tables = dataset.lookup_tables(held, str(tmp_path))
+    assert list(tables) == list(dataset.REGISTRY)
+    assert sorted(p.name for p in tmp_path.iterdir()) == sorted(set(tables) - {"policy_economics"})
+    # The lookup's bound reaches the scan, below the choice of one row a key.
+    early = dataset.in_time(tables["policy_economics"], "1996-01-01")
+    plan = early._jdf.queryExecution().optimizedPlan().toString()
+    assert "1996-01-01" in below(plan, "Window")
