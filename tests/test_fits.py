@@ -30,3 +30,19 @@ def test_fits_on_many_rows_run_one_by_one(spark, monkeypatch):
     monkeypatch.setattr(models, "MANY_ROWS", 100)
     many = {r.point: r.cv_auc_roc for r in models.grid_scores("decision_tree", rows, "y", grid, folds=2).collect()}
     assert asked == [4, 1] and few == many and len(few) == 2
+
+
+def test_a_forest_keeps_its_node_ids_unless_there_are_many(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    data = [(int(a + b > 1), [float(a), float(b)]) for a, b in rng.random((300, 2))]
+    rows = spark.createDataFrame(data, "y int, a array<double>").select("y", array_to_vector("a").alias("features"))
+
+    def fitted():
+        return models.fit_model("random_forest", rows, "y", numTrees=5, minInstancesPerNode=2)
+
+    few = fitted()
+    monkeypatch.setattr(models, "MANY_NODE_IDS", 300 * 5)
+    many = fitted()
+    assert few.getOrDefault("cacheNodeIds") and not many.getOrDefault("cacheNodeIds")
+    trees = [m.toDebugString.split("\n", 1)[1] for m in (few, many)]
+    assert trees[0] == trees[1] and trees[0].count("Tree ") == 5
