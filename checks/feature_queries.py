@@ -10,6 +10,7 @@ from fieldmark.operators.concentration import dominant_category
 from fieldmark.operators.lookback import Clock, lookback_sums
 from fieldmark.plans import features
 from fieldmark.plans.schema import MARKET_WINDOWS, OPENING_WINDOWS, PLACE_WINDOWS, REF
+from fieldmark.session import written
 
 MONTH = "CAST(date_trunc('month', start_date) AS DATE)"
 
@@ -183,6 +184,11 @@ def table(name: str):
     return lambda spark, sf: features.feature_table(name).build(policies(spark, sf, INPUTS[name]))
 
 
+def table_of_written(name: str):
+    """The same from policies that are written first, for tables that read all their columns in two ways."""
+    return lambda spark, sf: features.feature_table(name).build(written(policies(spark, sf, INPUTS[name]), "policies"))
+
+
 def picked(name: str, *columns: str):
     """A few columns of a feature table; Catalyst drops the rest of the work."""
     return lambda spark, sf: table(name)(spark, sf).select(*columns)
@@ -229,7 +235,7 @@ CLAIMS = [f"place_claims_{n}d" for n in PLACE_WINDOWS]
 
 CHECKS = {
     "fs_place_history": Check(table("place_history"), PLACE_SQL, PLACE_FLOATS, ["ref_month"]),
-    "fs_market_risk": Check(table("market_risk"), MARKET_SQL, MARKET_FLOATS, ["ref_month"]),
+    "fs_market_risk": Check(table_of_written("market_risk"), MARKET_SQL, MARKET_FLOATS, ["ref_month"]),
     "fs_policy_economics": Check(table("policy_economics"), ECONOMICS_SQL, ECONOMICS_FLOATS, ["ref_month"]),
     "fs_insurer_risk": Check(table("insurer_risk"), INSURER_SQL, INSURER_FLOATS, ["ref_month"]),
     "fs_rate_reference": Check(table("rate_reference"), RATE_SQL, RATE_FLOATS, ["ref_month"]),
