@@ -46,3 +46,26 @@ def test_a_forest_keeps_its_node_ids_unless_there_are_many(spark, monkeypatch):
     assert few.getOrDefault("cacheNodeIds") and not many.getOrDefault("cacheNodeIds")
     trees = [m.toDebugString.split("\n", 1)[1] for m in (few, many)]
     assert trees[0] == trees[1] and trees[0].count("Tree ") == 5
+
+
+def test_one_deep_tree_serves_all_depths_of_a_grid(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    data = [(int(a + b + c / 3 > 1.1), [float(a), float(b)]) for a, b, c in rng.random((600, 3))]
+    rows = spark.createDataFrame(data, "y int, a array<double>").select("y", array_to_vector("a").alias("features"))
+    deep = models.fit_model("decision_tree", rows, "y", maxDepth=6, minInstancesPerNode=3)
+    for depth in range(1, 7):
+        own = models.fit_model("decision_tree", rows, "y", maxDepth=depth, minInstancesPerNode=3)
+        cut = models.first_trees(deep, depth)
+        assert cut.toDebugString.split("\n", 1)[1] == own.toDebugString.split("\n", 1)[1]
+        assert list(cut.featureImportances.toArray()) == list(own.featureImportances.toArray())
+        scores = [[r.score for r in models.with_score(m, rows).select("score").collect()] for m in (cut, own)]
+        assert scores[0] == scores[1]
+
+    fits, fit = [], models.fit_weighted
+    monkeypatch.setattr(models, "fit_weighted", lambda *given, **settings: fits.append(settings) or fit(*given, **settings))
+    grid = {"maxDepth": [2, 4], "minInstancesPerNode": [3, 9]}
+    found = {r.point: r.cv_auc_roc for r in models.grid_scores("decision_tree", rows, "y", grid, folds=2).collect()}
+    assert len(fits) == 4 and all(settings["maxDepth"] == 4 for settings in fits)
+    monkeypatch.setattr(models, "PREFIXES", {})
+    assert found == {r.point: r.cv_auc_roc for r in models.grid_scores("decision_tree", rows, "y", grid, folds=2).collect()}
+    assert len(fits) == 12 and len(found) == 4
