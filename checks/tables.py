@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from fieldmark.session import broadcast_if_small
 
 
 START = "CAST(o_orderdate AS DATE)"
@@ -141,7 +142,11 @@ def _build(spark: SparkSession, sf_dir: str, catalogue: dict, columns: Sequence[
         for table in tables:
             if table in needed:
                 left, right = JOINS[table]
-                df = df.join(read(spark, sf_dir, table), F.col(left) == F.col(right))
+                side = read(spark, sf_dir, table)
+                if table == "supplier":
+                    # Met by every line, last and widest; its two columns are few values beside them.
+                    side = broadcast_if_small(side.select("s_suppkey", "s_name"))
+                df = df.join(side, F.col(left) == F.col(right))
         return df
 
     # The part, whose join shuffles every line, comes first, while the rows are narrow.

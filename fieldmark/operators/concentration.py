@@ -97,7 +97,7 @@ def portfolio_concentration(
     policy in that month; ``scope='book'`` against all places with history.
     """
     clocks = {"ended": Clock(day, [window], {"amount": F.col(amount)})}
-    held = lookback_sums(policies, [holder, place], ref, clocks).withColumnRenamed(f"ended_amount_{window}d", "amount")
+    held = lookback_sums(policies, [holder, place], ref, clocks, many=True).withColumnRenamed(f"ended_amount_{window}d", "amount")
     if scope == "active":
         group = W.partitionBy(ref, holder)
         shares = held.withColumn("place_share", ratio(F.col("amount"), F.sum("amount").over(group)))
@@ -105,7 +105,9 @@ def portfolio_concentration(
         out = shares.withColumn("portfolio_hhi", F.sum(squared).over(group))
     elif scope == "book":
         present = policies.filter(all_present([holder, place]))
-        book = running_views(present, [holder, place], ref, day, window, F.col(amount)).withColumnRenamed("value", "amount")
+        # A holder's cells, bounded by places x calendar, come together; the months that they become are not shuffled.
+        book = running_views(present, [holder, place], ref, day, window, F.col(amount), near=[holder])
+        book = book.withColumnRenamed("value", "amount")
         total = F.sum("amount")
         whole = book.groupBy(ref, holder).agg(
             total.alias("_total"),

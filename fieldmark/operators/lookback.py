@@ -11,6 +11,10 @@ day lies in ``[ref - N, ref - 1]``.  The work is one scan and two shuffles:
 3. a range frame over the day number sums the cells seen from each probe.
 
 What remains after step 2 is bounded by entities x calendar, not by the data.
+Where that is no less than the data, since there are about as many entities as
+rows (``many``), rows of equal months and cells are put together first and
+dealt out by the entity; probes and events are made there, so that not twice
+as many rows as policies are shuffled, twice.
 """
 
 from __future__ import annotations
@@ -71,17 +75,36 @@ def _stacked(policies: DataFrame, keys: Sequence[str], ref: str, clocks: Mapping
     return stacked.filter((F.col("_kind") == PROBE) | F.col("_day").isNotNull())
 
 
+def _dealt(
+    policies: DataFrame, keys: Sequence[str], ref: str, clocks: Mapping[str, Clock]
+) -> tuple[DataFrame, dict[str, Clock]]:
+    """Rows of equal keys, ref and cells added up and dealt out by the keys; an entity keeps at most months x cells."""
+    cells = {f"_cell_{kind}": cell_start(F.col(clock.day), clock.windows) for kind, clock in clocks.items()}
+    values = {f"_{kind}_{name}": c.cast("double") for kind, clock in clocks.items() for name, c in clock.sums.items()}
+    rows = policies.select(*keys, ref, *[c.alias(n) for n, c in {**cells, **values}.items()])
+    added = rows.groupBy(*keys, ref, *cells).agg(*[F.sum(n).alias(n) for n in values])
+    # The start of a cell is its own start.
+    made = {
+        kind: Clock(f"_cell_{kind}", clock.windows, {name: F.col(f"_{kind}_{name}") for name in clock.sums})
+        for kind, clock in clocks.items()
+    }
+    return added.repartition(*keys), made
+
+
 def lookback_sums(
     policies: DataFrame,
     keys: Sequence[str],
     ref: str,
     clocks: Mapping[str, Clock],
+    many: bool = False,
 ) -> DataFrame:
     """Sums over every lookback for each distinct (ref, keys).
 
     Columns: ``ref``, the keys and ``{clock}_{value}_{N}d`` (``_all`` for all history);
-    sums are 0.0 where there is no history.
+    sums are 0.0 where there is no history.  ``many`` (entities) changes how the work is cut, not the result.
     """
+    if many:
+        policies, clocks = _dealt(policies, keys, ref, clocks)
     stacked = _stacked(policies, keys, ref, clocks)
     names = [f"{kind}_{name}" for kind, clock in clocks.items() for name in clock.sums]
     cells = stacked.groupBy(*keys, "_kind", "_day").agg(*[F.sum(n).alias(n) for n in names])
@@ -198,12 +221,14 @@ def running_views(
     day: str,
     window: int,
     value: Column,
+    near: Sequence[str] = (),
 ) -> DataFrame:
     """The same sum of one ``value`` without repeating the cells: one shuffle of cells, none of months.
 
     A cell is answerable for the months from its first one to the one before the next cell's; what these
     see lies in the cells up to it, so a frame that looks back over the window holds it.  A month
-    comes once per key, as ``(ref, keys, value)``.
+    comes once per key, as ``(ref, keys, value)``.  Cells are dealt out by ``near``, some of the keys, if given:
+    months of equal ``near`` then need no shuffle to be added up.
     """
     known = policies.filter(F.col(day).isNotNull())
     cells = (
@@ -211,6 +236,8 @@ def running_views(
         .groupBy(*keys, "_day")
         .agg(F.sum("_value").alias("_value"))
     )
+    if near:
+        cells = cells.repartition(*near)
     by_day = W.partitionBy(*keys).orderBy(day_number(F.col("_day")))
     first = F.add_months(F.trunc("_day", "MM"), 1)
     last = F.trunc(F.date_add("_day", window), "MM")

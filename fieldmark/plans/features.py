@@ -126,7 +126,7 @@ def insurer_risk(policies: DataFrame) -> DataFrame:
     """Insurer x crop group: volume, claim frequency, severity over a year."""
     keys = ["insurer", "crop_group"]
     clock = Clock("end_date", [YEAR], _history_sums(F.lit(1)))
-    sums = lookback_sums(with_ref_month(policies), keys, REF, {"ended": clock})
+    sums = lookback_sums(with_ref_month(policies), keys, REF, {"ended": clock}, many=True)
     columns = _rates("insurer", YEAR)
     columns.pop("insurer_claims_365d")
     return sums.select(REF, *keys, *[c.alias(n) for n, c in columns.items()])

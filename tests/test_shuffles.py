@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from checks.tables import policies
 from fieldmark.ml import preparation
-from fieldmark.operators.concentration import market_concentration
+from fieldmark.operators.concentration import market_concentration, portfolio_concentration
+from fieldmark.operators.lookback import Clock, lookback_sums, running_views
 from fieldmark.plans import dataset
 
 
@@ -117,3 +118,45 @@ def test_changes_are_sorted_by_a_hash_before_the_names(spark, sf_dir):
     sorts = [line for line in plan.splitlines() if "Sort [" in line and "_member" in line]
     assert sorts and all("Sort [_spot" in line for line in sorts)
     assert not any("_spot" in line for line in plan.splitlines() if "Exchange" in line)
+
+
+def _odd_rows(spark, n=500):
+    rng = random.Random(3)
+    days = [dt.date(2020, 1, 1) + dt.timedelta(days=k) for k in range(900)]
+    months = [dt.date(2020 + m // 12, m % 12 + 1, 1) for m in range(36)]
+    rows = [
+        (rng.choice(["a", "b", None]), rng.choice([1, 2, 3, None]), rng.choice([*months, None]), rng.choice([*days, None]),
+         rng.choice([1.5, 2.0, -4.0, None]))
+        for _ in range(n)
+    ]
+    return spark.createDataFrame([*rows, *rows[:50]], "h string, p int, m date, d date, x double")
+
+
+def exchanges(df):
+    # Of a plan that has not run, which holds each exchange once.
+    return [line for line in df.select("*")._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line]
+
+
+def test_many_entities_are_dealt_out_before_probes_and_events_are_made(spark):
+    rows = _odd_rows(spark)
+    clocks = {
+        "ended": Clock("d", [90, 365, None], {"n": F.lit(1), "x": F.col("x")}),
+        "opened": Clock("m", [30], {"n": F.when(F.col("p").isNotNull(), 1).otherwise(0)}),
+    }
+    few, many = (lookback_sums(rows, ["h", "p"], "m", clocks, many=m) for m in (False, True))
+    assert few.columns == many.columns
+    assert sorted(map(tuple, many.collect()), key=repr) == sorted(map(tuple, few.collect()), key=repr)
+    assert any("_kind" in line for line in exchanges(few)) and len(exchanges(many)) == 2
+    assert not any("_kind" in line for line in exchanges(many))
+
+
+def test_the_months_of_a_book_are_not_shuffled(spark):
+    rows = _odd_rows(spark).filter("h IS NOT NULL AND p IS NOT NULL")
+    apart, near = (running_views(rows, ["h", "p"], "m", "d", 365, F.col("x"), near=n) for n in ((), ["h"]))
+    assert sorted(map(tuple, near.collect()), key=repr) == sorted(map(tuple, apart.collect()), key=repr)
+    totals = near.groupBy("m", "h").agg(F.sum("value").alias("v"))
+    assert len(exchanges(totals)) == len(exchanges(near)) == 2
+    book = portfolio_concentration(rows, "h", "p", "m", "d", "x", 365, "book")
+    plan = book._jdf.queryExecution().executedPlan().toString()
+    # The place goes into no exchange as a month of the book: only cells and rows do.
+    assert "_held" in plan and not any("_held" in line for line in exchanges(book))
